@@ -45,33 +45,46 @@ def _recency(points: DataFrame) -> Column:
     return (shifted(_micros(F.col("ts")), 20) + shifted(ingested, 2) + spread).cast("decimal(38,0)")
 
 
-def latest_points(points: DataFrame) -> DataFrame:
-    """One row per (entity, metric): its newest non-null value, or its newest point.
+def fold_points(points: DataFrame) -> DataFrame:
+    """Points as unmerged folds: what is needed to find the newest value, all fixed-width."""
+    timed = timed_points(points)
+    valued = F.col("metric_value").isNotNull()
+    return timed.select(
+        "entity_id",
+        "metric_name",
+        "metric_value",
+        F.when(valued, _recency(timed)).alias("recency"),
+        F.when(valued, F.col("ts")).alias("valued_at"),
+        F.col("ts").alias("seen_at"),
+    )
+
+
+def merge_folds(folds: DataFrame) -> DataFrame:
+    """One fold per (entity, metric). Merging is associative, so stored folds and new ones
+    can be merged batch by batch.
 
     Partial aggregation runs before the shuffle, so what is shuffled is bounded by tasks
     times distinct keys and a dominant entity costs nothing extra.
     """
-    timed = timed_points(points)
-    valued = F.col("metric_value").isNotNull()
-    keyed = timed.select(
-        "entity_id", "metric_name", "metric_value", "ts", _recency(timed).alias("_recency")
+    return folds.groupBy("entity_id", "metric_name").agg(
+        F.max_by("metric_value", "recency").alias("metric_value"),
+        F.max("recency").alias("recency"),
+        F.max("valued_at").alias("valued_at"),
+        F.max("seen_at").alias("seen_at"),
     )
-    return (
-        keyed.groupBy("entity_id", "metric_name")
-        .agg(
-            F.max_by("metric_value", F.when(valued, F.col("_recency"))).alias("metric_value"),
-            F.max(F.when(valued, F.col("ts"))).alias("_valued_at"),
-            F.max("ts").alias("_seen_at"),
-        )
-        .select(
-            "entity_id",
-            "metric_name",
-            "metric_value",
-            F.coalesce("_valued_at", "_seen_at").alias("ts"),
-        )
+
+
+def settle(merged: DataFrame) -> DataFrame:
+    return merged.select(
+        "entity_id", "metric_name", "metric_value", F.coalesce("valued_at", "seen_at").alias("ts")
     )
 
 
+def latest_points(points: DataFrame) -> DataFrame:
+    """One row per (entity, metric): its newest non-null value, or its newest point."""
+    return settle(merge_folds(fold_points(points)))
+
+
 def pivot_latest(latest: DataFrame, metrics: MetricSet = DEFAULT_METRICS) -> DataFrame:
     """Known metrics become columns; every metric counts for the latest time."""
     columns = [

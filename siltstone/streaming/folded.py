@@ -1,0 +1,40 @@
+"""Tables that a stream folds its batches into.
+
+Version n holds the state after batch n. A batch reads version n - 1 and writes version n,
+so running a batch again (after a lost driver or executor) reads the same input and
+replaces the same output: the result is exactly-once without a transactional table format.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+from siltstone import schemas
+
+
+class FoldedTable:
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType) -> None:
+        self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
+
+    def path(self, version: int) -> str:
+        return f"{self.root}/version={version}"
+
+    def before(self, batch_id: int) -> DataFrame:
+        if batch_id == 0:
+            return schemas.empty(self.spark, self.schema)
+        return self.read(batch_id - 1)
+
+    def read(self, version: int) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(self.path(version))
+
+    def write(self, batch_id: int, rows: DataFrame) -> DataFrame:
+        rows.select(*self.schema.names).write.mode("overwrite").parquet(self.path(batch_id))
+        return self.read(batch_id)
+
+    def retire(self, version: int) -> None:
+        """Drop a version that no batch can read any more."""
+        if version < 0:
+            return
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(version))
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
