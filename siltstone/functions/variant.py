@@ -4,17 +4,21 @@ Two kinds of "missing" are kept apart throughout:
   * an absent key is SQL NULL,
   * a present JSON null is a VARIANT that is not SQL NULL.
 Fallback chains go by truthiness, so 0, false, "", [] and {} fall through as well.
+
+`Fields` is the fast way to read several keys of one object: their texts are extracted in
+one projection, and everything else is decided on plain strings.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# JSON texts of everything that counts as missing in a fallback chain.
-_FALSY_JSON = ("null", "false", "0", "0.0", '""', "[]", "{}")
+# How the falsy JSON values other than "" and null print. The same text can
+# also be a (truthy) JSON string, which only the quotes of its JSON form tell apart.
+_FALSY_TEXTS = ("0", "0.0", "false", "[]", "{}")
 
 
 def field(node: Column, name: str) -> Column:
@@ -22,6 +26,15 @@ def field(node: Column, name: str) -> Column:
     return F.try_variant_get(node, f"$['{name}']", "variant")
 
 
+def field_text(node: Column, name: str) -> Column:
+    return F.try_variant_get(node, f"$['{name}']", "string")
+
+
+def has_items(node: Column, name: str) -> Column:
+    """The child is a list with at least one element."""
+    return F.try_variant_get(node, f"$['{name}'][0]", "variant").isNotNull()
+
+
 def text(node: Column) -> Column:
     """Scalar as text, container as compact JSON, JSON null as NULL."""
     return F.try_variant_get(node, "$", "string")
@@ -54,35 +67,34 @@ def field_members(node: Column, name: str) -> Column:
     return F.try_variant_get(node, f"$['{name}']", "map<string,variant>")
 
 
-def is_object(node: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(node).startswith("OBJECT"), F.lit(False))
+def _is_type(node: Column, prefix: str) -> Column:
+    return F.coalesce(F.schema_of_variant(node).startswith(prefix), F.lit(False))
 
 
-def is_text(node: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(node) == "STRING", F.lit(False))
-
-
-def is_json_null(node: Column) -> Column:
-    return F.is_variant_null(node)
+def is_object(node: Column) -> Column:
+    """The schema is only worked out for what prints like an object."""
+    return F.coalesce(text(node).startswith("{"), F.lit(False)) & _is_type(node, "OBJECT")
 
 
-def is_truthy(node: Column) -> Column:
-    return F.coalesce(~F.to_json(node).isin(*_FALSY_JSON), F.lit(False))
+def is_text(node: Column) -> Column:
+    return _is_type(node, "STRING")
 
 
 def non_null(node: Column) -> Column:
     """Turn a JSON null into SQL NULL, leave the rest."""
-    return F.when(~is_json_null(node), node)
+    return F.when(~F.is_variant_null(node), node)
 
 
-def first_truthy(node: Column, *names: str) -> Column:
-    """First child, in the given order, that is present and truthy."""
-    options = [field(node, name) for name in names]
-    return F.coalesce(*[F.when(is_truthy(option), option) for option in options])
+def truthy_text(shown: Column, node: Column) -> Column:
+    """`shown`, the text of `node`, if the value is truthy. `node` itself is looked at only
+    when the text leaves it open."""
+    return F.when(
+        shown.isin(*_FALSY_TEXTS), F.when(F.to_json(node).startswith('"'), shown)
+    ).when(shown != "", shown)
 
 
-def first_truthy_text(node: Column, *names: str) -> Column:
-    return text(first_truthy(node, *names))
+def is_truthy(node: Column) -> Column:
+    return truthy_text(text(node), node).isNotNull()
 
 
 # Keys searched, in this order, when a label arrives as an object.
@@ -91,19 +103,58 @@ LABEL_KEYS = ("value", "name", "id", "text")
 
 def label(node: Column, keys: Iterable[str] = LABEL_KEYS) -> Column:
     """A label that is either a scalar or an object carrying it under one of `keys`."""
-    from_object = F.coalesce(*[text(field(node, key)) for key in keys], F.to_json(node))
+    from_object = F.coalesce(*[field_text(node, key) for key in keys], F.to_json(node))
     return F.when(is_object(node), from_object).otherwise(text(node))
 
 
 def truthy_label(node: Column, *keys: str) -> Column:
     """Like `label`, but an object gives its first truthy key or NULL."""
-    return F.when(is_object(node), first_truthy_text(node, *keys)).otherwise(text(node))
+    found = [truthy_text(field_text(node, key), field(node, key)) for key in keys]
+    return F.when(is_object(node), F.coalesce(*found)).otherwise(text(node))
 
 
-def objects_in(items: Column) -> Column:
-    return F.filter(items, is_object)
+class Fields:
+    """Children of an object column, each extracted once.
+
+    `df, offer = Fields.read(df, "offer", "offerId", ...)` adds a struct of texts to `df`,
+    read by a single cast; the methods then build expressions over it.
+    """
+
+    def __init__(self, node: str, texts: str) -> None:
+        self.node, self.texts = node, texts
+
+    @classmethod
+    def read(cls, df: DataFrame, node: str, *names: str) -> tuple[DataFrame, Fields]:
+        texts = f"_{node}_texts"
+        kind = ",".join(f"{name}:string" for name in names)
+        extracted = F.try_variant_get(F.col(node), "$", f"struct<{kind}>")
+        return df.withColumn(texts, extracted), cls(node, texts)
+
+    def shown(self, name: str) -> Column:
+        return F.col(f"{self.texts}.`{name}`")
+
+    def child(self, name: str) -> Column:
+        return field(F.col(self.node), name)
 
+    def truthy(self, *names: str) -> Column:
+        """Text of the first child, in the given order, that is present and truthy."""
+        return F.coalesce(*[truthy_text(self.shown(n), self.child(n)) for n in names])
 
-def filled(items: Column) -> Column:
-    """`items` when it is a list with at least one element, else NULL."""
-    return F.when(F.size(items) > 0, items)
+    def truthy_number(self, *names: str) -> Column:
+        """The first truthy child as a number; a truthy child that is none gives NULL."""
+        found = F.lit(None).cast("double")
+        for name in reversed(names):
+            value = F.try_variant_get(F.col(self.node), f"$['{name}']", "double")
+            is_set = truthy_text(self.shown(name), self.child(name)).isNotNull()
+            found = F.when(is_set, value).otherwise(found)
+        return found
+
+
+def explode_node(df: DataFrame, node: str, key: str, item: str) -> DataFrame:
+    """One row per element of a list or member of an object; `key` is NULL for lists."""
+    pieces = df.sparkSession.tvf.variant_explode(F.col(node).outer())
+    return df.lateralJoin(pieces.select(F.col("key").alias(key), F.col("value").alias(item)))
+
+
+def objects_in(items: Column) -> Column:
+    return F.filter(items, is_object)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from siltstone.functions import variant as V
 from siltstone.functions.instants import as_date
+from siltstone.functions.variant import Fields
 
 # The bronze sources, and the topic endings that select them.
 SOURCES = ("shop", "cosmetics", "islands", "island_metrics", "ingestion_status")
@@ -65,15 +66,16 @@ def split_decoded(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def event_columns(decoded: DataFrame, raw: str | None = "value") -> DataFrame:
     """The fields the silver transforms read. `raw` keeps the JSON text, which is the only
-    place where the order of object keys survives."""
-    event = F.col("event")
+    place where the order of object keys survives. Unreadable texts give a NULL payload,
+    from which nothing is flattened."""
+    read, own = Fields.read(decoded, "event", "event_id", "event_type", *_TIME_FIELDS)
     kept = [F.col(raw).cast("string").alias("raw")] if raw else []
-    return decoded.select(
-        V.text(V.field(event, "event_id")).alias("event_id"),
-        V.text(V.field(event, "event_type")).alias("event_type"),
-        V.first_truthy_text(event, "event_time").alias("event_time"),
-        V.first_truthy_text(event, "ingested_at").alias("ingested_at"),
-        V.field(event, "payload").alias("payload"),
+    return read.select(
+        own.shown("event_id").alias("event_id"),
+        own.shown("event_type").alias("event_type"),
+        own.truthy("event_time").alias("event_time"),
+        own.truthy("ingested_at").alias("ingested_at"),
+        V.field(F.col("event"), "payload").alias("payload"),
         *kept,
     )
 
@@ -86,14 +88,13 @@ def _topic_source(topic: Column) -> Column:
     return F.coalesce(*matches)
 
 
-def route(event: Column, topic: Column | None = None) -> Column:
+def _source(own: Fields, topic: Column | None) -> Column:
     """Bronze source of an event, NULL when nothing identifies it."""
-    event_type = F.trim(V.first_truthy_text(event, "event_type"))
-    entity = F.trim(V.first_truthy_text(event, "entity"))
+    event_type, entity = F.trim(own.truthy("event_type")), F.trim(own.truthy("entity"))
     looks_like_health = (
-        V.is_truthy(V.field(event, "source"))
-        & V.is_truthy(V.field(event, "status"))
-        & ~V.is_truthy(V.field(event, "event_id"))
+        own.truthy("source").isNotNull()
+        & own.truthy("status").isNotNull()
+        & own.truthy("event_id").isNull()
     )
     return F.coalesce(
         *([_topic_source(topic)] if topic is not None else []),
@@ -103,37 +104,22 @@ def route(event: Column, topic: Column | None = None) -> Column:
     )
 
 
-def _calendar_day(text: Column) -> Column:
+def calendar_day(text: Column) -> Column:
     """Leading date of an ISO text, dashed or compact; NULL for an impossible date."""
     text = F.trim(text)
-    dashed = F.nullif(F.regexp_extract(text, r"^(\d{4}-\d{2}-\d{2})", 1), F.lit(""))
-    compact = F.regexp_replace(
-        F.nullif(F.regexp_extract(text, r"^(\d{8})(?:[T ].*)?$", 1), F.lit("")),
-        r"^(\d{4})(\d{2})(\d{2})$",
-        "$1-$2-$3",
+    dashed = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), F.substring(text, 1, 10))
+    compact = F.when(
+        text.rlike(r"^\d{8}([T ].*)?$"),
+        F.concat_ws("-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2)),
     )
-    return F.coalesce(dashed.try_cast("date"), compact.try_cast("date"))
+    return F.coalesce(dashed, compact).try_cast("date")
 
 
-def event_date(event: Column, run_date: dt.date | str | Column) -> Column:
-    """First of event, ingestion and observation time that has a date; else the run's date."""
-    found = [_calendar_day(V.first_truthy_text(event, name)) for name in _TIME_FIELDS]
-    return F.coalesce(*found, as_date(run_date))
-
-
-def stable_id(event: Column) -> Column:
-    """The event's id, or a hash of its canonical JSON: replaying it gives the same id."""
-    canonical = F.sha2(F.to_json(event), 256)
-    return F.coalesce(V.first_truthy_text(event, "event_id"), canonical)
-
-
-def compact_time(event: Column, day: Column) -> Column:
-    moment = F.coalesce(V.first_truthy_text(event, *_TIME_FIELDS), day.cast("string"))
-    return F.substring(F.translate(moment, ":-.", ""), 1, 15)
-
-
-def object_key(event: Column, source: Column, day: Column, event_id: Column) -> Column:
-    name = F.concat_ws("_", F.lit("raw"), source, compact_time(event, day), F.replace(event_id, F.lit(":"), F.lit("-")))
+def object_key(source: Column, day: Column, event_id: Column, moment: Column) -> Column:
+    """Storage key of an event: punctuation leaves the time, colons become dashes in the id."""
+    compact_time = F.substring(F.translate(moment, ":-.", ""), 1, 15)
+    safe_id = F.translate(event_id, ":", "-")
+    name = F.concat_ws("_", F.lit("raw"), source, compact_time, safe_id)
     return F.concat(
         F.lit("bronze/source="), source, F.lit("/event_date="), day.cast("string"),
         F.lit("/"), name, F.lit(".json"),
@@ -148,48 +134,89 @@ def dated_entity_key(layer: str, entity: Column, day: Column, filename: Column)
 def to_bronze(
     decoded: DataFrame, run_date: dt.date | str | Column, *, topic: str | None = None
 ) -> DataFrame:
-    """Add source, event_date, event_id and object_key. `source` is NULL where routing
-    failed; such rows belong in quarantine."""
-    event = F.col("event")
-    routed = decoded.withColumns(
-        {
-            "source": route(event, F.col(topic) if topic else None),
-            "event_date": event_date(event, run_date),
-            "event_id": stable_id(event),
-        }
+    """Add source, event_date, event_id and object_key.
+
+    The date is that of the first of event, ingestion and observation time that has one,
+    else the run's. An event without id gets a hash of its canonical JSON, so replaying it
+    gives the same id. `source` is NULL where routing failed: those rows go to quarantine.
+    """
+    read, own = Fields.read(
+        decoded, "event", "event_id", "event_type", "entity", "source", "status", *_TIME_FIELDS
+    )
+    # Every text is settled in its own column first: the dates below use each several times.
+    staged = read.select(
+        *decoded.columns,
+        _source(own, F.col(topic) if topic else None).alias("source"),
+        F.coalesce(own.truthy("event_id"), _content_hash()).alias("event_id"),
+        *[own.truthy(name).alias(f"_{name}") for name in _TIME_FIELDS],
     )
-    return routed.withColumn(
-        "object_key",
-        object_key(event, F.col("source"), F.col("event_date"), F.col("event_id")),
+    times = [F.col(f"_{name}") for name in _TIME_FIELDS]
+    dated = staged.withColumn(
+        "event_date", F.coalesce(*[calendar_day(t) for t in times], as_date(run_date))
     )
+    day = F.col("event_date")
+    moment = F.coalesce(*times, day.cast("string"))
+    return dated.withColumn(
+        "object_key", object_key(F.col("source"), day, F.col("event_id"), moment)
+    ).drop(*[f"_{name}" for name in _TIME_FIELDS])
+
+
+def _content_hash() -> Column:
+    return F.sha2(F.to_json("event"), 256)
 
 
-def record_count(event_type: Column, payload: Column, payload_text: Column | None = None) -> Column:
-    """How many records a payload carries; NULL when that cannot be told."""
-    data = V.field(payload, "data")
+def identify(decoded: DataFrame) -> DataFrame:
+    """Add `event_id` as above, and `event_ts` from the first time the event has."""
+    read, own = Fields.read(decoded, "event", "event_id", *_TIME_FIELDS)
+    return read.select(
+        *decoded.columns,
+        F.coalesce(own.truthy("event_id"), _content_hash()).alias("event_id"),
+        F.try_to_timestamp(own.truthy(*_TIME_FIELDS)).alias("event_ts"),
+    )
+
+
+def with_record_count(
+    events: DataFrame, event_type: str = "event_type", raw: str | None = None
+) -> DataFrame:
+    """Add `record_count`: how many records the payload carries, NULL if that is unknown."""
+    staged = events.withColumn("_data", V.field(F.col("payload"), "data"))
+    data, kind = F.col("_data"), F.col(event_type)
     named = [F.size(V.field_elements(data, name)) for name in OFFER_LISTS]
-    any_list = F.size(first_list(data, payload_text, lambda items: F.size(items) > 0))
-    offers = F.coalesce(*named, any_list)
-    listed = F.coalesce(F.size(V.elements(data)), F.size(V.members(data)))
-    return (
-        F.when(event_type == "shop", offers)
-        .when(event_type.isin("cosmetics", "islands"), listed)
-        .when(event_type == "island_metrics", F.lit(1))
+    other = first_list(data, F.col(raw) if raw else None, of_objects=False)
+    sizes = F.when(
+        kind == "shop", F.coalesce(*[_known_size(n) for n in named], _known_size(F.size(V.elements(other))))
+    ).when(
+        kind.isin("cosmetics", "islands"),
+        F.coalesce(_known_size(F.size(V.elements(data))), _known_size(F.size(V.members(data)))),
     )
+    count = sizes.when(kind == "island_metrics", F.lit(1))
+    return staged.withColumn("record_count", count).drop("_data")
 
 
-def first_list(data: Column, payload_text: Column | None, accept) -> Column:
-    """First list among the values of `data`, in document order, that `accept`s.
+def _known_size(size: Column) -> Column:
+    return F.when(size >= 0, size)
 
-    VARIANT sorts object keys; the original order is taken from the JSON text if given.
+
+def first_list(data: Column, raw: Column | None, *, of_objects: bool) -> Column:
+    """First non-empty list among the values of `data`, in document order.
+
+    VARIANT sorts object keys; the original order is taken from the event's JSON text if
+    given. Only payloads without a known list get here.
     """
-    members = V.members(data)
-    keys = F.map_keys(members)
-    if payload_text is not None:
-        written = F.json_object_keys(F.get_json_object(payload_text, "$.data"))
+    keys = F.map_keys(V.members(data))
+    if raw is not None:
+        written = F.json_object_keys(F.get_json_object(raw, "$.payload.data"))
         keys = F.coalesce(written, keys)
-    lists = F.transform(keys, lambda key: V.elements(F.element_at(members, key)))
-    return F.get(F.filter(lists, lambda items: items.isNotNull() & accept(items)), 0)
+
+    def path(key: Column, suffix: str) -> Column:
+        return F.concat(F.lit("$['"), key, F.lit("']" + suffix))
+
+    def is_wanted(key: Column) -> Column:
+        head = F.try_variant_get(data, path(key, "[0]"), "variant")
+        return V.is_object(head) if of_objects else head.isNotNull()
+
+    chosen = F.get(F.filter(keys, is_wanted), 0)
+    return F.try_variant_get(data, path(chosen, ""), "variant")
 
 
 def health_events(

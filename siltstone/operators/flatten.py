@@ -14,11 +14,14 @@ from pyspark.sql import functions as F
 
 from siltstone.functions import variant as V
 from siltstone.functions.instants import stamp
+from siltstone.functions.variant import Fields
 from siltstone.operators.envelope import OFFER_LISTS, first_list
 from siltstone.schemas import DEFAULT_METRICS, MetricSet
 
 RunTime = dt.datetime | Column | None
 
+_HEAD = ("event_id", "event_time", "ingested_at")
+
 
 def _filled(name: str) -> Column:
     return F.nullif(F.col(name), F.lit(""))
@@ -32,177 +35,183 @@ def _origin(run_ts: RunTime) -> list[Column]:
     ]
 
 
-def _present(column: Column) -> Column:
-    return column.isNotNull() & (column != "")
+def _present(column: str) -> Column:
+    return F.col(column).isNotNull() & (F.col(column) != "")
 
 
-def _each_object(events: DataFrame, items: Column, name: str) -> DataFrame:
-    """One row per object in a list column; other elements are skipped."""
-    return events.select("*", F.explode(items).alias(name)).where(V.is_object(F.col(name)))
+def _with_data(events: DataFrame) -> DataFrame:
+    raw = ["raw"] if "raw" in events.columns else []
+    return events.select(*_HEAD, *raw, V.field(F.col("payload"), "data").alias("data"))
 
 
-def _payload_text(events: DataFrame) -> Column | None:
-    return F.get_json_object("raw", "$.payload") if "raw" in events.columns else None
+def _offer_list(data: Column, raw: Column | None) -> Column:
+    """The list holding the offers: a named one, else the first list of objects."""
+    found = F.when(F.lit(False), data)
+    for name in OFFER_LISTS:
+        found = found.when(V.has_items(data, name), V.field(data, name))
+    return found.otherwise(first_list(data, raw, of_objects=True))
 
 
 def flatten_offers(events: DataFrame, run_ts: RunTime = None) -> DataFrame:
-    data = V.field(F.col("payload"), "data")
-    named = [V.filled(V.field_elements(data, name)) for name in OFFER_LISTS]
-    fallback = first_list(
-        data,
-        _payload_text(events),
-        lambda items: (F.size(items) > 0) & V.is_object(F.get(items, 0)),
-    )
-    offers = _each_object(events, F.coalesce(*named, fallback), "offer")
-    offer = F.col("offer")
-    snapshot = F.coalesce(V.first_truthy_text(data, "date"), F.col("event_time"))
+    raw = F.col("raw") if "raw" in events.columns else None
+    listed, body = Fields.read(_with_data(events), "data", "date")
+    listed = listed.select(
+        *_HEAD,
+        F.substring(F.coalesce(body.truthy("date"), F.col("event_time")), 1, 10).alias("day"),
+        _offer_list(F.col("data"), raw).alias("offers"),
+    )
+    offers, offer = Fields.read(
+        V.explode_node(listed, "offers", "key", "offer"), "offer",
+        "offerId", "offer_id", "devName", "dev_name", "regularPrice", "regular_price",
+        "finalPrice", "final_price", "inDate", "in_date", "outDate", "out_date",
+    )
     rows = offers.select(
-        F.nullif(F.substring(snapshot, 1, 10), F.lit("")).alias("snapshot_date"),
-        V.first_truthy_text(offer, "offerId", "offer_id").alias("offer_id"),
-        V.first_truthy_text(offer, "devName", "dev_name").alias("dev_name"),
-        V.number(V.first_truthy(offer, "regularPrice", "regular_price")).alias("regular_price"),
-        V.number(V.first_truthy(offer, "finalPrice", "final_price")).alias("final_price"),
-        V.flag(V.field(offer, "giftable")).alias("giftable"),
-        V.flag(V.field(offer, "refundable")).alias("refundable"),
-        V.first_truthy_text(offer, "inDate", "in_date").alias("in_date"),
-        V.first_truthy_text(offer, "outDate", "out_date").alias("out_date"),
-        V.truthy_label(V.field(offer, "layout"), "id", "name").alias("layout_id"),
+        F.nullif("day", F.lit("")).alias("snapshot_date"),
+        offer.truthy("offerId", "offer_id").alias("offer_id"),
+        offer.truthy("devName", "dev_name").alias("dev_name"),
+        offer.truthy_number("regularPrice", "regular_price").alias("regular_price"),
+        offer.truthy_number("finalPrice", "final_price").alias("final_price"),
+        V.flag(offer.child("giftable")).alias("giftable"),
+        V.flag(offer.child("refundable")).alias("refundable"),
+        offer.truthy("inDate", "in_date").alias("in_date"),
+        offer.truthy("outDate", "out_date").alias("out_date"),
+        V.truthy_label(offer.child("layout"), "id", "name").alias("layout_id"),
         *_origin(run_ts),
     )
-    return rows.where(_present(F.col("offer_id")))
+    return rows.where(_present("offer_id"))
 
 
 def flatten_catalog(events: DataFrame, run_ts: RunTime = None) -> DataFrame:
     """Records come as a list or as the values of an object; chunked batches are just events."""
-    data = V.field(F.col("payload"), "data")
-    items = F.coalesce(V.elements(data), F.map_values(V.members(data)))
-    records = _each_object(events, items, "record")
-    record = F.col("record")
-    intro = V.field(record, "introduction")
-    grouping = V.field(record, "set")
+    records, record = Fields.read(
+        V.explode_node(_with_data(events), "data", "key", "record"), "record",
+        "id", "cosmeticId", "name", "description", "set",
+    )
+    intro, grouping = record.child("introduction"), record.child("set")
     rows = records.select(
-        V.first_truthy_text(record, "id", "cosmeticId").alias("catalog_id"),
-        V.text(V.field(record, "name")).alias("name"),
-        V.text(V.field(record, "description")).alias("description"),
-        V.label(V.field(record, "rarity")).alias("rarity"),
-        V.label(V.field(record, "type")).alias("type"),
-        F.when(V.is_truthy(grouping), V.label(grouping)).alias("set_name"),
-        F.when(V.is_object(intro), V.first_truthy_text(intro, "text", "backendValue"))
-        .when(V.is_text(intro), V.text(intro))
+        record.truthy("id", "cosmeticId").alias("catalog_id"),
+        record.shown("name").alias("name"),
+        record.shown("description").alias("description"),
+        V.label(record.child("rarity")).alias("rarity"),
+        V.label(record.child("type")).alias("type"),
+        F.when(record.truthy("set").isNotNull(), V.label(grouping)).alias("set_name"),
+        F.when(V.is_text(intro), V.text(intro))
+        .when(V.is_object(intro), V.truthy_label(intro, "text", "backendValue"))
         .alias("introduction_text"),
         *_origin(run_ts),
     )
-    return rows.where(_present(F.col("catalog_id")))
+    return rows.where(_present("catalog_id"))
 
 
 def flatten_entities(events: DataFrame, run_ts: RunTime = None) -> DataFrame:
-    records = _each_object(events, V.field_elements(F.col("payload"), "data"), "record")
-    record = F.col("record")
+    listed = V.explode_node(_with_data(events), "data", "key", "record").where("key is null")
+    records, record = Fields.read(
+        listed, "record",
+        "code", "displayName", "title", "creatorCode", "creator_code", "display_name",
+        "createdIn", "created_in", "tags",
+    )
     rows = records.select(
-        V.first_truthy_text(record, "code", "displayName").alias("entity_id"),
-        V.text(V.field(record, "title")).alias("title"),
-        V.first_truthy_text(record, "creatorCode", "creator_code").alias("creator_code"),
-        V.first_truthy_text(record, "displayName", "display_name").alias("display_name"),
-        V.label(V.field(record, "category")).alias("category"),
-        V.first_truthy_text(record, "createdIn", "created_in").alias("created_in"),
-        V.text(V.field(record, "tags")).alias("tags"),
+        record.truthy("code", "displayName").alias("entity_id"),
+        record.shown("title").alias("title"),
+        record.truthy("creatorCode", "creator_code").alias("creator_code"),
+        record.truthy("displayName", "display_name").alias("display_name"),
+        V.label(record.child("category")).alias("category"),
+        record.truthy("createdIn", "created_in").alias("created_in"),
+        record.shown("tags").alias("tags"),
         *_origin(run_ts),
     )
-    return rows.where(_present(F.col("entity_id")))
+    return rows.where(_present("entity_id"))
 
 
-def _entity_of(payload: Column) -> Column:
-    after_colon = F.when(
-        F.contains(F.col("event_id"), F.lit(":")), F.substring_index("event_id", ":", -1)
-    )
-    return F.coalesce(
-        V.first_truthy_text(payload, "islandCode", "island_code", "code"), after_colon
+def _metric_entries(payload: Column, metrics: MetricSet) -> tuple[Column, Column]:
+    """(known metrics of the payload, entries of its `metrics` map), both as array of
+    struct<key, value>; a known metric that is absent has a NULL value."""
+    known = F.array(
+        *[
+            F.struct(F.lit(name).alias("key"), V.field(payload, name).alias("value"))
+            for name in metrics.names
+        ]
     )
+    return known, F.map_entries(V.field_members(payload, "metrics"))
 
 
-def _metric_bodies(payload: Column, metrics: MetricSet) -> Column:
-    """array<struct<name, body>>: the known metrics the payload has, else its `metrics` map."""
-    nested = V.field_members(payload, "metrics")
-    known = F.filter(
-        F.array(
-            *[
-                F.struct(F.lit(name).alias("name"), V.field(payload, name).alias("body"))
-                for name in metrics.names
-            ]
-        ),
-        lambda metric: metric.body.isNotNull(),
-    )
-    top = V.members(payload)
+def _has_any(payload: Column, metrics: MetricSet) -> Column:
+    any_present = F.lit(False)
+    for name in metrics.names:
+        any_present = any_present | V.field(payload, name).isNotNull()
+    return any_present
 
-    def body_of(name: Column, own: Column) -> Column:
-        return F.coalesce(V.non_null(own), F.element_at(nested, name)).alias("body")
 
-    from_known = F.transform(
-        known, lambda metric: F.struct(metric.getField("name").alias("name"), body_of(metric.getField("name"), metric.body))
+def _per_metric(events: DataFrame, metrics: MetricSet) -> DataFrame:
+    """One row per event and metric, with the metric's body."""
+    payload = F.col("payload")
+    read, own = Fields.read(
+        events, "payload", "islandCode", "island_code", "code", "interval", "intervalType",
+        "interval_type",
     )
-    from_nested = F.transform(
-        F.map_keys(nested),
-        lambda name: F.struct(name.alias("name"), body_of(name, F.element_at(top, name))),
+    after_colon = F.when(
+        F.contains(F.col("event_id"), F.lit(":")), F.substring_index("event_id", ":", -1)
     )
-    return F.when(F.size(known) > 0, from_known).otherwise(from_nested)
-
-
-def _series(body: Column) -> Column:
-    """array<struct<key, item>> of a metric body: a list, or `data` as a list or an object.
-
-    For an object the key is the default time of the point, for a list it is NULL.
-    """
-
-    def unkeyed(items: Column) -> Column:
-        return F.transform(
-            V.objects_in(items),
-            lambda item: F.struct(F.lit(None).cast("string").alias("key"), item.alias("item")),
-        )
-
-    keyed = F.transform(
-        F.map_entries(V.field_members(body, "data")),
-        lambda entry: F.struct(entry.key.alias("key"), entry.value.alias("item")),
+    known, nested = _metric_entries(payload, metrics)
+    found = read.select(
+        *_HEAD,
+        "payload",
+        F.coalesce(own.truthy("islandCode", "island_code", "code"), after_colon).alias("entity_id"),
+        F.coalesce(
+            own.truthy("interval", "intervalType", "interval_type"), F.lit("minute")
+        ).alias("interval_type"),
+        _has_any(payload, metrics).alias("has_known"),
     )
-    return F.coalesce(
-        unkeyed(V.elements(body)), unkeyed(V.field_elements(body, "data")), keyed
+    each = found.select(
+        "*", F.explode(F.when(F.col("has_known"), known).otherwise(nested)).alias("metric")
+    ).where(F.col("metric.value").isNotNull())
+    name, body = F.col("metric.key"), F.col("metric.value")
+    # A known metric that is null looks in the `metrics` map; a name from the map looks for
+    # a body of the same name in the payload first.
+    beside = F.when(F.col("has_known"), V.field_members(payload, "metrics")).otherwise(
+        V.members(payload)
+    )
+    other = F.try_element_at(beside, name)
+    resolved = F.when(
+        F.col("has_known"), F.when(F.is_variant_null(body), other).otherwise(body)
+    ).otherwise(F.coalesce(V.non_null(other), body))
+    return each.select(
+        *_HEAD, "entity_id", "interval_type", name.alias("metric_name"), resolved.alias("body")
     )
 
 
 def flatten_metrics(
     events: DataFrame, run_ts: RunTime = None, metrics: MetricSet = DEFAULT_METRICS
 ) -> DataFrame:
-    """Wide payloads to one row per (event, metric, point)."""
-    payload = F.col("payload")
-    per_metric = events.select(
-        "event_id",
-        "event_time",
-        "ingested_at",
-        _entity_of(payload).alias("entity_id"),
-        F.coalesce(
-            V.first_truthy_text(payload, "interval", "intervalType", "interval_type"),
-            F.lit("minute"),
-        ).alias("interval_type"),
-        F.explode(_metric_bodies(payload, metrics)).alias("metric"),
-    ).where(_present(F.col("entity_id")))
-    points = per_metric.select(
-        "*", F.explode(_series(F.col("metric.body"))).alias("point")
+    """Wide payloads to one row per (event, metric, point).
+
+    A body is a list of points, or has them under `data` as a list or as an object whose
+    keys are the default times.
+    """
+    bodies = _per_metric(events, metrics).withColumn("series", V.field(F.col("body"), "data"))
+    under_data = F.col("series").isNotNull()
+    bodies = bodies.withColumns(
+        {"under_data": under_data, "series": F.coalesce("series", "body")}
     )
-    item, key = F.col("point.item"), F.col("point.key")
-    own_value = V.field(item, "value")
+    points = V.explode_node(bodies, "series", "key", "item").where(
+        F.col("under_data") | F.col("key").isNull()
+    )
+    points, point = Fields.read(points, "item", "timestamp", "time")
+    own_value, count = point.child("value"), point.child("count")
     # A present `value` wins even when it is null; only an absent one gives way to `count`.
-    value = F.when(
-        V.is_object(item),
-        F.when(own_value.isNotNull(), own_value).otherwise(V.field(item, "count")),
-    ).otherwise(item)
-    time = F.coalesce(
-        V.first_truthy_text(item, "timestamp", "time"), F.nullif(key, F.lit(""))
-    )
-    return points.select(
+    value = (
+        F.when(own_value.isNotNull(), V.number(own_value))
+        .when(count.isNotNull(), V.number(count))
+        .when(F.col("key").isNotNull(), V.number(F.col("item")))
+    )
+    time = F.coalesce(point.truthy("timestamp", "time"), F.nullif("key", F.lit("")))
+    rows = points.select(
         "entity_id",
         "interval_type",
-        F.col("metric.name").alias("metric_name"),
+        "metric_name",
         time.alias("metric_timestamp"),
         F.substring(time, 1, 10).alias("metric_date"),
-        V.number(value).alias("metric_value"),
+        value.alias("metric_value"),
         *_origin(run_ts),
-    ).where(_present(F.col("metric_timestamp")))
+    )
+    return rows.where(_present("metric_timestamp") & _present("entity_id"))

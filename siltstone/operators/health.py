@@ -7,8 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.functions import variant as V
 from siltstone.functions.instants import instant
+from siltstone.functions.variant import Fields
 
 _SOURCE_KEYS = ("source", "source_name", "entity")
 _TIME_KEYS = ("observed_at", "ingested_at", "event_time")
@@ -22,11 +22,11 @@ def _first_filled(df: DataFrame, names: tuple[str, ...]) -> Column:
 def normalise_health(events: DataFrame) -> DataFrame:
     """(source_name, status, observed_at text) from typed columns or from a VARIANT `event`."""
     if "event" in events.columns:
-        event = F.col("event")
-        found = events.select(
-            V.first_truthy_text(event, *_SOURCE_KEYS).alias("source_name"),
-            F.lower(F.coalesce(V.first_truthy_text(event, "status"), F.lit(""))).alias("status"),
-            V.first_truthy_text(event, *_TIME_KEYS).alias("observed_at"),
+        read, own = Fields.read(events, "event", *_SOURCE_KEYS, "status", *_TIME_KEYS)
+        found = read.select(
+            own.truthy(*_SOURCE_KEYS).alias("source_name"),
+            F.lower(F.coalesce(own.truthy("status"), F.lit(""))).alias("status"),
+            own.truthy(*_TIME_KEYS).alias("observed_at"),
         )
     else:
         found = events.select(

@@ -33,9 +33,11 @@ class HotKeys:
 def find_hot_keys(df: DataFrame, key: str, max_rows: int) -> HotKeys | None:
     """Count rows per key (combined map-side) and keep the keys above `max_rows`."""
     counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = materialize(counted.where(F.col("_rows") > max_rows), "hot-keys")
-    total = hot.agg(F.sum("_rows")).first()[0]
-    return None if total is None else HotKeys(hot.select(key), int(total))
+    crowded = counted.where(F.col("_rows") > max_rows)
+    total = crowded.agg(F.sum("_rows")).first()[0]
+    if total is None:
+        return None
+    return HotKeys(materialize(crowded.select(key), "hot-keys"), int(total))
 
 
 def split_hot(df: DataFrame, key: str, hot: HotKeys | None) -> tuple[DataFrame, DataFrame | None]:

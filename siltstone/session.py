@@ -16,6 +16,9 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "snappy",
+    # The JVM leaves methods above 8000 bytes uncompiled. Wide JSON projections exceed that
+    # as one method; below this limit Spark splits them into small ones instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -28,9 +31,12 @@ def build_session(app: str = "siltstone", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
-def use_utc(spark: SparkSession) -> None:
-    """All instants in the tables are UTC; make the session read and print them that way."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+def prepare(spark: SparkSession) -> SparkSession:
+    """Apply the settings that a session made elsewhere may lack. Everything here can be
+    changed at run time; instants in the tables are UTC and are read and printed as such."""
+    for key, value in SESSION_CONF.items():
+        spark.conf.set(key, value)
+    return spark
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -41,14 +41,16 @@ def load_events(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def load_health(spark: SparkSession, bronze_root: str, *, whole_files: bool = False) -> DataFrame:
-    """Decoded health events; unreadable ones are left out."""
+    """Decoded health events; unreadable ones have a NULL event, which names no source."""
     raw = read_bronze(spark, bronze_root, HEALTH_SOURCE, whole_files=whole_files)
-    return load_events(raw)[0].select("event")
+    return decode(raw).select("event")
 
 
 def load_payloads(spark: SparkSession, bronze_root: str, source: str, *, whole_files: bool = False) -> DataFrame:
+    """Events of one source, parsed once: no filter on the parsed value, which Spark would
+    evaluate a second time below the projection."""
     raw = read_bronze(spark, bronze_root, source, whole_files=whole_files)
-    return event_columns(load_events(raw)[0])
+    return event_columns(decode(raw))
 
 
 def read_table(

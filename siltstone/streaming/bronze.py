@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from siltstone.functions import variant as V
-from siltstone.operators.envelope import decode, stable_id
+from siltstone.operators.envelope import decode, identify
 from siltstone.sinks.events import write_bronze
 
 
@@ -42,11 +41,7 @@ def land(
 
 def identified(records: DataFrame) -> DataFrame:
     """Decoded records with `event_id` and `event_ts` for de-duplication."""
-    event = F.col("event")
-    moment = V.first_truthy_text(event, "event_time", "ingested_at", "observed_at")
-    return decode(records).where(event.isNotNull()).withColumns(
-        {"event_id": stable_id(event), "event_ts": F.try_to_timestamp(moment)}
-    )
+    return identify(decode(records).where(F.col("event").isNotNull()))
 
 
 def drop_replays(events: DataFrame, within: str = "1 day") -> DataFrame:

@@ -24,8 +24,7 @@ def bronze_stream(spark: SparkSession, root: str, source: str) -> DataFrame:
 
 def flatten_stream(raw: DataFrame, task: SilverTask, run_ts: dt.datetime) -> DataFrame:
     """Only projections and generators: no state, no watermark."""
-    decoded = decode(raw)
-    return shaped(task, event_columns(decoded.where(decoded.event.isNotNull())), run_ts)
+    return shaped(task, event_columns(decode(raw)), run_ts)
 
 
 def write_silver(
