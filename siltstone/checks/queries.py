@@ -575,13 +575,15 @@ def nested_scalar(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("{}"),
     )
     node = F.try_parse_json(F.get(shapes, (F.col("event_id") % 8).cast("int")))
-    x = V.field(F.col("node"), "x")
-    return Tables(spark, sf_dir).raw("events").select("event_id", node.alias("node")).select(
+    nodes = Tables(spark, sf_dir).raw("events").select("event_id", node.alias("node"))
+    read, own = V.Fields.read(nodes, "node", x=("id", "name"))
+    x = own.child("x")
+    return read.select(
         "event_id",
         V.label(x).alias("label"),
         V.number(x).alias("number"),
         V.is_truthy(x).alias("is_truthy"),
-        V.truthy_label(x, "id", "name").alias("short_label"),
+        own.truthy_label("x").alias("short_label"),
     )
 
 

@@ -11,8 +11,6 @@ one projection, and everything else is decided on plain strings.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -101,37 +99,49 @@ def is_truthy(node: Column) -> Column:
 LABEL_KEYS = ("value", "name", "id", "text")
 
 
-def label(node: Column, keys: Iterable[str] = LABEL_KEYS) -> Column:
-    """A label that is either a scalar or an object carrying it under one of `keys`."""
-    from_object = F.coalesce(*[field_text(node, key) for key in keys], F.to_json(node))
-    return F.when(is_object(node), from_object).otherwise(text(node))
+def _texts_of(node: Column, path: str, names: tuple[str, ...]) -> Column:
+    """Struct with the texts of several children, NULL unless the node is an object."""
+    return F.try_variant_get(node, path, f"struct<{','.join(f'{n}:string' for n in names)}>")
 
 
-def truthy_label(node: Column, *keys: str) -> Column:
-    """Like `label`, but an object gives its first truthy key or NULL."""
-    found = [truthy_text(field_text(node, key), field(node, key)) for key in keys]
-    return F.when(is_object(node), F.coalesce(*found)).otherwise(text(node))
+def label(node: Column, keys: tuple[str, ...] = LABEL_KEYS) -> Column:
+    """A label that is either a scalar or an object carrying it under one of `keys`; an
+    object with none of them gives its JSON."""
+    inner = _texts_of(node, "$", keys)
+    return F.coalesce(*[inner.getField(key) for key in keys], text(node))
 
 
 class Fields:
     """Children of an object column, each extracted once.
 
-    `df, offer = Fields.read(df, "offer", "offerId", ...)` adds a struct of texts to `df`,
-    read by a single cast; the methods then build expressions over it.
+    `df, offer = Fields.read(df, "offer", "offerId", ..., layout=("id", "name"))` adds a
+    struct of texts to `df`, read by a single cast, and one for each child that may itself
+    be an object; the methods then build expressions over plain strings.
     """
 
-    def __init__(self, node: str, texts: str) -> None:
-        self.node, self.texts = node, texts
+    def __init__(self, node: str, objects: dict[str, tuple[str, ...]]) -> None:
+        self.node, self.objects = node, objects
 
     @classmethod
-    def read(cls, df: DataFrame, node: str, *names: str) -> tuple[DataFrame, Fields]:
-        texts = f"_{node}_texts"
-        kind = ",".join(f"{name}:string" for name in names)
-        extracted = F.try_variant_get(F.col(node), "$", f"struct<{kind}>")
-        return df.withColumn(texts, extracted), cls(node, texts)
+    def read(
+        cls, df: DataFrame, node: str, *names: str, **objects: tuple[str, ...]
+    ) -> tuple[DataFrame, Fields]:
+        fields = cls(node, objects)
+        parent = F.col(node)
+        columns = {fields._texts: _texts_of(parent, "$", (*names, *objects))}
+        for name, keys in objects.items():
+            columns[fields._inner(name)] = _texts_of(parent, f"$['{name}']", keys)
+        return df.withColumns(columns), fields
+
+    @property
+    def _texts(self) -> str:
+        return f"_{self.node}_texts"
+
+    def _inner(self, name: str) -> str:
+        return f"_{self.node}_{name}"
 
     def shown(self, name: str) -> Column:
-        return F.col(f"{self.texts}.`{name}`")
+        return F.col(f"{self._texts}.`{name}`")
 
     def child(self, name: str) -> Column:
         return field(F.col(self.node), name)
@@ -144,11 +154,33 @@ class Fields:
         """The first truthy child as a number; a truthy child that is none gives NULL."""
         found = F.lit(None).cast("double")
         for name in reversed(names):
-            value = F.try_variant_get(F.col(self.node), f"$['{name}']", "double")
-            is_set = truthy_text(self.shown(name), self.child(name)).isNotNull()
+            shown = self.shown(name)
+            value = F.when(shown == "true", number(self.child(name))).otherwise(
+                shown.try_cast("double")
+            )
+            is_set = truthy_text(shown, self.child(name)).isNotNull()
             found = F.when(is_set, value).otherwise(found)
         return found
 
+    def flag(self, name: str) -> Column:
+        return self.shown(name).try_cast("boolean")
+
+    def is_object(self, name: str) -> Column:
+        return F.col(self._inner(name)).isNotNull()
+
+    def label(self, name: str) -> Column:
+        """Scalar text, or the first of the object's keys that is not null, or its JSON."""
+        inner = [F.col(f"{self._inner(name)}.`{key}`") for key in self.objects[name]]
+        return F.coalesce(*inner, self.shown(name))
+
+    def truthy_label(self, name: str) -> Column:
+        """Scalar text, or the first truthy of the object's keys, or NULL."""
+        found = [
+            truthy_text(F.col(f"{self._inner(name)}.`{key}`"), field(self.child(name), key))
+            for key in self.objects[name]
+        ]
+        return F.when(self.is_object(name), F.coalesce(*found)).otherwise(self.shown(name))
+
 
 def explode_node(df: DataFrame, node: str, key: str, item: str) -> DataFrame:
     """One row per element of a list or member of an object; `key` is NULL for lists."""

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.functions.instants import instant, stamp
+from siltstone.functions.pinned import filter_here
 from siltstone.schemas import DEFAULT_METRICS, MetricSet
 
 # Limits of a 38-digit ordering key: 18 digits of event time, 18 of ingestion time, 2 of hash.
@@ -17,9 +18,9 @@ _LARGEST_MICROS = 9 * 10**17
 
 def timed_points(points: DataFrame) -> DataFrame:
     """Points with a readable time, an entity and a metric; `ts` is the parsed time."""
-    return points.withColumn("ts", instant(points, "metric_timestamp")).dropna(
-        subset=["entity_id", "metric_name", "ts"]
-    )
+    named = points.where(F.col("entity_id").isNotNull() & F.col("metric_name").isNotNull())
+    timed = named.withColumn("ts", instant(named, "metric_timestamp"))
+    return filter_here(timed, F.col("ts").isNotNull())
 
 
 def _micros(moment: Column) -> Column:

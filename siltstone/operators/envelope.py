@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from siltstone.functions import variant as V
 from siltstone.functions.instants import as_date
+from siltstone.functions.pinned import filter_here
 from siltstone.functions.variant import Fields
 
 # The bronze sources, and the topic endings that select them.
@@ -59,8 +60,8 @@ def decode(raw: DataFrame, column: str = "value") -> DataFrame:
 def split_decoded(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(events, quarantined rows that are not JSON objects)."""
     return (
-        decoded.where(F.col("event").isNotNull()),
-        decoded.where(F.col("event").isNull()),
+        filter_here(decoded, F.col("event").isNotNull()),
+        filter_here(decoded, F.col("event").isNull()),
     )
 
 

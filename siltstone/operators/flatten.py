@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from siltstone.functions import variant as V
 from siltstone.functions.instants import stamp
+from siltstone.functions.pinned import filter_here
 from siltstone.functions.variant import Fields
 from siltstone.operators.envelope import OFFER_LISTS, first_list
 from siltstone.schemas import DEFAULT_METRICS, MetricSet
@@ -63,7 +64,8 @@ def flatten_offers(events: DataFrame, run_ts: RunTime = None) -> DataFrame:
     offers, offer = Fields.read(
         V.explode_node(listed, "offers", "key", "offer"), "offer",
         "offerId", "offer_id", "devName", "dev_name", "regularPrice", "regular_price",
-        "finalPrice", "final_price", "inDate", "in_date", "outDate", "out_date",
+        "finalPrice", "final_price", "giftable", "refundable", "inDate", "in_date", "outDate",
+        "out_date", layout=("id", "name"),
     )
     rows = offers.select(
         F.nullif("day", F.lit("")).alias("snapshot_date"),
@@ -71,36 +73,37 @@ def flatten_offers(events: DataFrame, run_ts: RunTime = None) -> DataFrame:
         offer.truthy("devName", "dev_name").alias("dev_name"),
         offer.truthy_number("regularPrice", "regular_price").alias("regular_price"),
         offer.truthy_number("finalPrice", "final_price").alias("final_price"),
-        V.flag(offer.child("giftable")).alias("giftable"),
-        V.flag(offer.child("refundable")).alias("refundable"),
+        offer.flag("giftable").alias("giftable"),
+        offer.flag("refundable").alias("refundable"),
         offer.truthy("inDate", "in_date").alias("in_date"),
         offer.truthy("outDate", "out_date").alias("out_date"),
-        V.truthy_label(offer.child("layout"), "id", "name").alias("layout_id"),
+        offer.truthy_label("layout").alias("layout_id"),
         *_origin(run_ts),
     )
-    return rows.where(_present("offer_id"))
+    return filter_here(rows, _present("offer_id"))
 
 
 def flatten_catalog(events: DataFrame, run_ts: RunTime = None) -> DataFrame:
     """Records come as a list or as the values of an object; chunked batches are just events."""
     records, record = Fields.read(
         V.explode_node(_with_data(events), "data", "key", "record"), "record",
-        "id", "cosmeticId", "name", "description", "set",
+        "id", "cosmeticId", "name", "description",
+        rarity=V.LABEL_KEYS, type=V.LABEL_KEYS, set=V.LABEL_KEYS,
+        introduction=("text", "backendValue"),
     )
-    intro, grouping = record.child("introduction"), record.child("set")
+    intro = record.child("introduction")
     rows = records.select(
         record.truthy("id", "cosmeticId").alias("catalog_id"),
         record.shown("name").alias("name"),
         record.shown("description").alias("description"),
-        V.label(record.child("rarity")).alias("rarity"),
-        V.label(record.child("type")).alias("type"),
-        F.when(record.truthy("set").isNotNull(), V.label(grouping)).alias("set_name"),
-        F.when(V.is_text(intro), V.text(intro))
-        .when(V.is_object(intro), V.truthy_label(intro, "text", "backendValue"))
+        record.label("rarity").alias("rarity"),
+        record.label("type").alias("type"),
+        F.when(record.truthy("set").isNotNull(), record.label("set")).alias("set_name"),
+        F.when(record.is_object("introduction") | V.is_text(intro), record.truthy_label("introduction"))
         .alias("introduction_text"),
         *_origin(run_ts),
     )
-    return rows.where(_present("catalog_id"))
+    return filter_here(rows, _present("catalog_id"))
 
 
 def flatten_entities(events: DataFrame, run_ts: RunTime = None) -> DataFrame:
@@ -108,19 +111,19 @@ def flatten_entities(events: DataFrame, run_ts: RunTime = None) -> DataFrame:
     records, record = Fields.read(
         listed, "record",
         "code", "displayName", "title", "creatorCode", "creator_code", "display_name",
-        "createdIn", "created_in", "tags",
+        "createdIn", "created_in", "tags", category=V.LABEL_KEYS,
     )
     rows = records.select(
         record.truthy("code", "displayName").alias("entity_id"),
         record.shown("title").alias("title"),
         record.truthy("creatorCode", "creator_code").alias("creator_code"),
         record.truthy("displayName", "display_name").alias("display_name"),
-        V.label(record.child("category")).alias("category"),
+        record.label("category").alias("category"),
         record.truthy("createdIn", "created_in").alias("created_in"),
         record.shown("tags").alias("tags"),
         *_origin(run_ts),
     )
-    return rows.where(_present("entity_id"))
+    return filter_here(rows, _present("entity_id"))
 
 
 def _metric_entries(payload: Column, metrics: MetricSet) -> tuple[Column, Column]:
@@ -214,4 +217,4 @@ def flatten_metrics(
         value.alias("metric_value"),
         *_origin(run_ts),
     )
-    return rows.where(_present("metric_timestamp") & _present("entity_id"))
+    return filter_here(rows, _present("metric_timestamp") & _present("entity_id"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.functions.instants import instant
+from siltstone.functions.pinned import filter_here
 from siltstone.functions.variant import Fields
 
 _SOURCE_KEYS = ("source", "source_name", "entity")
@@ -34,7 +35,7 @@ def normalise_health(events: DataFrame) -> DataFrame:
             F.lower(F.coalesce(F.col("status").cast("string"), F.lit(""))).alias("status"),
             _first_filled(events, _TIME_KEYS).alias("observed_at"),
         )
-    return found.where(F.col("source_name").isNotNull())
+    return filter_here(found, F.col("source_name").isNotNull())
 
 
 def health_summary(events: DataFrame) -> DataFrame:

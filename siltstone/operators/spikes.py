@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.functions.instants import instant, stamp
+from siltstone.functions.pinned import filter_here
 from siltstone.operators.activity import with_titles
 from siltstone.operators.segments import MAX_ROWS_PER_TASK, running_history
 from siltstone.schemas import DEFAULT_METRICS, MetricSet
@@ -40,16 +41,15 @@ def primary_points(points: DataFrame, metrics: MetricSet = DEFAULT_METRICS) -> D
     for name in ("ingested_at", "source_event_id"):
         if name not in points.columns:
             points = points.withColumn(name, F.lit(None).cast("string"))
-    return (
-        points.select(
-            "entity_id",
-            instant(points, "metric_timestamp").alias("ts"),
-            F.col("metric_value").cast("double").alias("value"),
-            "ingested_at",
-            "source_event_id",
-        )
-        .dropna(subset=["entity_id", "ts", "value"])
+    points = points.where(F.col("entity_id").isNotNull() & F.col("metric_value").isNotNull())
+    timed = points.select(
+        "entity_id",
+        instant(points, "metric_timestamp").alias("ts"),
+        F.col("metric_value").cast("double").alias("value"),
+        "ingested_at",
+        "source_event_id",
     )
+    return filter_here(timed, F.col("ts").isNotNull())
 
 
 def judge(history: DataFrame, rules: SpikeRules = DEFAULT_RULES) -> DataFrame:

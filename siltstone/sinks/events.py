@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siltstone.functions.pinned import filter_here
 from siltstone.operators.envelope import to_bronze
 
 
@@ -14,7 +15,7 @@ def bronze_lines(routed: DataFrame, batch: str) -> DataFrame:
     """One JSON object per line. Line breaks outside strings are the only ones JSON allows,
     so blanking them changes nothing and keeps key order and escapes as received."""
     one_line = F.translate(F.col("value").cast("string"), "\r\n", "  ")
-    return routed.where(F.col("source").isNotNull()).select(
+    return filter_here(routed, F.col("source").isNotNull()).select(
         one_line.alias("value"),
         "source",
         F.col("event_date").cast("string").alias("event_date"),
@@ -25,7 +26,7 @@ def bronze_lines(routed: DataFrame, batch: str) -> DataFrame:
 def quarantined(routed: DataFrame) -> DataFrame:
     """What could not be stored: not an object, or not attributable to a source."""
     reason = F.when(F.col("event").isNull(), "not_an_object").otherwise("unknown_source")
-    return routed.where(F.col("source").isNull()).select(
+    return filter_here(routed, F.col("source").isNull()).select(
         F.col("value").cast("string").alias("value"), reason.alias("reason")
     )
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from siltstone.functions.pinned import filter_here
 from siltstone.operators.envelope import decode, identify
 from siltstone.sinks.events import write_bronze
 
@@ -41,7 +42,7 @@ def land(
 
 def identified(records: DataFrame) -> DataFrame:
     """Decoded records with `event_id` and `event_ts` for de-duplication."""
-    return identify(decode(records).where(F.col("event").isNotNull()))
+    return identify(filter_here(decode(records), F.col("event").isNotNull()))
 
 
 def drop_replays(events: DataFrame, within: str = "1 day") -> DataFrame:
