@@ -180,44 +180,51 @@ def with_record_count(
     events: DataFrame, event_type: str = "event_type", raw: str | None = None
 ) -> DataFrame:
     """Add `record_count`: how many records the payload carries, NULL if that is unknown."""
-    staged = events.withColumn("_data", V.field(F.col("payload"), "data"))
     data, kind = F.col("_data"), F.col(event_type)
-    named = [F.size(V.field_elements(data, name)) for name in OFFER_LISTS]
-    other = first_list(data, F.col(raw) if raw else None, of_objects=False)
-    sizes = F.when(
-        kind == "shop", F.coalesce(*[_known_size(n) for n in named], _known_size(F.size(V.elements(other))))
-    ).when(
-        kind.isin("cosmetics", "islands"),
-        F.coalesce(_known_size(F.size(V.elements(data))), _known_size(F.size(V.members(data)))),
+    staged = events.withColumn("_data", V.field(F.col("payload"), "data"))
+    named = F.coalesce(*[_known_size(V.field_elements(data, name)) for name in OFFER_LISTS])
+    staged = staged.withColumn("_named", F.when(kind == "shop", named))
+    staged = with_first_list(
+        staged, "_list", (kind == "shop") & F.col("_named").isNull(), raw, of_objects=False
+    )
+    listed = F.coalesce(_known_size(V.elements(data)), _known_size(V.members(data)))
+    count = (
+        F.when(kind == "shop", F.coalesce("_named", _known_size(V.elements(F.col("_list")))))
+        .when(kind.isin("cosmetics", "islands"), listed)
+        .when(kind == "island_metrics", F.lit(1))
     )
-    count = sizes.when(kind == "island_metrics", F.lit(1))
-    return staged.withColumn("record_count", count).drop("_data")
+    return staged.withColumn("record_count", count).drop("_data", "_named", "_list")
 
 
-def _known_size(size: Column) -> Column:
+def _known_size(items: Column) -> Column:
+    size = F.size(items)
     return F.when(size >= 0, size)
 
 
-def first_list(data: Column, raw: Column | None, *, of_objects: bool) -> Column:
-    """First non-empty list among the values of `data`, in document order.
+def with_first_list(
+    df: DataFrame, into: str, wanted: Column, raw: str | None, *, of_objects: bool
+) -> DataFrame:
+    """Where `wanted`, add the first non-empty list among the values of `_data`, in document
+    order.
 
     VARIANT sorts object keys; the original order is taken from the event's JSON text if
-    given. Only payloads without a known list get here.
+    given. Only payloads without a known list need this, so it is kept out of the way of
+    the others.
     """
-    keys = F.map_keys(V.members(data))
-    if raw is not None:
-        written = F.json_object_keys(F.get_json_object(raw, "$.payload.data"))
-        keys = F.coalesce(written, keys)
-
-    def path(key: Column, suffix: str) -> Column:
-        return F.concat(F.lit("$['"), key, F.lit("']" + suffix))
+    kind = "map<string,variant>" if of_objects else "variant"
 
-    def is_wanted(key: Column) -> Column:
-        head = F.try_variant_get(data, path(key, "[0]"), "variant")
-        return V.is_object(head) if of_objects else head.isNotNull()
+    def is_candidate(_: Column, value: Column) -> Column:
+        return F.try_variant_get(value, "$[0]", kind).isNotNull()
 
-    chosen = F.get(F.filter(keys, is_wanted), 0)
-    return F.try_variant_get(data, path(chosen, ""), "variant")
+    staged = df.withColumn("_members", F.when(wanted, V.members(F.col("_data"))))
+    keys = F.map_keys(F.map_filter("_members", is_candidate))
+    if raw is not None:
+        written = F.json_object_keys(F.get_json_object(raw, "$.payload.data"))
+        keys = F.when(F.size(keys) > 1, F.coalesce(F.array_intersect(written, keys), keys)).otherwise(keys)
+    staged = staged.withColumn("_keys", F.when(F.col("_members").isNotNull(), keys))
+    return staged.withColumn(
+        into, F.try_element_at("_members", F.get("_keys", 0))
+    ).drop("_members", "_keys")
 
 
 def health_events(

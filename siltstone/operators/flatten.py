@@ -16,7 +16,7 @@ from siltstone.functions import variant as V
 from siltstone.functions.instants import stamp
 from siltstone.functions.pinned import filter_here
 from siltstone.functions.variant import Fields
-from siltstone.operators.envelope import OFFER_LISTS, first_list
+from siltstone.operators.envelope import OFFER_LISTS, with_first_list
 from siltstone.schemas import DEFAULT_METRICS, MetricSet
 
 RunTime = dt.datetime | Column | None
@@ -45,22 +45,23 @@ def _with_data(events: DataFrame) -> DataFrame:
     return events.select(*_HEAD, *raw, V.field(F.col("payload"), "data").alias("data"))
 
 
-def _offer_list(data: Column, raw: Column | None) -> Column:
-    """The list holding the offers: a named one, else the first list of objects."""
-    found = F.when(F.lit(False), data)
+def _with_offer_list(listed: DataFrame) -> DataFrame:
+    """Add `offers`: a list under one of the known names, else the first list of objects."""
+    data = F.col("_data")
+    named = F.when(F.lit(False), data)
     for name in OFFER_LISTS:
-        found = found.when(V.has_items(data, name), V.field(data, name))
-    return found.otherwise(first_list(data, raw, of_objects=True))
+        named = named.when(V.has_items(data, name), V.field(data, name))
+    raw = "raw" if "raw" in listed.columns else None
+    found = with_first_list(
+        listed.withColumn("_named", named), "_list", F.col("_named").isNull(), raw, of_objects=True
+    )
+    return found.withColumn("offers", F.coalesce("_named", "_list"))
 
 
 def flatten_offers(events: DataFrame, run_ts: RunTime = None) -> DataFrame:
-    raw = F.col("raw") if "raw" in events.columns else None
-    listed, body = Fields.read(_with_data(events), "data", "date")
-    listed = listed.select(
-        *_HEAD,
-        F.substring(F.coalesce(body.truthy("date"), F.col("event_time")), 1, 10).alias("day"),
-        _offer_list(F.col("data"), raw).alias("offers"),
-    )
+    listed, body = Fields.read(_with_data(events).withColumnRenamed("data", "_data"), "_data", "date")
+    day = F.substring(F.coalesce(body.truthy("date"), F.col("event_time")), 1, 10)
+    listed = _with_offer_list(listed).select(*_HEAD, day.alias("day"), "offers")
     offers, offer = Fields.read(
         V.explode_node(listed, "offers", "key", "offer"), "offer",
         "offerId", "offer_id", "devName", "dev_name", "regularPrice", "regular_price",

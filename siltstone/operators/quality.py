@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.functions import variant as V
+from siltstone.functions.pinned import filter_here
 
 # Fixed values.
 ALLOWED_STATUS = ("success", "failed", "stale")
@@ -88,6 +89,6 @@ def check(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, DataFrame]:
     """(valid rows without the reasons, rejected rows with them)."""
     judged = apply_rules(df, rules)
     return (
-        judged.where(F.size(REASONS) == 0).drop(REASONS),
-        judged.where(F.size(REASONS) > 0),
+        filter_here(judged, F.size(REASONS) == 0).drop(REASONS),
+        filter_here(judged, F.size(REASONS) > 0),
     )
