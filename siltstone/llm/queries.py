@@ -35,6 +35,12 @@ def op5_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), tokenizer(BYTE_BPE))
 
 
+def op6_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltstone.llm.bottom_k import fingerprint_documents
+
+    return fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_rans_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     from siltstone.llm.rans_output import read_documents, write_tokens
 
@@ -46,6 +52,7 @@ def op10_rans_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op4_config_packing": op4_config_packing,
     "op5_bpe_transducer": op5_bpe_transducer,
+    "op6_bottom_k": op6_bottom_k,
     "op10_rans_output": op10_rans_output,
 }
 
