@@ -21,6 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltstone.llm.language_mixture import identify_documents
+
+    return identify_documents(table(spark, sf_dir, "documents"))
+
+
 def op4_config_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from siltstone.llm.config_packing import pack_documents
 
@@ -41,6 +47,18 @@ def op6_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltstone.llm.line_crf import score_documents
+
+    return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_ngram_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltstone.llm.ngram_ratio import judge_documents
+
+    return judge_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_rans_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     from siltstone.llm.rans_output import read_documents, write_tokens
 
@@ -50,9 +68,12 @@ def op10_rans_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_language_mixture": op3_language_mixture,
     "op4_config_packing": op4_config_packing,
     "op5_bpe_transducer": op5_bpe_transducer,
     "op6_bottom_k": op6_bottom_k,
+    "op8_line_crf": op8_line_crf,
+    "op9_ngram_ratio": op9_ngram_ratio,
     "op10_rans_output": op10_rans_output,
 }
 
