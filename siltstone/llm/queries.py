@@ -21,6 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltstone.llm.jaccard_join import link_components
+
+    return link_components(table(spark, sf_dir, "documents"))
+
+
 def op3_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     from siltstone.llm.language_mixture import identify_documents
 
@@ -68,6 +74,7 @@ def op10_rans_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_language_mixture": op3_language_mixture,
     "op4_config_packing": op4_config_packing,
     "op5_bpe_transducer": op5_bpe_transducer,
