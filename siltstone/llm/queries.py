@@ -21,6 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_page_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltstone.llm.page_difference import extract_pages
+
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from siltstone.llm.jaccard_join import link_components
 
@@ -74,6 +80,7 @@ def op10_rans_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_page_difference": op1_page_difference,
     "op2_jaccard_join": op2_jaccard_join,
     "op3_language_mixture": op3_language_mixture,
     "op4_config_packing": op4_config_packing,
