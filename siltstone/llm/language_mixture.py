@@ -150,6 +150,19 @@ def predict(documents: DataFrame, languages: Languages) -> DataFrame:
     return rows.mapInArrow(run, PREDICTED)
 
 
+def with_main_language(
+    documents: DataFrame, languages: Languages, least_share: float
+) -> DataFrame:
+    """Rows, all columns kept, whose text has a known language of at least that share."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [languages.mixture(text) for text in batch.column("text").to_pylist()]
+            yield batch.filter(pa.array([bool(f) and f[0][1] >= least_share for f in found]))
+
+    return documents.mapInArrow(run, documents.schema)
+
+
 def identify_documents(documents: DataFrame) -> DataFrame:
     """Learns from the rows that are not held out and predicts all rows."""
     return predict(documents, Languages.learned(documents.filter(~held_out(F.col("doc_id")))))

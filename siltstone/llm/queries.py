@@ -59,6 +59,12 @@ def op6_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_gear_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltstone.llm.gear_dedup import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     from siltstone.llm.line_crf import score_documents
 
@@ -86,6 +92,7 @@ QUERIES = {
     "op4_config_packing": op4_config_packing,
     "op5_bpe_transducer": op5_bpe_transducer,
     "op6_bottom_k": op6_bottom_k,
+    "op7_gear_dedup": op7_gear_dedup,
     "op8_line_crf": op8_line_crf,
     "op9_ngram_ratio": op9_ngram_ratio,
     "op10_rans_output": op10_rans_output,
