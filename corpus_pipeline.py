@@ -1,23 +1,86 @@
-"""The corpus pipeline: quality, language, near duplicates, repeated passages, packing."""
+"""The corpus pipeline: quality, language, near duplicates, repeated passages, packing.
+
+Each stage takes what its predecessor kept, with the columns of `documents`, and applies one
+operator of siltstone.llm. run() writes each result and reads it again for the next stage.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from siltstone.llm import config_packing, gear_dedup, jaccard_join, language_mixture, line_crf
+from siltstone.llm.queries import BYTE_BPE, CAPACITY, END_ID, tokenizer
 from siltstone.session import materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+#: Share of its main language below which a document is a jumble; two halves still pass.
+LEAST_SHARE = 0.4
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the line classifier takes for good."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    field = line_crf.learned(docs, labels)
+    scored = line_crf.with_scores(
+        docs.withColumn("_row_text", F.col("text")), field,
+        [*(c for c in docs.columns if c != "text"), "_row_text"],
+    )
+    return scored.filter(F.col("_score") >= line_crf.CUT).select(
+        *(F.col("_row_text").alias("text") if c == "text" else F.col(c) for c in docs.columns)
+    )
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a main language."""
+    training = docs.filter(~language_mixture.held_out(F.col("doc_id")))
+    languages = language_mixture.Languages.learned(training)
+    return language_mixture.with_main_language(docs, languages, LEAST_SHARE)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked documents: the one that names the group."""
+    groups = jaccard_join.link_components(docs)
+    named = groups.filter("doc_id = component_id").select("doc_id").distinct()
+    kept = docs.join(named, "doc_id", "left_semi").select(*docs.columns)
+    # Rows that repeat a doc_id are copies or name clashes of one document; one of them stays.
+    return kept.withColumn("_n", F.row_number().over(
+        Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
+    )).filter("_n = 1").drop("_n")
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages that stand in an earlier document."""
+    cut = gear_dedup.remove_repeats(docs).select(*docs.columns)
+    if "n_chars" not in docs.columns:
+        return cut
+    kind = docs.schema["n_chars"].dataType
+    return cut.withColumn("n_chars", F.length("text").cast(kind)).select(*docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents and their places in sequences."""
+    return config_packing.pack_documents(docs, tokenizer(BYTE_BPE), CAPACITY, END_ID)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality classifier", quality),
+    ("language identification", language),
+    ("near duplicates", near_duplicates),
+    ("substring dedup", repeated_passages),
+    ("best-fit packing", packing),
+]
 
+#: The learned stages and the tokenizer are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`; each result is written and read again for the next."""
+    """All stages over `documents`."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)
