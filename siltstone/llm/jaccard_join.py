@@ -139,7 +139,7 @@ def best_boundary(sizes: dict[int, int]) -> int:
             for n, times in sizes.items() if n <= top
         )
 
-    return min(BOUNDARIES, key=lambda x: (cost(x), -x))
+    return min(BOUNDARIES, key=lambda x: (cost(x), x))
 
 
 def digest(parts: np.ndarray, tag: int) -> int:
