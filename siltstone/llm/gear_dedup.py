@@ -133,7 +133,7 @@ def repeated_places(documents: DataFrame) -> DataFrame:
             yield flush()
 
     def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None
+        last, first = None, ()
         for batch in batches:
             repeat, digest, doc, text, place = (
                 batch.column(c).to_numpy(zero_copy_only=False)
@@ -143,8 +143,16 @@ def repeated_places(documents: DataFrame) -> DataFrame:
             found = repeat.copy()
             own = np.flatnonzero(~repeat)
             if len(own):
-                d = digest[own]
-                found[own] = np.r_[last is not None and d[0] == last, d[1:] == d[:-1]]
+                d, where = digest[own], (doc[own], text[own], place[own])
+                new = np.r_[last is None or d[0] != last, d[1:] != d[:-1]]
+                leader = np.maximum.accumulate(np.where(new, np.arange(len(d)), -1))
+                # A row that equals the first place of its digest is a repeated row.
+                same = np.ones(len(d), dtype=bool)
+                for k, x in enumerate(where):
+                    same &= x == np.where(leader >= 0, x[np.maximum(leader, 0)], first[k] if first else 0)
+                found[own] = ~new & ~same
+                if leader[-1] >= 0:
+                    first = tuple(x[leader[-1]] for x in where)
                 last = d[-1]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x[found]) for x in (doc, text, place)], ["doc_id", "text_hash", "place"]
