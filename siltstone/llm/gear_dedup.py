@@ -247,7 +247,7 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
         ", ".join(f"`{c}` {'binary' if c == 'text' else k}" for c, k in fields.items())
         + ", `_hash` long",
     ).withColumn("_doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(int(NO_ID))))
-    joined = packed.join(lists, ["_doc", "_hash"], "left").select(*columns, "_places")
+    joined = packed.join(lists.hint("merge"), ["_doc", "_hash"], "left").select(*columns, "_places")
     return joined.mapInArrow(
         cut,
         ", ".join(f"`{c}` {k}" for c, k in fields.items())
