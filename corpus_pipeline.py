@@ -44,7 +44,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked documents: the one that names the group."""
     groups = jaccard_join.link_components(docs)
-    named = groups.filter("doc_id = component_id").select("doc_id").distinct()
+    named = groups.filter("doc_id = component_id").select("doc_id").distinct().hint("merge")
     kept = docs.join(named, "doc_id", "left_semi").select(*docs.columns)
     # Rows that repeat a doc_id are copies or name clashes of one document; one of them stays.
     return kept.withColumn("_n", F.row_number().over(
