@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siltstone.functions import display, intents
@@ -18,10 +18,12 @@ from siltstone.functions.instants import instant
 from siltstone.operators import activity, chunks, dedupe, envelope, flatten, health
 from siltstone.operators import quality, ranking, rollup, shares, spikes
 from siltstone.plans import bronze_to_silver, serving, silver_to_gold
+from siltstone.plans.service import QueryService
 from siltstone.session import prepare, scratch_path
 from siltstone.sinks import events as event_sinks
 from siltstone.sinks import tables as table_sinks
 from siltstone.sources import files, samples, topics
+from siltstone.sources.views import ViewRegistry, dataset_paths
 from siltstone.streaming import activity as activity_stream
 from siltstone.streaming import bronze as bronze_stream
 from siltstone.streaming import rollup as rollup_stream
@@ -50,6 +52,13 @@ def moment(column: str | Column) -> Column:
     return F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS")
 
 
+def positioned(ordered: DataFrame) -> DataFrame:
+    """An ordered result with the position of each row, so that the order is compared too."""
+    return ordered.withColumn("_at", F.monotonically_increasing_id()).withColumn(
+        "position", F.row_number().over(Window.orderBy("_at"))
+    ).drop("_at")
+
+
 def rounded(column: str) -> Column:
     return F.round(column, 9).alias(column)
 
@@ -281,20 +290,22 @@ def average_today_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def recent_spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    return _spike_rows(serving.recent_spikes(spikes.detect_spikes(t.points, t.entities), 25))
+    found = serving.recent_spikes(spikes.detect_spikes(t.points, t.entities), 25)
+    return positioned(_spike_rows(found))
 
 
 @query
 def share_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    return serving.share_listing(shares.category_share(t.offers, t.catalog)).select(
-        "snapshot_date", "rarity", "item_count", rounded("share_pct")
+    found = serving.share_listing(shares.category_share(t.offers, t.catalog))
+    return positioned(found).select(
+        "snapshot_date", "rarity", "item_count", rounded("share_pct"), "position"
     )
 
 
 @query
 def offer_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serving.offer_categories(Tables(spark, sf_dir).offers)
+    return positioned(serving.offer_categories(Tables(spark, sf_dir).offers))
 
 
 @query
@@ -307,7 +318,8 @@ def offers_in_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def source_health(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _health_rows(serving.source_health(health.health_summary(Tables(spark, sf_dir).health)))
+    found = serving.source_health(health.health_summary(Tables(spark, sf_dir).health))
+    return positioned(_health_rows(found))
 
 
 @query
@@ -448,6 +460,7 @@ def chunk_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         "correlation_id", "batch_index", "batch_count", "batch_size", "total_records",
         F.get("records", 0).getField("doc_id").alias("first_doc"),
         F.get("records", F.col("batch_size") - 1).getField("doc_id").alias("last_doc"),
+        F.md5(F.array_join(F.transform("records", lambda r: F.md5(r.text)), "")).alias("texts"),
     )
 
 
@@ -468,6 +481,7 @@ def chunk_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select(
         "correlation_id", "batch_index", "page_size",
         V.number(V.field(F.col("record"), "doc_id")).cast("bigint").alias("doc_id"),
+        F.md5(V.text(V.field(F.col("record"), "text"))).alias("text_md5"),
     )
 
 
@@ -594,7 +608,11 @@ def _payloads(raw: DataFrame) -> DataFrame:
 @query
 def flatten_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = samples.offer_events(Tables(spark, sf_dir).raw("lineitem"))
-    return flatten.flatten_offers(_payloads(raw), RUN_TS).select(
+    return _offer_rows(flatten.flatten_offers(_payloads(raw), RUN_TS))
+
+
+def _offer_rows(df: DataFrame) -> DataFrame:
+    return df.select(
         "snapshot_date", "offer_id", "dev_name", F.round("regular_price", 6).alias("regular_price"),
         F.round("final_price", 6).alias("final_price"), "giftable", "layout_id",
         "source_event_id", "ingested_at",
@@ -687,13 +705,37 @@ def dated_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def bronze_compressed_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze written as compressed files counts like any other."""
+    t = Tables(spark, sf_dir)
+    root = scratch_path(spark, "bronze")
+    decoded = envelope.decode(samples.raw_records(t.raw("events")))
+    bronze = envelope.to_bronze(decoded, RUN_DATE, topic="topic").where("source IS NOT NULL")
+    lines = bronze.select("value", "source", "event_date")
+    lines.write.partitionBy("source", "event_date").option("compression", "gzip").text(root)
+    return files.read_bronze(spark, root).groupBy("source", "event_date").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
 @query
 def mirror_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies keep rows, partitions and types: counted again from the copy, by partition."""
     t = Tables(spark, sf_dir)
     source, target = scratch_path(spark, "origin"), scratch_path(spark, "mirror")
-    table_sinks.write_counted(t.raw("orders"), f"{source}/orders")
+    orders = t.raw("orders").withColumn("order_day", F.date_format("o_orderdate", "yyyy-MM-dd"))
+    table_sinks.write_counted(orders, f"{source}/orders", partition_by=("order_day",))
     table_sinks.write_counted(t.raw("part"), f"{source}/part")
-    return table_sinks.mirror(spark, source, target, ["orders", "part"])
+    copied = table_sinks.mirror(
+        spark, source, target,
+        {"orders": (orders.schema, ("order_day",)), "part": (t.raw("part").schema, ())},
+    )
+    by_day = spark.read.schema("o_orderkey long, order_day string").parquet(f"{target}/orders")
+    return copied.unionByName(
+        by_day.groupBy(F.concat(F.lit("orders of "), "order_day").alias("dataset"))
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
 
 
 @query
@@ -727,14 +769,59 @@ def _bronze_of_everything(t: Tables) -> str:
     return root
 
 
-@query
-def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze, silver and gold of the whole data set: the summaries of both jobs."""
+def _both_jobs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str, str]:
+    """Bronze, silver and gold of the whole data set: both summaries, silver and gold root."""
     bronze = _bronze_of_everything(Tables(spark, sf_dir))
     silver, gold = scratch_path(spark, "silver"), scratch_path(spark, "gold")
     first = bronze_to_silver.run(spark, bronze, silver, RUN_TS)
     second = silver_to_gold.run(spark, silver, bronze, gold, RUN_TS, top_n=10)
-    return first.unionByName(second).select("dataset", "input_count", "output_count", "status")
+    return first.unionByName(second), silver, gold
+
+
+@query
+def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    summary, _, _ = _both_jobs(spark, sf_dir)
+    return summary.select("dataset", "input_count", "output_count", "status")
+
+
+def _views(spark: SparkSession, sf_dir: str) -> ViewRegistry:
+    """The stored tables of a run behind the view registry, as the serving queries see them."""
+    _, silver, gold = _both_jobs(spark, sf_dir)
+    paths = dataset_paths(gold, silver, metric_points=f"{silver}/metric_points")
+    views = ViewRegistry(spark, paths)
+    views.refresh()
+    return views
+
+
+@query
+def job_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _offer_rows(_views(spark, sf_dir).table("offers"))
+
+
+@query
+def job_metric_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _metric_rows(_views(spark, sf_dir).table("metric_points"))
+
+
+@query
+def job_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _hourly_rows(_views(spark, sf_dir).table("hourly_rollup"))
+
+
+@query
+def job_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _views(spark, sf_dir).table("latest_activity").select(
+        "entity_id", moment("latest_metric_timestamp").alias("latest_at"), *_MEASURES,
+        (F.col("updated_at") == F.lit(RUN_TS)).alias("has_run_time"),
+    )
+
+
+@query
+def service_top_on_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An answer of the query service over stored tables."""
+    day = dt.date.fromisoformat(DAY_WITH_DATA)
+    service = QueryService(_views(spark, sf_dir), today=lambda: day)
+    return service.top_on_day(40).data.select("rank", "entity_id", *_MEASURES, "total_entities")
 
 
 # --- streams ------------------------------------------------------------------------------
@@ -751,15 +838,13 @@ def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bronze_counts(spark, root, bad)
 
 
-def _appended(spark: SparkSession, rows: DataFrame) -> DataFrame:
-    out = scratch_path(spark, "stream")
-    kind = rows.schema
-    (
-        rows.writeStream.format("parquet").option("path", out)
-        .option("checkpointLocation", scratch_path(spark, "progress"))
-        .trigger(availableNow=True).start().awaitTermination()
-    )
-    return spark.read.schema(kind).parquet(out)
+def _deduped(events: DataFrame) -> DataFrame:
+    spark = events.sparkSession
+    root = scratch_path(spark, "unique")
+    bronze_stream.follow_unique(
+        bronze_stream.identified(events), root, scratch_path(spark, "progress")
+    ).awaitTermination()
+    return bronze_stream.stored_events(spark, root).select("event_id", "key")
 
 
 @query
@@ -767,44 +852,65 @@ def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every record arrives twice; events are kept once."""
     t = Tables(spark, sf_dir)
     first, second = (samples.metric_events(t.streamed("events")) for _ in range(2))
-    found = bronze_stream.identified(first.unionByName(second))
-    return _appended(spark, bronze_stream.drop_replays(found).select("event_id", "key"))
+    return _deduped(first.unionByName(second))
+
+
+def _in_batches(rows: DataFrame, parts: int, *order: str) -> DataFrame:
+    """The same rows as a stream of `parts` micro-batches, in reverse order."""
+    spark = rows.sparkSession
+    path = scratch_path(spark, "arrivals")
+    for part in reversed(range(parts)):
+        mine = F.pmod(F.xxhash64(*order), F.lit(parts)) == part
+        rows.where(mine).coalesce(1).write.mode("append").parquet(path)
+    reader = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", "1")
+    return reader.parquet(path)
+
+
+@query
+def stream_dedupe_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six micro-batches, and every event comes again days of event time later."""
+    events = samples.metric_events(Tables(spark, sf_dir).raw("events"))
+    again = events.withColumn("n", F.explode(F.array(F.lit(1), F.lit(2))))
+    return _deduped(_in_batches(again, 6, "key", "n").drop("n"))
+
+
+def _streamed_hours(points: DataFrame) -> DataFrame:
+    spark = points.sparkSession
+    root = scratch_path(spark, "hours")
+    rollup_stream.follow_hours(points, root, scratch_path(spark, "progress")).awaitTermination()
+    return _hourly_rows(rollup_stream.stored_hours(spark, root))
 
 
 @query
 def stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A far-future point closes every hour of the data, and stays open itself."""
-    t = Tables(spark, sf_dir)
-    points = samples.metric_points(t.streamed("events"))
-    closing = t.streamed("region").where("r_regionkey = 0").select(
-        *[F.lit(None).cast(f.dataType).alias(f.name) for f in points.schema.fields]
-    ).withColumns({
-        "entity_id": F.lit("end"), "metric_name": F.lit("end"),
-        "metric_timestamp": F.lit("2100-01-01T00:00:00Z"),
-    })
-    return _hourly_rows(_appended(spark, rollup_stream.hourly_stream(points.unionByName(closing))))
+    return _streamed_hours(samples.metric_points(Tables(spark, sf_dir).streamed("events")))
+
+
+@query
+def stream_hourly_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six micro-batches, each with points of all days."""
+    points = samples.metric_points(Tables(spark, sf_dir).raw("events"))
+    return _streamed_hours(_in_batches(points, 6, "source_event_id"))
 
 
 @query
 def stream_spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five micro-batches with late points."""
     t = Tables(spark, sf_dir)
     follower = SpikeFollower(spark, scratch_path(spark, "spikes"))
-    run = follower.follow(samples.metric_points(t.streamed("events")), scratch_path(spark, "progress"))
-    run.awaitTermination()
-    follower.finish(run.lastProgress["batchId"])
+    points = _in_batches(t.points, 5, "source_event_id")
+    follower.follow(points, scratch_path(spark, "progress")).awaitTermination()
     return _spike_rows(spikes.finish_spikes(follower.spikes(), t.entities, None))
 
 
 @query
 def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five micro-batches with late points."""
     t = Tables(spark, sf_dir)
     root = scratch_path(spark, "latest")
-    run = activity_stream.follow_latest(
-        samples.metric_points(t.streamed("events")), root, scratch_path(spark, "progress")
-    )
-    run.awaitTermination()
-    folds = activity_stream.latest_table(spark, root).read(run.lastProgress["batchId"])
-    return activity.activity_from_latest(activity.settle(folds)).select(
+    points = _in_batches(t.points, 5, "source_event_id")
+    activity_stream.follow_latest(points, root, scratch_path(spark, "progress")).awaitTermination()
+    return activity.latest_activity(activity_stream.stored_points(spark, root)).select(
         "entity_id", moment("latest_metric_timestamp").alias("latest_at"), *_MEASURES
     )
 

@@ -46,9 +46,5 @@ def as_date(value: dt.date | str | Column) -> Column:
     return F.lit(str(value)).cast("date")
 
 
-def hour_text(moment: Column) -> Column:
-    return F.date_format(F.date_trunc("hour", moment), HOUR_TEXT)
-
-
 def iso_text(moment: Column) -> Column:
     return F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")

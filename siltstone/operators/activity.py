@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,9 +11,6 @@ from siltstone.functions.instants import instant, stamp
 from siltstone.functions.pinned import filter_here
 from siltstone.schemas import DEFAULT_METRICS, MetricSet
 
-# Limits of a 38-digit ordering key: 18 digits of event time, 18 of ingestion time, 2 of hash.
-_LARGEST_MICROS = 9 * 10**17
-
 
 def timed_points(points: DataFrame) -> DataFrame:
     """Points with a readable time, an entity and a metric; `ts` is the parsed time."""
@@ -23,67 +19,28 @@ def timed_points(points: DataFrame) -> DataFrame:
     return filter_here(timed, F.col("ts").isNotNull())
 
 
-def _micros(moment: Column) -> Column:
-    micros = F.unix_micros(moment)
-    return F.greatest(F.least(micros, F.lit(_LARGEST_MICROS)), F.lit(-_LARGEST_MICROS))
-
-
-def _recency(points: DataFrame) -> Column:
-    """Total order "later point, then later ingestion" packed into one decimal.
+def newest_points(points: DataFrame) -> DataFrame:
+    """The newest point per entity and metric, with all its columns and its time `ts`.
 
-    A fixed-width key keeps the aggregation in HashAggregate with code generation; ordering
-    by a struct or by text would make Spark sort the whole fact table first.
+    Points with a value come before those without; then the later one, the later ingested one,
+    the greater event id and the greater value decide, so the order is total. Spark keeps one row per
+    key in every task before the shuffle, so a dominant entity costs nothing extra.
     """
-
-    def shifted(column: Column, digits: int) -> Column:
-        return (column.cast("decimal(18,0)") * F.lit(Decimal(10**digits))).cast("decimal(38,0)")
-
-    ingested = F.lit(0).cast("bigint")
-    if "ingested_at" in points.columns:
-        ingested = F.coalesce(_micros(instant(points, "ingested_at")), ingested)
-    rest = [F.col(c) for c in ("source_event_id", "metric_value") if c in points.columns]
-    spread = F.pmod(F.xxhash64(*rest), F.lit(100)).cast("decimal(38,0)")
-    return (shifted(_micros(F.col("ts")), 20) + shifted(ingested, 2) + spread).cast("decimal(38,0)")
-
-
-def fold_points(points: DataFrame) -> DataFrame:
-    """Points as unmerged folds: what is needed to find the newest value, all fixed-width."""
     timed = timed_points(points)
-    valued = F.col("metric_value").isNotNull()
-    return timed.select(
-        "entity_id",
-        "metric_name",
-        "metric_value",
-        F.when(valued, _recency(timed)).alias("recency"),
-        F.when(valued, F.col("ts")).alias("valued_at"),
-        F.col("ts").alias("seen_at"),
-    )
-
-
-def merge_folds(folds: DataFrame) -> DataFrame:
-    """One fold per (entity, metric). Merging is associative, so stored folds and new ones
-    can be merged batch by batch.
-
-    Partial aggregation runs before the shuffle, so what is shuffled is bounded by tasks
-    times distinct keys and a dominant entity costs nothing extra.
-    """
-    return folds.groupBy("entity_id", "metric_name").agg(
-        F.max_by("metric_value", "recency").alias("metric_value"),
-        F.max("recency").alias("recency"),
-        F.max("valued_at").alias("valued_at"),
-        F.max("seen_at").alias("seen_at"),
-    )
-
-
-def settle(merged: DataFrame) -> DataFrame:
-    return merged.select(
-        "entity_id", "metric_name", "metric_value", F.coalesce("valued_at", "seen_at").alias("ts")
+    order = [F.col("metric_value").isNotNull().desc(), F.col("ts").desc()]
+    if "ingested_at" in points.columns:
+        order.append(instant(timed, "ingested_at").desc_nulls_last())
+    if "source_event_id" in points.columns:
+        order.append(F.col("source_event_id").desc_nulls_last())
+    newest = Window.partitionBy("entity_id", "metric_name").orderBy(
+        *order, F.col("metric_value").desc_nulls_last()
     )
+    return timed.withColumn("_n", F.row_number().over(newest)).where("_n = 1").drop("_n")
 
 
 def latest_points(points: DataFrame) -> DataFrame:
     """One row per (entity, metric): its newest non-null value, or its newest point."""
-    return settle(merge_folds(fold_points(points)))
+    return newest_points(points).select("entity_id", "metric_name", "metric_value", "ts")
 
 
 def pivot_latest(latest: DataFrame, metrics: MetricSet = DEFAULT_METRICS) -> DataFrame:

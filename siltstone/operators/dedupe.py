@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def keep_newest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per `keys`: the highest by `order`, then by the remaining columns.
 
-    Written as an aggregation, not as a window: copies collapse in every task before the
-    shuffle, so a record repeated a billion times is shuffled once per task.
+    Only the first row of a window is asked for, so Spark keeps one row per key in every task
+    before the shuffle: a record repeated a billion times is shuffled once per task.
     """
     rest = [c for c in df.columns if c not in keys and c not in order]
-    ranked = F.max(F.struct(*[F.col(c) for c in (*order, *rest)])).alias("_newest")
-    return df.groupBy(*keys).agg(ranked).select(
-        *[F.col(c) if c in keys else F.col(f"_newest.{c}").alias(c) for c in df.columns]
+    newest = Window.partitionBy(*keys).orderBy(
+        *[F.col(c).desc_nulls_last() for c in (*order, *rest)]
     )
+    return df.withColumn("_n", F.row_number().over(newest)).where("_n = 1").drop("_n")

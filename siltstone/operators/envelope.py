@@ -127,11 +127,6 @@ def object_key(source: Column, day: Column, event_id: Column, moment: Column) ->
     )
 
 
-def dated_entity_key(layer: str, entity: Column, day: Column, filename: Column) -> Column:
-    """Older layout: layer/entity/yyyy/MM/dd/file."""
-    return F.concat_ws("/", F.lit(layer), entity, F.date_format(day, "yyyy/MM/dd"), filename)
-
-
 def to_bronze(
     decoded: DataFrame, run_date: dt.date | str | Column, *, topic: str | None = None
 ) -> DataFrame:

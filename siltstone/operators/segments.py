@@ -20,6 +20,8 @@ MAX_ROWS_PER_TASK = 20_000_000
 
 SEGMENT = "_segment"
 COPY_SALT = "_copy"
+# Sums are exact, so they do not depend on how a key is cut.
+EXACT = "decimal(38,9)"
 
 
 @dataclass(frozen=True)
@@ -71,14 +73,13 @@ def running_history(
     order: list[str],
     value: str,
     *,
-    carried: DataFrame | None = None,
     max_rows_per_task: int = MAX_ROWS_PER_TASK,
 ) -> DataFrame:
     """Add, for each row, what came before it within its key.
 
     `prior_count`, `prior_sum` and `prior_value` describe all earlier rows (`value` must not
-    be NULL). `carried` optionally holds the same three columns per key for rows that were
-    processed before.
+    be NULL). `order` has to be total up to interchangeable rows. Sums are decimals of nine
+    places, so both ways to the result give the same one.
     """
     hot = find_hot_keys(points, key, max_rows_per_task)
     ordinary, crowded = split_hot(points, key, hot)
@@ -87,7 +88,7 @@ def running_history(
     if crowded is not None:
         pieces = -(-hot.rows // max_rows_per_task) * 2
         result = result.unionByName(_history_across(crowded, key, order, value, pieces))
-    return result if carried is None else _add_carried(result, carried, key)
+    return result
 
 
 def _history_within(df: DataFrame, group: list[str], order: list[str], value: str) -> DataFrame:
@@ -99,7 +100,7 @@ def _history_within(df: DataFrame, group: list[str], order: list[str], value: st
     return df.select(
         "*",
         F.count(value).over(before).alias("prior_count"),
-        F.sum(value).over(before).alias("prior_sum"),
+        F.sum(F.col(value).cast(EXACT)).over(before).cast(EXACT).alias("prior_sum"),
         F.last(value).over(before).alias("prior_value"),
     )
 
@@ -112,12 +113,15 @@ def _history_across(
     cut = cut_into_segments(salted(df), bounds, pieces)
 
     # One row per (key, segment): bounded by keys + pieces, whatever the data size.
-    newest = F.struct(*[F.col(name) for name in full_order])
-    totals = cut.groupBy(key, SEGMENT).agg(
-        F.count(value).alias("_n"),
-        F.sum(value).alias("_s"),
-        F.max_by(value, newest).alias("_v"),
+    last = Window.partitionBy(key, SEGMENT).orderBy(
+        *[F.col(name).desc_nulls_last() for name in full_order]
     )
+    newest = cut.select(
+        key, SEGMENT, F.col(value).alias("_v"), F.row_number().over(last).alias("_at")
+    ).where("_at = 1").drop("_at")
+    totals = cut.groupBy(key, SEGMENT).agg(
+        F.count(value).alias("_n"), F.sum(F.col(value).cast(EXACT)).cast(EXACT).alias("_s")
+    ).join(newest, [key, SEGMENT])
     earlier = (
         Window.partitionBy(key).orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -125,7 +129,7 @@ def _history_across(
         key,
         SEGMENT,
         F.sum("_n").over(earlier).alias("_n"),
-        F.sum("_s").over(earlier).alias("_s"),
+        F.sum("_s").over(earlier).cast(EXACT).alias("_s"),
         F.last("_v").over(earlier).alias("_v"),
     )
     local = _history_within(cut, [key, SEGMENT], full_order, value)
@@ -133,23 +137,14 @@ def _history_across(
     return _prepend(joined, "_n", "_s", "_v").drop(SEGMENT, COPY_SALT)
 
 
-def _add_carried(df: DataFrame, carried: DataFrame, key: str) -> DataFrame:
-    start = carried.select(
-        key,
-        F.col("prior_count").alias("_n"),
-        F.col("prior_sum").alias("_s"),
-        F.col("prior_value").alias("_v"),
-    )
-    return _prepend(df.join(start, key, "left"), "_n", "_s", "_v")
-
-
 def _prepend(df: DataFrame, count: str, total: str, last: str) -> DataFrame:
+    zero = F.lit(0).cast(EXACT)
     either = F.col("prior_sum").isNotNull() | F.col(total).isNotNull()
-    added = F.coalesce(F.col("prior_sum"), F.lit(0.0)) + F.coalesce(F.col(total), F.lit(0.0))
+    added = F.coalesce("prior_sum", zero) + F.coalesce(F.col(total), zero)
     return df.withColumns(
         {
             "prior_count": F.col("prior_count") + F.coalesce(F.col(count), F.lit(0)),
-            "prior_sum": F.when(either, added),
+            "prior_sum": F.when(either, added).cast(EXACT),
             "prior_value": F.coalesce(F.col("prior_value"), F.col(last)),
         }
     ).drop(count, total, last)

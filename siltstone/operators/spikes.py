@@ -14,7 +14,8 @@ from siltstone.operators.activity import with_titles
 from siltstone.operators.segments import MAX_ROWS_PER_TASK, running_history
 from siltstone.schemas import DEFAULT_METRICS, MetricSet
 
-_ORDER = ["ts", "ingested_at", "source_event_id"]
+# A total order: rows that are equal in all of it are interchangeable.
+ORDER = ["ts", "ingested_at", "source_event_id", "value"]
 
 
 @dataclass(frozen=True)
@@ -55,7 +56,7 @@ def primary_points(points: DataFrame, metrics: MetricSet = DEFAULT_METRICS) -> D
 def judge(history: DataFrame, rules: SpikeRules = DEFAULT_RULES) -> DataFrame:
     """Keep the rows of a running history that count as spikes."""
     value, previous = F.col("value"), F.col("prior_value")
-    average = F.col("prior_sum") / F.col("prior_count")
+    average = F.col("prior_sum").cast("double") / F.col("prior_count")
     seen = history.where(F.col("prior_count") > 0).select(
         "entity_id", "ts", "value", "prior_value", average.alias("average"),
         F.when(previous != 0, (value - previous) / previous)
@@ -99,7 +100,7 @@ def detect_spikes(
     history = running_history(
         primary_points(points, metrics),
         "entity_id",
-        _ORDER,
+        ORDER,
         "value",
         max_rows_per_task=max_rows_per_task,
     )

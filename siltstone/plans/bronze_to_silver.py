@@ -14,8 +14,8 @@ from pyspark.sql import types as T
 from siltstone import schemas
 from siltstone.operators import flatten
 from siltstone.operators.dedupe import keep_newest
-from siltstone.sinks.tables import run_summary, write_counted
-from siltstone.sources.files import load_payloads
+from siltstone.sinks.tables import run_summary, write_counted, write_if_any
+from siltstone.sources.files import load_payloads, unreadable
 
 
 @dataclass(frozen=True)
@@ -50,31 +50,35 @@ def run_task(
     replace: str = "dynamic",
     dedupe: bool = False,
     whole_files: bool = False,
+    days: tuple[str, str] | None = None,
+    quarantine: str | None = None,
 ) -> tuple[str, int, int, str, str]:
-    """One row of the run summary. `replace="static"` rewrites the table as a whole."""
+    """One row of the run summary. `replace="static"` rewrites the table as a whole; `days`
+    (first, last) reads those event dates alone; unreadable texts go to `quarantine`."""
     target = f"{silver_root}/{task.dataset}"
+    where = {"whole_files": whole_files, "days": days}
     try:
-        events = load_payloads(spark, bronze_root, task.source, whole_files=whole_files)
+        events = load_payloads(spark, bronze_root, task.source, **where)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return task.dataset, 0, 0, target, "skipped"
-    if events.isEmpty():
-        return task.dataset, 0, 0, target, "empty"
 
+    # One pass: the write counts the events it reads and the rows it writes, and a run without
+    # rows leaves the stored table as it is.
     seen = Observation()
     counted = events.observe(seen, F.count(F.lit(1)).alias("events"))
     rows = shaped(task, counted, run_ts, dedupe)
-    if shaped(task, events, run_ts).isEmpty():
-        # Flattening is map-only: looking for a first row reads few files.
-        return task.dataset, events.count(), 0, target, "no_rows"
-    written = write_counted(
-        shaped(task, counted, run_ts, dedupe),
-        target,
-        partition_by=task.partition_by,
-        replace=replace if task.partition_by else "static",
-    )
-    return task.dataset, int(seen.get["events"]), written, target, "success"
+    if task.partition_by and replace == "dynamic":
+        written = write_counted(rows, target, partition_by=task.partition_by, replace=replace)
+    else:
+        written = write_if_any(rows, target, partition_by=task.partition_by)
+    found = int(seen.get["events"])
+    if quarantine is not None and found:
+        bad = unreadable(spark, bronze_root, task.source, **where)
+        bad.write.mode("overwrite").json(f"{quarantine}/{task.dataset}")
+    status = "success" if written else "no_rows" if found else "empty"
+    return task.dataset, found, written, target, status
 
 
 def shaped(

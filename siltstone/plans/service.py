@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 from pyspark.errors import PySparkException
@@ -26,9 +26,11 @@ class Answer:
     def success(self) -> bool:
         return self.status == "ok"
 
-    def rows(self, limit: int = 500) -> list[dict]:
-        """The rows for display; serving queries are limited, this bounds the rest."""
-        return [row.asDict() for row in self.data.limit(limit).collect()] if self.data else []
+    def rows(self) -> Iterator[dict]:
+        """All rows, streamed: no more than a partition of them is held at a time."""
+        if self.data is not None:
+            for row in self.data.toLocalIterator():
+                yield row.asDict()
 
 
 class QueryService:

@@ -198,6 +198,8 @@ def recent_spikes(spikes: DataFrame, limit: int = 10) -> DataFrame:
         clamp(limit, 100),
         F.col("metric_timestamp").desc_nulls_last(),
         F.col("entity_id").asc(),
+        F.col("peak_ccu").desc(),
+        F.col("previous_peak_ccu").desc(),
     )
 
 
@@ -231,7 +233,7 @@ def offers_in_category(
 ) -> DataFrame:
     """Offers of one section, dearest first. A name listed twice in the catalogue gives two
     rows, and the total counts both."""
-    wanted = (category or "other").strip()[:64]
+    wanted = (category or "other").strip()
     section = _latest_offers(offers).where(F.lower(_category()) == F.lower(F.lit(wanted)))
     known = catalog.select("catalog_id", "name", F.col("rarity").alias("_rarity"))
     joined = section.join(known, section.dev_name == known.catalog_id, "left").select(
@@ -283,12 +285,13 @@ def data_freshness(
     name, success = F.col("source_name"), instant(summary, "last_success_at")
     target = target_day(hourly, hourly_day(hourly), as_of)
     on_day = hourly.where(hourly_day(hourly) == target)
+    newest_day = hourly.where(hourly_day(hourly) == hourly.agg(F.max(hourly_day(hourly))).scalar())
     return summary.agg(
         F.max(F.when(name == metrics_source, success)).alias("metrics_pipeline_at"),
         F.max(F.when(name == offers_source, success)).alias("offers_pipeline_at"),
     ).select(
         "*",
-        hourly.agg(F.max(instant(hourly, "metric_hour"))).scalar().alias("latest_metric_hour"),
+        newest_day.agg(F.max(instant(newest_day, "metric_hour"))).scalar().alias("latest_metric_hour"),
         activity.agg(F.max(instant(activity, "latest_metric_timestamp")))
         .scalar()
         .alias("latest_activity_at"),

@@ -17,8 +17,7 @@ from siltstone.operators.segments import MAX_ROWS_PER_TASK
 from siltstone.operators.shares import category_share
 from siltstone.operators.spikes import DEFAULT_RULES, SpikeRules, detect_spikes
 from siltstone.schemas import DEFAULT_METRICS, MetricSet
-from siltstone.sinks.tables import run_summary, write_counted, write_if_any
-from siltstone.session import materialize
+from siltstone.sinks.tables import run_summary, write_if_any
 from siltstone.sources.files import load_health, read_table
 
 
@@ -62,13 +61,12 @@ def run(
         results.append((dataset, inputs, outputs, f"{gold_root}/{dataset}", status))
 
     point_rows = points.count()
-    activity = materialize(
-        latest_activity(points, entities, metrics=metrics, run_ts=run_ts), "activity"
-    )
-    active = 0 if activity.isEmpty() else write_counted(activity, f"{gold_root}/latest_activity")
+    activity = latest_activity(points, entities, metrics=metrics, run_ts=run_ts)
+    active = write_if_any(activity, f"{gold_root}/latest_activity")
     record("latest_activity", point_rows, active)
 
-    top = rank_entities(activity, by=metrics.primary_column, top_n=top_n)
+    stored = spark.read.schema(activity.schema).parquet(f"{gold_root}/latest_activity") if active else activity
+    top = rank_entities(stored, by=metrics.primary_column, top_n=top_n)
     record("top_entities", active, write_if_any(top, f"{gold_root}/top_entities"))
 
     hourly = with_day(hourly_rollup(points))
@@ -76,7 +74,7 @@ def run(
         "hourly_rollup",
         point_rows,
         write_if_any(
-            hourly, f"{gold_root}/hourly_rollup", partition_by=("metric_date",), replace="static"
+            hourly, f"{gold_root}/hourly_rollup", partition_by=("metric_date",)
         ),
     )
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -15,6 +16,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # An object that repeats a key keeps the last value instead of being unreadable.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.parquet.compression.codec": "snappy",
     # The JVM leaves methods above 8000 bytes uncompiled. Wide JSON projections exceed that
     # as one method; below this limit Spark splits them into small ones instead.
@@ -42,10 +45,13 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by the cluster.
 
-    Only a session without the setting (unit tests) falls back to a local folder.
+    Only a local session without the setting (unit tests) falls back to a local folder.
     """
     configured = spark.conf.get(CHECKPOINT_CONF, None)
     if not configured:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[[^]]*\])?", master):
+            raise ValueError(f"{CHECKPOINT_CONF} must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="siltstone-")
         spark.conf.set(CHECKPOINT_CONF, configured)
     return configured.rstrip("/")

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltstone import schemas
-from siltstone.session import materialize
 
 
 def write_counted(
@@ -32,23 +32,44 @@ def write_counted(
     return int(observed.get["rows"])
 
 
-def write_if_any(df: DataFrame, path: str, *, label: str = "gold", **options) -> int:
+def write_if_any(df: DataFrame, path: str, **options) -> int:
     """Like `write_counted`, but an empty result leaves what is there.
 
-    The result is computed once into scratch files; emptiness and the final copy are read
-    from those.
+    Rows are written once, to a sibling folder that takes the table's place if it has any.
     """
-    staged = materialize(df, label)
-    return 0 if staged.isEmpty() else write_counted(staged, path, **options)
+    staged = f"{path}__staged"
+    rows = write_counted(df, staged, **{**options, "replace": "static"})
+    spark = df.sparkSession
+    old, new = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, staged))
+    fs = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    if rows:
+        fs.delete(old, True)
+        if not fs.rename(new, old):
+            raise OSError(f"could not move {staged} to {path}")
+    else:
+        fs.delete(new, True)
+    return rows
 
 
 def mirror(
-    spark: SparkSession, source_root: str, target_root: str, datasets: list[str]
+    spark: SparkSession,
+    source_root: str,
+    target_root: str,
+    datasets: dict[str, tuple[T.StructType, tuple[str, ...]]],
 ) -> DataFrame:
-    """Copy datasets to another root. One row per dataset: (dataset, rows)."""
+    """Copy datasets, given with their schema and partition columns, to another root: the copy has
+    the same partitions and types. One row per dataset: (dataset, rows)."""
     copied = [
-        (name, write_counted(spark.read.parquet(f"{source_root}/{name}"), f"{target_root}/{name}", replace="static"))
-        for name in datasets
+        (
+            name,
+            write_counted(
+                spark.read.schema(schema).parquet(f"{source_root}/{name}"),
+                f"{target_root}/{name}",
+                partition_by=partition_by,
+                replace="static",
+            ),
+        )
+        for name, (schema, partition_by) in datasets.items()
     ]
     return spark.createDataFrame(copied, "dataset string, rows bigint")
 

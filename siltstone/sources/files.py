@@ -10,27 +10,35 @@ from siltstone.operators.envelope import HEALTH_SOURCE, decode, event_columns, s
 
 # Partition columns are declared: inference would turn the date text into DATE.
 BRONZE_SCHEMA = "value string, source string, event_date string"
-BRONZE_FILES = "*.{json,jsonl,txt}"
 
 
 def read_bronze(
-    spark: SparkSession, root: str, source: str | None = None, *, whole_files: bool = False
+    spark: SparkSession,
+    root: str,
+    source: str | None = None,
+    *,
+    whole_files: bool = False,
+    days: tuple[str, str] | None = None,
 ) -> DataFrame:
     """Raw JSON texts below `root/source=S/event_date=D/`.
 
-    By default every line is an event, so large files split across tasks. `whole_files`
-    reads one event per file, for folders holding indented single-event files.
+    Every file of the folders counts, compressed ones included. By default every line is an
+    event, so large files split across tasks. `whole_files` reads one event per file, for
+    folders holding indented single-event files. `days` (first, last) reads only the
+    partitions of those event dates.
     """
-    reader = spark.read.schema(BRONZE_SCHEMA).option("pathGlobFilter", BRONZE_FILES)
+    reader = spark.read.schema(BRONZE_SCHEMA)
     raw = reader.text(root, wholetext=whole_files).select("value", "source", "event_date")
+    if days is not None:
+        raw = raw.where(raw.event_date.between(*days))
     return raw if source is None else raw.where(raw.source == source)
 
 
 def read_loose_events(spark: SparkSession, path: str, *, whole_files: bool = True) -> DataFrame:
-    """All `.json` texts anywhere below `path`, whatever the folder layout."""
+    """All `.json` texts, compressed or not, anywhere below `path`, whatever the folder layout."""
     return (
         spark.read.option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.json")
+        .option("pathGlobFilter", "*.json*")
         .text(path, wholetext=whole_files)
     )
 
@@ -46,13 +54,33 @@ def load_health(spark: SparkSession, bronze_root: str, *, whole_files: bool = Fa
     return decode(raw).select("event")
 
 
-def load_payloads(spark: SparkSession, bronze_root: str, source: str, *, whole_files: bool = False) -> DataFrame:
+def load_payloads(
+    spark: SparkSession,
+    bronze_root: str,
+    source: str,
+    *,
+    whole_files: bool = False,
+    days: tuple[str, str] | None = None,
+) -> DataFrame:
     """Events of one source, parsed once: no filter on the parsed value, which Spark would
     evaluate a second time below the projection."""
-    raw = read_bronze(spark, bronze_root, source, whole_files=whole_files)
+    raw = read_bronze(spark, bronze_root, source, whole_files=whole_files, days=days)
     return event_columns(decode(raw))
 
 
+def unreadable(
+    spark: SparkSession,
+    bronze_root: str,
+    source: str,
+    *,
+    whole_files: bool = False,
+    days: tuple[str, str] | None = None,
+) -> DataFrame:
+    """value, source, event_date of the texts that are no JSON object."""
+    raw = read_bronze(spark, bronze_root, source, whole_files=whole_files, days=days)
+    return decode(raw).where("event IS NULL").select("value", "source", "event_date")
+
+
 def read_table(
     spark: SparkSession, path: str, schema: T.StructType | None = None
 ) -> DataFrame | None:
@@ -76,8 +104,3 @@ def read_tables(spark: SparkSession, paths: list[str]) -> DataFrame | None:
     for table in found[1:]:
         result = result.unionByName(table, allowMissingColumns=True)
     return result
-
-
-def capped(df: DataFrame, rows: int | None) -> DataFrame:
-    """Demo-size runs: at most `rows` rows; 0 or None reads everything."""
-    return df.limit(rows) if rows is not None and rows > 0 else df

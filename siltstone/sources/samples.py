@@ -38,10 +38,21 @@ def _every(column: str, step: int, rest: int = 0) -> Column:
     return F.col(column) % step == rest
 
 
+def tied_time(moment: Column) -> Column:
+    once = F.date_trunc("month", moment) + F.expr("INTERVAL 29 DAYS 12 HOURS")
+    return (
+        F.when(_every("event_id", 5), F.date_trunc("day", moment))
+        .when(_every("event_id", 5, 1), once)
+        .otherwise(moment)
+    )
+
+
 def metric_points(events: DataFrame) -> DataFrame:
-    """Long metric points; `ingested_at` grows with the event id, so no two points tie."""
-    moment = F.col("ts").cast("timestamp")
-    ingested = F.timestamp_seconds(F.lit(1704067200) + F.col("event_id"))
+    """Long metric points. A fifth of them falls on the start of its day and a fifth on one
+    instant of its month, and a thousand events share an ingestion time: points of an entity
+    tie, and only the event id tells them apart."""
+    moment = tied_time(F.col("ts").cast("timestamp"))
+    ingested = F.timestamp_seconds(F.lit(1704067200) + F.floor(F.col("event_id") / 1000))
     return events.select(
         F.col("user_id").cast("string").alias("entity_id"),
         F.lit("minute").alias("interval_type"),
@@ -58,17 +69,19 @@ def metric_points(events: DataFrame) -> DataFrame:
 
 
 def entities(customer: DataFrame) -> DataFrame:
-    """Entity dimension with missing members and older, differently titled copies."""
-    kept = customer.where(~_every("c_custkey", 4, 3))
-    current = kept.select(
-        F.col("c_custkey").cast("string").alias("entity_id"),
+    """Entity dimension with missing members (a quarter has other ids than the points) and
+    older, differently titled copies."""
+    key = F.col("c_custkey").cast("string")
+    name = F.when(_every("c_custkey", 4, 3), F.concat(F.lit("x"), key)).otherwise(key)
+    current = customer.select(
+        name.alias("entity_id"),
         F.when(~_every("c_custkey", 5), F.col("c_name")).alias("title"),
         F.col("c_nationkey").cast("string").alias("creator_code"),
         F.col("c_mktsegment").alias("display_name"),
         F.lit("2024-02-01T00:00:00+00:00").alias("ingested_at"),
     )
-    older = kept.where(_every("c_custkey", 6)).select(
-        F.col("c_custkey").cast("string").alias("entity_id"),
+    older = customer.where(_every("c_custkey", 6)).select(
+        name.alias("entity_id"),
         F.concat(F.lit("Old "), "c_name").alias("title"),
         F.lit("0").alias("creator_code"),
         F.col("c_mktsegment").alias("display_name"),
@@ -339,7 +352,7 @@ BODY_SIZE = 100
 
 def document_bodies(documents: DataFrame) -> DataFrame:
     """Response bodies of up to 100 documents: ids are unique, so no body can grow."""
-    record = F.struct("doc_id", "lang", "n_chars")
+    record = F.struct("doc_id", "lang", "n_chars", "text")
     return (
         documents.groupBy(F.floor(F.col("doc_id") / BODY_SIZE).alias("_body"))
         .agg(F.array_sort(F.collect_list(record)).alias("records"))

@@ -9,11 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.operators.envelope import TOPIC_ENDINGS, decode
+from siltstone.operators.envelope import TOPIC_ENDINGS
 
 DEFAULT_ENDING = "raw.shop"
-# Fixed value: records taken from each topic per drain unless told otherwise.
-DEFAULT_DRAIN = 5000
 
 
 def all_topics(prefix: str) -> list[str]:
@@ -45,14 +43,8 @@ def kafka_options(
     return options
 
 
-def kafka_batch(spark: SparkSession, servers: str, topics: list[str]) -> DataFrame:
-    """One bounded read from the earliest to the latest offset."""
-    options = kafka_options(servers, topics) | {"endingOffsets": "latest"}
-    return records(spark.read.format("kafka").options(**options).load())
-
-
 def kafka_stream(
-    spark: SparkSession, servers: str, topics: list[str], max_records: int = DEFAULT_DRAIN
+    spark: SparkSession, servers: str, topics: list[str], max_records: int | None = None
 ) -> DataFrame:
     """Stream from the earliest offset; the checkpoint of the query remembers how far it
     got, so a later drain goes on where the last one ended."""
@@ -72,8 +64,3 @@ def file_stream(
 def records(source: DataFrame) -> DataFrame:
     """(topic, key, value) as text, whatever the source stores them as."""
     return source.select(*[F.col(c).cast("string").alias(c) for c in ("topic", "key", "value")])
-
-
-def decoded_records(source: DataFrame) -> DataFrame:
-    """Records with their JSON object as `event`; NULL where the value is anything else."""
-    return decode(source)

@@ -6,39 +6,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from siltstone.operators.activity import fold_points, merge_folds
-from siltstone.streaming.folded import FoldedTable
+from siltstone.operators.activity import newest_points
+from siltstone.streaming.batches import each_batch, read_batches, write_batch
 
-FOLDS = T.StructType(
+NEWEST = T.StructType(
     [
         T.StructField("entity_id", T.StringType()),
         T.StructField("metric_name", T.StringType()),
+        T.StructField("metric_timestamp", T.StringType()),
         T.StructField("metric_value", T.DoubleType()),
-        T.StructField("recency", T.DecimalType(38, 0)),
-        T.StructField("valued_at", T.TimestampType()),
-        T.StructField("seen_at", T.TimestampType()),
+        T.StructField("ingested_at", T.StringType()),
+        T.StructField("source_event_id", T.StringType()),
     ]
 )
 
 
-def latest_table(spark: SparkSession, root: str) -> FoldedTable:
-    return FoldedTable(spark, root, FOLDS)
-
-
 def follow_latest(
     points: DataFrame, root: str, checkpoint: str, *, once: bool = True
 ) -> StreamingQuery:
-    """Merge every micro-batch into the latest folds below `root`.
+    """Store the newest point per entity and metric of every micro-batch below `root`.
 
-    The order of arrival does not matter, so nothing is ever too late. `settle` and
-    `activity_from_latest` turn a version into the activity table.
+    The newest of the newest is the newest, whatever the order of arrival: `stored_points`
+    gives points that `latest_activity` takes like any others.
     """
-    table = latest_table(points.sparkSession, root)
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        folds = table.before(batch_id).unionByName(fold_points(batch))
-        table.write(batch_id, merge_folds(folds))
-        table.retire(batch_id - 2)
+    def store(batch: DataFrame, batch_id: int) -> None:
+        write_batch(newest_points(batch).select(*NEWEST.names), root, batch_id)
+
+    return each_batch(points, store, checkpoint, once)
+
 
-    writer = points.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if once else writer).start()
+def stored_points(spark: SparkSession, root: str) -> DataFrame:
+    return read_batches(spark, root, NEWEST).drop("batch")

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from siltstone.functions.pinned import filter_here
 from siltstone.operators.envelope import decode, identify
+from siltstone.operators.dedupe import keep_newest
 from siltstone.sinks.events import write_bronze
+from siltstone.streaming.batches import each_batch, read_batches, write_batch
 
 
 def land(
@@ -45,6 +48,38 @@ def identified(records: DataFrame) -> DataFrame:
     return identify(filter_here(decode(records), F.col("event").isNotNull()))
 
 
-def drop_replays(events: DataFrame, within: str = "1 day") -> DataFrame:
-    """Keep the first arrival of every event id seen within the watermark delay."""
-    return events.withWatermark("event_ts", within).dropDuplicatesWithinWatermark(["event_id"])
+EVENTS = T.StructType(
+    [
+        T.StructField("event_id", T.StringType()),
+        T.StructField("key", T.StringType()),
+        T.StructField("event_ts", T.TimestampType()),
+        T.StructField("value", T.StringType()),
+        T.StructField("event_date", T.StringType()),
+    ]
+)
+
+
+def follow_unique(
+    events: DataFrame, root: str, checkpoint: str, *, once: bool = True
+) -> StreamingQuery:
+    """Store every event id once below `root`, however late it or its replay arrives.
+
+    A replay has the time of its original, so only the stored dates that a batch touches are
+    read. Events without a readable time share one date of their own.
+    """
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        day = F.coalesce(F.date_format("event_ts", "yyyy-MM-dd"), F.lit("unknown"))
+        fresh = batch.withColumn("event_date", day).select(*EVENTS.names)
+        once_each = keep_newest(fresh, ["event_date", "event_id"], ["event_ts"])
+        seen = read_batches(batch.sparkSession, root, EVENTS, batch_id)
+        days = once_each.select("event_date").distinct()
+        known = seen.join(days, "event_date", "left_semi").select("event_date", "event_id")
+        new = once_each.join(known, ["event_date", "event_id"], "left_anti")
+        write_batch(new, root, batch_id, "event_date")
+
+    return each_batch(events, store, checkpoint, once)
+
+
+def stored_events(spark: SparkSession, root: str) -> DataFrame:
+    return read_batches(spark, root, EVENTS).drop("batch")

@@ -9,13 +9,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from siltstone.operators.envelope import decode, event_columns
 from siltstone.plans.bronze_to_silver import SilverTask, shaped
-from siltstone.sources.files import BRONZE_FILES, BRONZE_SCHEMA
+from siltstone.sources.files import BRONZE_SCHEMA
 
 
 def bronze_stream(spark: SparkSession, root: str, source: str) -> DataFrame:
     raw = (
         spark.readStream.schema(BRONZE_SCHEMA)
-        .option("pathGlobFilter", BRONZE_FILES)
         .text(root)
         .select("value", "source", "event_date")
     )

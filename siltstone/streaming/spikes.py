@@ -1,142 +1,81 @@
-"""Spike detection on a stream, with the rules and the result of the batch form.
+"""Spike detection on a stream, with the result of the batch form.
 
-A point can only be judged once everything before it has arrived, so points wait in a
-pending table until the watermark has passed them. What the past of an entity amounts to
-is three numbers (count, sum, last value); no history is kept. Each micro-batch is judged
-by the batch operator, which also splits an entity too large for one task.
+A late point changes the averages of all points after it. So points are stored by bucket of their
+entity, and a micro-batch judges the buckets it touched anew with the batch operator, which
+also splits an entity too large for one task. The newest result of a bucket counts.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from siltstone.operators.segments import MAX_ROWS_PER_TASK, running_history
-from siltstone.operators.spikes import DEFAULT_RULES, SpikeRules, judge, primary_points
+from siltstone.operators.spikes import DEFAULT_RULES, ORDER, SpikeRules, judge, primary_points
 from siltstone.schemas import DEFAULT_METRICS, MetricSet
-from siltstone.streaming.folded import FoldedTable
+from siltstone.streaming.batches import each_batch, read_batches, write_batch
 
-_ORDER = ["ts", "ingested_at", "source_event_id"]
+#: Buckets of entities; a batch that touches few entities reads few buckets.
+BUCKETS = 256
 
-_PAST = T.StructType(
-    [
-        T.StructField("entity_id", T.StringType()),
-        T.StructField("prior_count", T.LongType()),
-        T.StructField("prior_sum", T.DoubleType()),
-        T.StructField("prior_value", T.DoubleType()),
-    ]
-)
-_WAITING = T.StructType(
+_POINTS = T.StructType(
     [
         T.StructField("entity_id", T.StringType()),
         T.StructField("ts", T.TimestampType()),
         T.StructField("value", T.DoubleType()),
         T.StructField("ingested_at", T.StringType()),
         T.StructField("source_event_id", T.StringType()),
+        T.StructField("bucket", T.IntegerType()),
     ]
 )
-_CLOCK = T.StructType(
-    [
-        T.StructField("released_to", T.TimestampType()),
-        T.StructField("seen_to", T.TimestampType()),
-    ]
-)
+_TOUCHED = T.StructType([T.StructField("bucket", T.IntegerType())])
 
 
 class SpikeFollower:
-    """State and output of one stream below `root`: past/, waiting/, clock/ are versions;
-    spikes/ and late/ are results, one folder per batch."""
+    """Below `root`: points/, spikes/ and touched/, each with a folder per batch."""
 
     def __init__(
         self,
         spark: SparkSession,
         root: str,
         *,
-        delay: dt.timedelta = dt.timedelta(hours=2),
         metrics: MetricSet = DEFAULT_METRICS,
         rules: SpikeRules = DEFAULT_RULES,
         max_rows_per_task: int = MAX_ROWS_PER_TASK,
     ) -> None:
-        self.spark, self.root, self.delay = spark, root.rstrip("/"), delay
+        self.spark, self.root = spark, root.rstrip("/")
         self.metrics, self.rules, self.max_rows = metrics, rules, max_rows_per_task
-        self.past = FoldedTable(spark, f"{self.root}/past", _PAST)
-        self.waiting = FoldedTable(spark, f"{self.root}/waiting", _WAITING)
-        self.clock = FoldedTable(spark, f"{self.root}/clock", _CLOCK)
 
     def follow(self, points: DataFrame, checkpoint: str, *, once: bool = True) -> StreamingQuery:
-        writer = points.writeStream.foreachBatch(self.take).option("checkpointLocation", checkpoint)
-        return (writer.trigger(availableNow=True) if once else writer).start()
+        return each_batch(points, self.take, checkpoint, once)
 
     def take(self, batch: DataFrame, batch_id: int) -> None:
-        """Judge the points the watermark has passed; keep the others waiting."""
-        arrived = primary_points(batch, self.metrics)
-        before = self.clock.before(batch_id)
-        released = before.agg(F.max("released_to")).scalar()
-        clock = self.clock.write(
-            batch_id,
-            arrived.agg(F.max("ts").alias("seen")).select(
-                F.greatest(
-                    before.agg(F.max("released_to")).scalar(), F.col("seen") - F.lit(self.delay)
-                ).alias("released_to"),
-                F.greatest(before.agg(F.max("seen_to")).scalar(), F.col("seen")).alias("seen_to"),
-            ),
+        """Store the points of a batch and judge the buckets that it touched."""
+        bucket = F.pmod(F.xxhash64("entity_id"), F.lit(BUCKETS)).cast("int")
+        arrived = primary_points(batch, self.metrics).withColumn("bucket", bucket)
+        write_batch(arrived.select(*_POINTS.names), f"{self.root}/points", batch_id, "bucket")
+        stored = read_batches(self.spark, f"{self.root}/points", _POINTS, batch_id + 1)
+        touched = [  # BUCKETS numbers at most
+            r.bucket
+            for r in stored.where(F.col("batch") == batch_id).select("bucket").distinct().collect()
+        ]
+        rows = stored.where(F.col("bucket").isin(touched) if touched else F.lit(False)).drop("batch")
+        history = running_history(rows, "entity_id", ORDER, "value", max_rows_per_task=self.max_rows)
+        found = judge(history, self.rules).withColumn("bucket", bucket)
+        write_batch(found, f"{self.root}/spikes", batch_id)
+        write_batch(
+            self.spark.createDataFrame([(b,) for b in touched], _TOUCHED),
+            f"{self.root}/touched", batch_id,
         )
-        # Points at or before the last release cannot be put in order any more: set aside.
-        is_late = F.coalesce(F.col("ts") <= released, F.lit(False))
-        self._store(arrived.where(is_late), "late", batch_id)
-        fresh = arrived.where(~is_late).unionByName(self.waiting.before(batch_id))
-        self._advance(fresh, clock, batch_id)
-
-    def finish(self, last_batch: int) -> None:
-        """End of input: judge everything that still waits, as one more batch."""
-        batch_id = last_batch + 1
-        clock = self.clock.write(
-            batch_id,
-            self.clock.read(last_batch).select(F.col("seen_to").alias("released_to"), "seen_to"),
-        )
-        self._advance(self.waiting.read(last_batch), clock, batch_id)
-
-    def _advance(self, points: DataFrame, clock: DataFrame, batch_id: int) -> None:
-        points = points.persist()
-        upto = clock.agg(F.max("released_to")).scalar()
-        passed = F.coalesce(F.col("ts") <= upto, F.lit(False))
-        ready = points.where(passed)
-        carried = self.past.before(batch_id)
-        history = running_history(
-            ready, "entity_id", _ORDER, "value", carried=carried, max_rows_per_task=self.max_rows
-        )
-        self._store(judge(history, self.rules), "spikes", batch_id)
-        self.past.write(batch_id, _extended(carried, ready))
-        self.waiting.write(batch_id, points.where(~passed))
-        points.unpersist()
-        for table in (self.past, self.waiting, self.clock):
-            table.retire(batch_id - 2)
-
-    def _store(self, rows: DataFrame, name: str, batch_id: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.root}/{name}/batch={batch_id}")
 
     def spikes(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/spikes").drop("batch")
-
-    def late(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/late").drop("batch")
-
-
-def _extended(past: DataFrame, ready: DataFrame) -> DataFrame:
-    """Past plus the judged points: counts and sums add up, the newest value replaces."""
-    newest = F.struct(*[F.col(name) for name in _ORDER])
-    judged = ready.groupBy("entity_id").agg(
-        F.count("value").alias("prior_count"),
-        F.sum("value").alias("prior_sum"),
-        F.max_by("value", newest).alias("prior_value"),
-    )
-    both = past.withColumn("_age", F.lit(0)).unionByName(judged.withColumn("_age", F.lit(1)))
-    return both.groupBy("entity_id").agg(
-        F.sum("prior_count").alias("prior_count"),
-        F.sum("prior_sum").alias("prior_sum"),
-        F.max_by("prior_value", "_age").alias("prior_value"),
-    )
+        """Spikes of the newest judgement of every bucket."""
+        newest = read_batches(self.spark, f"{self.root}/touched", _TOUCHED).groupBy("bucket").agg(
+            F.max("batch").alias("batch")
+        )
+        found = self.spark.read.parquet(f"{self.root}/spikes")
+        return found.withColumn("batch", F.col("batch").cast("long")).join(
+            F.broadcast(newest), ["bucket", "batch"], "left_semi"  # a row per bucket
+        ).drop("bucket", "batch")
