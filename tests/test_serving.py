@@ -33,8 +33,9 @@ def gold(spark, tmp_path_factory):
         ("B", "plays", "2026-05-24 10:00:00+00:00", 5.0, 5.0, 5.0, 1)], HOURLY)
     save("category_share", [("2026-05-17", "epic", 5, 50.0)],
          "snapshot_date string, rarity string, item_count bigint, share_pct double")
-    save("spikes", [("A", "Alpha", "2026-05-17T13:00:00Z", 200.0, "high")],
-         "entity_id string, title string, metric_timestamp string, peak_ccu double, severity string")
+    save("spikes", [("A", "Alpha", "2026-05-17T13:00:00Z", 200.0, 80.0, "high")],
+         "entity_id string, title string, metric_timestamp string, peak_ccu double, "
+         "previous_peak_ccu double, severity string")
     save("source_health_summary", [("shop", "2026-05-17T12:00:00Z", None, 2, 0, "success")],
          "source_name string, last_success_at string, last_failure_at string, "
          "success_count bigint, failure_count bigint, latest_status string")
@@ -84,24 +85,24 @@ def test_average_today_and_later(service):
 
 
 def test_simple_listings(service):
-    assert service.share_listing().rows()[0]["rarity"] == "epic"
-    assert service.source_health().rows()[0]["source_name"] == "shop"
-    spike = service.recent_spikes().rows()[0]
+    assert next(service.share_listing().rows())["rarity"] == "epic"
+    assert next(service.source_health().rows())["source_name"] == "shop"
+    spike = next(service.recent_spikes().rows())
     assert (spike["entity_id"], spike["severity"]) == ("A", "high")
 
 
 def test_offer_sections(service):
-    rows = service.offer_categories().rows()
+    rows = list(service.offer_categories().rows())
     assert [(r["category"], r["item_count"]) for r in rows] == [
         ("LAY", 1), ("Lay", 1), ("lay", 1), ("other", 1)]
-    answer = service.offers_in_category("LAY ", 12).rows()
+    answer = list(service.offers_in_category("LAY ", 12).rows())
     assert [r["offer_id"] for r in answer] == ["o1", "o1", "o2", "o3", "o3"]
     assert {r["total_in_category"] for r in answer} == {5}
     named = {(r["offer_id"], r["item_name"]): r["rarity"] for r in answer}
     assert named[("o1", "Name")] == "unknown" and named[("o1", "Twin")] == "epic"
     long_name = next(r["item_name"] for r in answer if r["offer_id"] == "o2")
     assert len(long_name) == 48 and long_name.endswith("...")
-    assert len(service.offers_in_category("lay", 2).rows()) == 2
+    assert len(list(service.offers_in_category("lay", 2).rows())) == 2
     assert service.offers_in_category("it's none").status == "no_data"
 
 
@@ -115,7 +116,7 @@ def test_freshness(service):
 def test_outcomes(spark, service, tmp_path):
     missing = QueryService(ViewRegistry(spark, dataset_paths(str(tmp_path / "none"))))
     answer = missing.players_summary()
-    assert (answer.status, answer.success, answer.rows()) == ("no_data", False, [])
+    assert (answer.status, answer.success, list(answer.rows())) == ("no_data", False, [])
     service.views.refresh()
     broken = service.run("broken", "spikes", lambda: spark.table("vw_spikes").select("nope"))
     assert broken.status == "error" and "nope" in broken.message
