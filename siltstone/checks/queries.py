@@ -52,6 +52,11 @@ def moment(column: str | Column) -> Column:
     return F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS")
 
 
+def spread(table: DataFrame) -> DataFrame:
+    """A test table is one row group and so one task; stored events lie in many files."""
+    return table.repartition(table.sparkSession.sparkContext.defaultParallelism)
+
+
 def positioned(ordered: DataFrame) -> DataFrame:
     """An ordered result with the position of each row, so that the order is compared too."""
     return ordered.withColumn("_at", F.monotonically_increasing_id()).withColumn(
@@ -340,6 +345,24 @@ def listing_overflow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.top_listing(top)
 
 
+@query
+def listing_section(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    return positioned(serving.section_listing(serving.offers_in_category(t.offers, t.catalog, "R", 12)))
+
+
+@query
+def listing_spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    return positioned(serving.spike_listing(spikes.detect_spikes(t.points, t.entities)))
+
+
+@query
+def listing_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = health.health_summary(Tables(spark, sf_dir).health)
+    return positioned(serving.health_listing(found))
+
+
 @query
 def display_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = F.col("o_totalprice")
@@ -607,7 +630,7 @@ def _payloads(raw: DataFrame) -> DataFrame:
 
 @query
 def flatten_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = samples.offer_events(Tables(spark, sf_dir).raw("lineitem"))
+    raw = samples.offer_events(spread(Tables(spark, sf_dir).raw("lineitem")))
     return _offer_rows(flatten.flatten_offers(_payloads(raw), RUN_TS))
 
 
@@ -621,7 +644,7 @@ def _offer_rows(df: DataFrame) -> DataFrame:
 
 @query
 def flatten_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = samples.catalog_events(Tables(spark, sf_dir).raw("part"))
+    raw = samples.catalog_events(spread(Tables(spark, sf_dir).raw("part")))
     return flatten.flatten_catalog(_payloads(raw), RUN_TS).select(
         "catalog_id", "name", "rarity", "type", "set_name", "introduction_text",
         "source_event_id", "ingested_at",
@@ -630,7 +653,7 @@ def flatten_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def flatten_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = samples.entity_events(Tables(spark, sf_dir).raw("customer"))
+    raw = samples.entity_events(spread(Tables(spark, sf_dir).raw("customer")))
     return flatten.flatten_entities(_payloads(raw), RUN_TS).select(
         "entity_id", "title", "creator_code", "display_name", "category", "created_in", "tags",
         "source_event_id", "ingested_at",
@@ -641,7 +664,7 @@ def flatten_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 def flatten_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _metric_rows(
         flatten.flatten_metrics(
-            _payloads(samples.metric_events(Tables(spark, sf_dir).raw("events"))), RUN_TS
+            _payloads(samples.metric_events(spread(Tables(spark, sf_dir).raw("events")))), RUN_TS
         )
     )
 

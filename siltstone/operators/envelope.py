@@ -211,15 +211,16 @@ def with_first_list(
     def is_candidate(_: Column, value: Column) -> Column:
         return F.try_variant_get(value, "$[0]", kind).isNotNull()
 
-    staged = df.withColumn("_members", F.when(wanted, V.members(F.col("_data"))))
-    keys = F.map_keys(F.map_filter("_members", is_candidate))
+    # Candidates are a column of their own: each of the uses below would search again.
+    staged = df.withColumn("_members", F.when(wanted, V.members(F.col("_data")))).withColumn(
+        "_keys", F.map_keys(F.map_filter("_members", is_candidate))
+    )
+    first = F.get("_keys", 0)
     if raw is not None:
         written = F.json_object_keys(F.get_json_object(raw, "$.payload.data"))
-        keys = F.when(F.size(keys) > 1, F.coalesce(F.array_intersect(written, keys), keys)).otherwise(keys)
-    staged = staged.withColumn("_keys", F.when(F.col("_members").isNotNull(), keys))
-    return staged.withColumn(
-        into, F.try_element_at("_members", F.get("_keys", 0))
-    ).drop("_members", "_keys")
+        in_order = F.get(F.array_intersect(written, "_keys"), 0)
+        first = F.when(F.size("_keys") > 1, F.coalesce(in_order, first)).otherwise(first)
+    return staged.withColumn(into, F.try_element_at("_members", first)).drop("_members", "_keys")
 
 
 def health_events(

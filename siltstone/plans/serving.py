@@ -302,6 +302,32 @@ def data_freshness(
     )
 
 
+def section_listing(offers: DataFrame) -> DataFrame:
+    """`offers_in_category` as it is displayed."""
+    return listing(
+        offers, SHOWN["offers_in_category"], F.col("total_in_category"),
+        F.col("final_price").desc_nulls_last(), F.col("item_name").asc_nulls_last(),
+        F.col("offer_id").asc_nulls_last(),
+    ).select("item_name", "rarity", number_text(F.col("final_price")).alias("price"), "left_out")
+
+
+def spike_listing(spikes: DataFrame) -> DataFrame:
+    """`recent_spikes` as it is displayed; all spikes count for what is left out."""
+    return listing(
+        spikes, SHOWN["recent_spikes"], spikes.agg(F.count(F.lit(1))).scalar(),
+        F.col("metric_timestamp").desc_nulls_last(), F.col("entity_id").asc(),
+        F.col("peak_ccu").desc(), F.col("previous_peak_ccu").desc(),
+    ).select("entity_id", "title", number_text(F.col("peak_ccu")).alias("peak"), "severity", "left_out")
+
+
+def health_listing(summary: DataFrame) -> DataFrame:
+    """`source_health` as it is displayed."""
+    return listing(
+        summary, SHOWN["source_health"], summary.agg(F.count(F.lit(1))).scalar(),
+        F.col("source_name").asc_nulls_last(),
+    ).select("source_name", "latest_status", "left_out")
+
+
 # Rows shown per listing.
 SHOWN = {"top_on_day": 25, "offers_in_category": 8, "recent_spikes": 10, "source_health": 6}
 
