@@ -70,7 +70,8 @@ def test_the_newest_snapshot_prunes_partitions(silver):
 
 def test_aggregates_combine_before_the_shuffle(silver):
     plan = plan_of(results(silver)["activity"])
-    assert "partial_max_by" in plan and "SortAggregate" not in plan
+    # One row per key and task is kept before the shuffle.
+    assert "WindowGroupLimit" in plan and "Partial" in plan and "SortAggregate" not in plan
 
 
 @pytest.mark.parametrize("flattener", [
