@@ -66,8 +66,8 @@ def log_ratios(documents: DataFrame, trusted: DataFrame) -> list[float]:
 
 
 def trusted_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """Documents labelled good."""
-    good = labels.filter("quality = 1").select("doc_id").distinct()
+    """Documents labelled good. The labels grow with the documents, so they are not broadcast."""
+    good = labels.filter("quality = 1").select("doc_id").distinct().hint("merge")
     return documents.select("doc_id", "text").join(good, "doc_id", "left_semi")
 
 
