@@ -20,6 +20,10 @@ under the size bands of all smaller partners.
 The boundary is the one of least cost over the histogram of sizes: rows written for subsets
 against rows for lists, each with the price of checking what they bring together.
 
+A parity sketch rules pairs out before sets are fetched: 256 bits, each the parity of the
+shingles that hash to it. Bits that differ are at most as many as shingles that differ, so a
+pair with more of them than linked sets can differ in does not link.
+
 No list gives all its pairs. Within a task, and then over all tasks, a list gives one pair per
 member: with its first member, the hub. Pairs are checked exactly, links give components. A
 list whose members then still lie in several components is worked on further, member by member as
@@ -41,7 +45,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.llm.components import components
@@ -53,7 +57,7 @@ BOUNDARIES, CHECK_COST = (9, 19, 29), 8
 #: Ratio of the size bands of heavy sets.
 BAND = 1.5
 #: Postings that a task brings into order at a time.
-CHUNK = 1_500_000
+CHUNK = 500_000
 #: Keys up to which a selection is sent to the tasks (8 bytes each); beyond, it is a join.
 SENT_KEYS = 1_000_000
 #: Pairs that one list may give in one round of further work.
@@ -71,7 +75,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
+        if len(self) > 150_000:
             self.clear()
         found = self[word] = xxhash.xxh3_64_intdigest(word)
         return found
@@ -180,23 +184,42 @@ def vertex_of(s: np.ndarray) -> int:
     return int(np.uint64(digest(s, 7)).view(np.int64)) if len(s) else 0
 
 
+SKETCH = [f"parity{i}" for i in range(4)]
+
+
+def parities(s: np.ndarray) -> np.ndarray:
+    """Parity sketch of a set as four 64-bit numbers."""
+    odd = np.bincount((s & np.uint64(255)).astype(np.int64), minlength=256) & 1
+    return np.packbits(odd.astype(bool)).view("<i8")
+
+
+def may_link(a: str, b: str) -> Column:
+    """Whether two sets, given by the prefixes of their columns, can link by size and sketch:
+    linked sets differ in 0.1 / 1.9 of their sizes' sum at most."""
+    n, m = F.col(f"{a}n"), F.col(f"{b}n")
+    apart = sum(F.bit_count(F.col(f"{a}{c}").bitwiseXOR(F.col(f"{b}{c}"))) for c in SKETCH)
+    return (10 * F.least(n, m) >= 9 * F.greatest(n, m)) & (19 * apart <= n + m)
+
+
 def summaries(documents: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and vertex of every row; a row with the empty set has no vertex."""
+    """doc_id, n_shingles, vertex and sketch of every row; an empty set is no vertex."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(t) for t in batch.column("text").to_pylist()]
+            sketch = np.stack([parities(s) for s in sets]) if sets else np.zeros((0, 4), "<i8")
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").cast(pa.int64()),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([vertex_of(s) if len(s) else None for s in sets], pa.int64()),
+                    *(pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(4)),
                 ],
-                ["doc_id", "n_shingles", "vertex"],
+                ["doc_id", "n_shingles", "vertex", *SKETCH],
             )
 
     return documents.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n_shingles long, vertex long"
+        run, "doc_id long, n_shingles long, vertex long, " + ", ".join(f"{c} long" for c in SKETCH)
     )
 
 
@@ -208,7 +231,7 @@ def _distinct_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.
             s = shingle_set(text)
             if not len(s) or (v := vertex_of(s)) in seen:
                 continue
-            if len(seen) > 1_000_000:
+            if len(seen) > 200_000:
                 seen.clear()
             seen.add(v)
             yield v, s
@@ -339,20 +362,39 @@ def sets_of(documents: DataFrame, vertices: DataFrame) -> DataFrame:
     return _selected(vertices, make, "vertex").dropDuplicates(["vertex"])
 
 
-def members_of(documents: DataFrame, sigs: DataFrame, boundary: int) -> DataFrame:
-    """sig, vertex: all members of the given lists."""
+def members_of(sets: DataFrame, sigs: DataFrame, boundary: int) -> DataFrame:
+    """sig, vertex, n and sketch: all members of the given lists. Each of them is an end of a pair
+    already, so its set is at hand."""
 
     def make(sent: np.ndarray | None) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for sig, vertex, _ in _postings(batches, boundary):
-                keep = _among(sig, sent)
+            for batch in batches:
+                rows = []
+                for v, data in zip(batch.column("vertex").to_pylist(), batch.column("shingles")):
+                    s = np.frombuffer(data.as_buffer(), np.uint64)
+                    sig = np.unique(signed(np.array([*signatures(s, boundary)], dtype=np.uint64)))
+                    rows += [(x, v, len(s), *parities(s).tolist()) for x in sig[_among(sig, sent)].tolist()]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(sig[keep]), pa.array(vertex[keep])], ["sig", "vertex"]
+                    [pa.array([r[i] for r in rows], pa.int64()) for i in range(7)],
+                    ["sig", "vertex", "n", *SKETCH],
                 )
 
-        return documents.select("text").mapInArrow(run, "sig long, vertex long")
+        return sets.mapInArrow(
+            run, "sig long, vertex long, n long, " + ", ".join(f"{c} long" for c in SKETCH)
+        )
+
+    return _selected(sigs, make, "sig")
 
-    return _selected(sigs, make, "sig").distinct()
+
+def possible(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (vertex, hub) that size and sketch do not rule out."""
+    known = docs.filter("vertex IS NOT NULL").select(
+        "vertex", F.col("n_shingles").alias("n"), *SKETCH
+    ).dropDuplicates(["vertex"])
+    one = known.select("vertex", *(F.col(c).alias(f"a_{c}") for c in ("n", *SKETCH)))
+    two = known.select(F.col("vertex").alias("hub"), *(F.col(c).alias(f"b_{c}") for c in ("n", *SKETCH)))
+    both = pairs.join(one, "vertex").join(two, "hub")
+    return both.filter(may_link("a_", "b_")).select("vertex", "hub")
 
 
 def checked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -402,10 +444,10 @@ def next_pairs(members: DataFrame, done: DataFrame, roots: DataFrame) -> tuple[D
     """New hubs (sig, vertex) and their pairs with the members of other components. Hubs come
     from outside the largest component of their list, as many as keep a round small."""
     named = _with_root(members, roots, "vertex").withColumnRenamed("vertex_root", "root")
-    parts = named.groupBy("sig", "root").agg(F.count("*").alias("n"))
+    parts = named.groupBy("sig", "root").agg(F.count("*").alias("size"))
     lists = parts.groupBy("sig").agg(
-        F.sum("n").alias("members"), F.count("*").alias("parts"),
-        F.max(F.struct("n", "root")).alias("largest"),
+        F.sum("size").alias("members"), F.count("*").alias("parts"),
+        F.max(F.struct("size", "root")).alias("largest"),
     ).filter("parts > 1").selectExpr("sig", "members", "largest.root AS largest")
     open_rows = named.join(lists, "sig")
     rank = F.row_number().over(Window.partitionBy("sig").orderBy("vertex"))
@@ -413,14 +455,20 @@ def next_pairs(members: DataFrame, done: DataFrame, roots: DataFrame) -> tuple[D
         open_rows.filter("root <> largest").join(done, ["sig", "vertex"], "left_anti")
         .withColumn("rank", rank)
         .filter(F.col("rank") <= F.greatest(F.lit(1), F.lit(ROUND_PAIRS) / F.col("members")))
-        .select("sig", F.col("vertex").alias("hub"), F.col("root").alias("hub_root")),
+        .select(
+            F.col("sig").alias("hub_sig"), F.col("vertex").alias("hub"),
+            F.col("root").alias("hub_root"), *(F.col(c).alias(f"b_{c}") for c in ("n", *SKETCH)),
+        ),
         "hubs",
     )
-    pairs = (
-        open_rows.select("sig", "vertex", "root").join(hubs, "sig")
-        .filter("root <> hub_root").select("vertex", "hub").distinct()
+    # The hub's columns meet those of the members in the join's own condition, so that pairs
+    # which cannot link are not made.
+    rows = open_rows.select("sig", "vertex", "root", *(F.col(c).alias(f"a_{c}") for c in ("n", *SKETCH)))
+    meets = (
+        (rows.sig == hubs.hub_sig) & (rows.root != hubs.hub_root) & may_link("a_", "b_")
     )
-    return hubs.select("sig", F.col("hub").alias("vertex")), pairs
+    pairs = rows.join(hubs, meets).select("vertex", "hub").distinct()
+    return hubs.select(F.col("hub_sig").alias("sig"), F.col("hub").alias("vertex")), pairs
 
 
 def link_components(documents: DataFrame) -> DataFrame:
@@ -434,12 +482,14 @@ def link_components(documents: DataFrame) -> DataFrame:
         pairs.select("vertex").union(pairs.select(F.col("hub").alias("vertex"))).distinct(), "ends"
     )
     sets = materialize(sets_of(documents, ends), "candidates")
-    edges = materialize(checked(pairs.select("vertex", "hub").distinct(), sets), "links")
+    edges = materialize(
+        checked(possible(pairs.select("vertex", "hub").distinct(), docs), sets), "links"
+    )
     roots = materialize(components(edges), "roots")
     open_lists = materialize(unresolved(pairs, roots), "open-lists")
     if not open_lists.isEmpty():
-        members = materialize(members_of(documents, open_lists, boundary), "members")
-        done = members.limit(0)
+        members = materialize(members_of(sets, open_lists, boundary), "members")
+        done = members.select("sig", "vertex").limit(0)
         while True:
             hubs, more = next_pairs(members, done, roots)
             if hubs.isEmpty():
