@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 #: and words from which a repeated run is cut out.
 WINDOW, ONE_IN, MOST_WORDS, LEAST_WORDS = 16, 4, 32, 20
 #: Digests that a task brings into order at a time.
-CHUNK = 2_000_000
+CHUNK = 700_000
 NO_ID = np.iinfo(np.int64).max
 
 GEAR = np.random.default_rng(20).integers(0, 1 << 32, 256, dtype=np.uint32)

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from siltstone.llm.text import held_out
 
 #: Most labelled documents that the field is fitted on.
-SAMPLE_ROWS = 6000
+SAMPLE_ROWS = 3000
 EPOCHS, RATE, DECAY, REFITS = 120, 0.08, 1e-4, 2
 #: Score from which a document is predicted good, as the contract sets it.
 CUT = 0.3

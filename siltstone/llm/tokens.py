@@ -21,7 +21,7 @@ ENDS = r"\s.,;:!?|*#$%&<>()\""
 #: Control and format characters that Unicode tables treat differently as white space.
 UNSURE = re.compile(r"[\x1c-\x1f\x85\u180e\u200b-\u200f\u2028\u2029\u2060\ufeff]")
 #: Words longer than this are not remembered, nor are more words than that at a time.
-LONGEST_WORD, MOST_WORDS = 48, 600_000
+LONGEST_WORD, MOST_WORDS = 48, 400_000
 
 
 class _Memory(dict):
