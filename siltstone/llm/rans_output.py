@@ -30,20 +30,24 @@ from __future__ import annotations
 
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.llm.tokens import encoder
+from siltstone.session import materialize
 
 MAGIC = b"SRA1"
 #: Lanes of a block, tokens after which a block ends, steps between checkpoints.
 LANES, BLOCK_TOKENS, CHECKPOINT_STEPS = 512, 1 << 17, 128
 #: Lowest state of a lane.
 LOW = 1 << 31
+#: Documents whose tokens are counted at a time.
+COUNT_TOGETHER = 500
 #: Documents of a shard, about.
 SHARD_DOCUMENTS = 20_000
 
@@ -166,62 +170,32 @@ def decode_block(
 
 
 def write_tokens(documents: DataFrame, folder: str, path: str, end_id: int) -> None:
-    """Encodes whole texts into a dataset folder; each text is tokenized for the counts and
-    again when its shard is written, which costs less than keeping the ids in between."""
-    texts = documents.select("doc_id", "text")
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, counts, rows = encoder(path).encode, np.zeros(1 << 16, np.int64), 0
-        for batch in batches:
-            for text in batch.column("text").to_pylist():
-                found = np.bincount(np.frombuffer(encode(text), "<u4"))
-                if len(found) > len(counts):
-                    counts = np.concatenate([counts, np.zeros(len(found) - len(counts), np.int64)])
-                counts[: len(found)] += found
-                rows += 1
-        if rows:
-            counts[end_id] += rows
-        seen = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(seen, pa.int64()), pa.array(counts[seen])], ["token", "n"]
-        )
-
+    """Encodes whole texts into a dataset folder. Each text is tokenized once; its ids are kept
+    compressed in the shared folder until the counts of all tokens are known."""
+    bounds = shard_bounds(documents)
+    kept = materialize(
+        documents.select("doc_id", "text").mapInArrow(
+            _tokenizing(path, end_id, bounds), "shard int, doc_id long, ids binary, counts binary"
+        ),
+        "ids",
+    )
     # As many rows as the vocabulary has tokens, at most.
     counted = (
-        texts.mapInArrow(count, "token long, n long")
+        kept.select("counts").filter("counts IS NOT NULL")
+        .mapInArrow(_unpacked_counts, "token long, n long")
         .groupBy("token").agg(F.sum("n").alias("n")).orderBy("token").collect()
     )
     spark = documents.sparkSession
     tokens = np.array([r.token for r in counted], dtype=np.int64)
     frequencies = scaled(np.array([r.n for r in counted])) if counted else np.zeros(0, np.int64)
     pairs = list(zip(tokens.tolist(), frequencies.tolist()))
-    spark.createDataFrame(pairs, "token long, frequency long").coalesce(1).write.mode("overwrite").parquet(f"{folder}/frequencies")
-    bounds = shard_bounds(documents)
-
-    def with_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(path).encode, np.array([end_id], "<u4").tobytes()
-        for batch in batches:
-            doc_ids = batch.column("doc_id").cast(pa.int64())
-            known = doc_ids.fill_null(np.iinfo(np.int64).min).to_numpy()
-            # Ids of 16 bits where they fit: this is what the shuffle carries.
-            packed = []
-            for text in batch.column("text").to_pylist():
-                ids = np.frombuffer(encode(text) + end, "<u4")
-                small = int(ids.max() < 1 << 16)
-                packed.append(bytes([small]) + zlib.compress(
-                    ids.astype("<u2").tobytes() if small else ids.tobytes(), 1
-                ))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.searchsorted(bounds, known, side="left"), pa.int32()),
-                    doc_ids,
-                    pa.array(packed, pa.binary()),
-                ],
-                ["shard", "doc_id", "ids"],
-            )
+    spark.createDataFrame(pairs, "token long, frequency long").coalesce(1).write.mode(
+        "overwrite"
+    ).parquet(f"{folder}/frequencies")
 
     def encode_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = Table(tokens, frequencies) if len(tokens) else None
+        loosen = zstandard.ZstdDecompressor()
         shard, block, start, size = None, 0, 0, 0
         docs: list[tuple[int | None, int]] = []
         held: list[np.ndarray] = []
@@ -242,7 +216,7 @@ def write_tokens(documents: DataFrame, folder: str, path: str, end_id: int) -> N
                     docs, held, size, block, start = [], [], 0, block + 1, start + size
                 if now != shard:
                     shard, block, start = now, 0, 0
-                ids = np.frombuffer(zlib.decompress(packed[1:]), "<u2" if packed[0] else "<u4")
+                ids = np.frombuffer(loosen.decompress(packed[1:]), f"<u{packed[0]}")
                 docs.append((doc_id, len(ids)))
                 held.append(ids)
                 size += len(ids)
@@ -250,7 +224,7 @@ def write_tokens(documents: DataFrame, folder: str, path: str, end_id: int) -> N
             yield row()
 
     (
-        texts.mapInArrow(with_shard, "shard int, doc_id long, ids binary")
+        kept.select("shard", "doc_id", "ids")
         .repartition(len(bounds) + 1, "shard")
         .sortWithinPartitions("shard", "doc_id")
         .mapInArrow(encode_shards, BLOCKS)
@@ -258,6 +232,65 @@ def write_tokens(documents: DataFrame, folder: str, path: str, end_id: int) -> N
     )
 
 
+def _packed_ids(ids: np.ndarray, squeeze: zstandard.ZstdCompressor) -> bytes:
+    """Ids of 16 bits where they fit, of 32 otherwise, behind a byte that tells which."""
+    small = not len(ids) or ids.max() < 1 << 16
+    return bytes([2 if small else 4]) + squeeze.compress(ids.astype("<u2" if small else "<u4").tobytes())
+
+
+def _tokenizing(
+    path: str, end_id: int, bounds: np.ndarray
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Shard and packed ids of each row; the first row of a batch also has the counts of all its
+    tokens."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode, end = encoder(path).encode, np.array([end_id], "<u4").tobytes()
+        squeeze = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            if not len(batch):
+                continue
+            doc_ids = batch.column("doc_id").cast(pa.int64())
+            known = doc_ids.fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False)
+            packed, held, counts = [], [], np.zeros(0, np.int64)
+            for text in batch.column("text").to_pylist():
+                ids = np.frombuffer(encode(text) + end, "<u4")
+                packed.append(_packed_ids(ids, squeeze))
+                held.append(ids)
+                if len(held) == COUNT_TOGETHER:
+                    counts, held = _added(counts, held), []
+            counts = _added(counts, held)
+            seen = np.flatnonzero(counts)
+            first = squeeze.compress(np.stack([seen, counts[seen]]).astype("<i8").tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.searchsorted(bounds, known, side="left"), pa.int32()),
+                    doc_ids,
+                    pa.array(packed, pa.binary()),
+                    pa.array([first] + [None] * (len(batch) - 1), pa.binary()),
+                ],
+                ["shard", "doc_id", "ids", "counts"],
+            )
+
+    return run
+
+
+def _added(counts: np.ndarray, held: list[np.ndarray]) -> np.ndarray:
+    if not held:
+        return counts
+    more = np.bincount(np.concatenate(held), minlength=len(counts))
+    more[: len(counts)] += counts
+    return more
+
+
+def _unpacked_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    loosen = zstandard.ZstdDecompressor()
+    for batch in batches:
+        for packed in batch.column("counts").to_pylist():
+            seen, n = np.frombuffer(loosen.decompress(packed), "<i8").reshape(2, -1)
+            yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(n)], ["token", "n"])
+
+
 def shard_bounds(documents: DataFrame) -> np.ndarray:
     """Largest doc_id of each shard but the last, from a scan of doc_id alone. Their number
     follows the number of documents, SHARD_DOCUMENTS in each."""
