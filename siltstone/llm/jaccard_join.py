@@ -26,7 +26,9 @@ pair with more of them than linked sets can differ in does not link.
 
 No list gives all its pairs. Within a task, and then over all tasks, a list gives one pair per
 member: with its first member, the hub. Pairs are checked exactly, links give components. A
-list whose members then still lie in several components is worked on further, member by member as
+subset list is complete once every member is paired with its smallest set over all tasks: if A and
+B link, then in the list of what they have in common the smallest set, which has that too and is
+no larger, links to both. An inverted list whose members then still lie in several components is worked on further, member by member as
 new hub, until every pair of its members is either in one component or was checked. So nothing is
 lost, and a group of thousands of near copies costs a pair each instead of a square.
 
@@ -265,13 +267,13 @@ def _postings(
         yield columns()
 
 
-PAIRS = "vertex long, hub long, sig long"
+PAIRS = "vertex long, hub long, sig long, across boolean"
 
 
 def hub_pairs(documents: DataFrame, boundary: int) -> DataFrame:
-    """vertex, hub, sig: for each list, every member but the hub with a hub. A task pairs its own
-    members first and hands on one member per list, so even a list that holds a third of all
-    sets reaches the shuffle as one row per chunk."""
+    """vertex, hub, sig, across: for each list, every member but the hub with a hub. A task pairs its
+    own members first and hands on one member per list, so even a list that holds a third of all
+    sets reaches the shuffle as one row per chunk. `across`: the hub of a chunk with that of all."""
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for sig, vertex, n in _postings(batches, boundary):
@@ -304,8 +306,11 @@ def hub_pairs(documents: DataFrame, boundary: int) -> DataFrame:
                 last_sig, last_hub = s[-1], hub[free[-1]]
             keep = hub != vertex
             yield pa.RecordBatch.from_arrays(
-                [pa.array(vertex[keep]), pa.array(hub[keep]), pa.array(sig[keep])],
-                ["vertex", "hub", "sig"],
+                [
+                    pa.array(vertex[keep]), pa.array(hub[keep]), pa.array(sig[keep]),
+                    pa.array(~paired[keep]),
+                ],
+                ["vertex", "hub", "sig", "across"],
             )
 
     return (
@@ -317,6 +322,21 @@ def hub_pairs(documents: DataFrame, boundary: int) -> DataFrame:
     )
 
 
+def to_smallest(pairs: DataFrame) -> DataFrame:
+    """vertex, hub, sig: in lists of subsets, members that their chunk paired with its own smallest
+    set are paired with the smallest set of all instead."""
+    subsets = pairs.filter("(sig & 1) = 0")
+    smallest = subsets.filter("across").select(
+        "sig", F.col("vertex").alias("hub"), F.col("hub").alias("smallest")
+    ).distinct()
+    moved = (
+        subsets.filter("NOT across").join(smallest.hint("merge"), ["sig", "hub"], "left")
+        .select("vertex", F.coalesce("smallest", "hub").alias("hub"), "sig")
+    )
+    rest = pairs.filter("(sig & 1) = 1 OR across").select("vertex", "hub", "sig")
+    return rest.union(moved.filter("vertex <> hub"))
+
+
 def _selected(
     keys: DataFrame, make: Callable[[np.ndarray | None], DataFrame], name: str
 ) -> DataFrame:
@@ -423,8 +443,7 @@ def checked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def unresolved(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     """Lists of three members or more (two pairs) of which a pair lies in two components. Lists
-    of subsets are complete after one star: their hub is the smallest set, and what else links
-    in them links to it."""
+    of subsets are complete after one star, see to_smallest()."""
     named = _with_root(_with_root(pairs.filter("(sig & 1) = 1"), roots, "vertex"), roots, "hub")
     return (
         named.groupBy("sig")
@@ -477,7 +496,7 @@ def link_components(documents: DataFrame) -> DataFrame:
     top = max(BOUNDARIES) * 10 // 9
     sizes = docs.filter(F.col("n_shingles").between(1, top)).groupBy("n_shingles").count().collect()
     boundary = best_boundary({r.n_shingles: r["count"] for r in sizes})
-    pairs = materialize(hub_pairs(documents, boundary), "pairs")
+    pairs = materialize(to_smallest(materialize(hub_pairs(documents, boundary), "stars")), "pairs")
     ends = materialize(
         pairs.select("vertex").union(pairs.select(F.col("hub").alias("vertex"))).distinct(), "ends"
     )

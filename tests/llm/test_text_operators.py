@@ -115,6 +115,27 @@ def test_large_lists_are_worked_off(spark, monkeypatch):
     assert found == sorted(brute_components(rows))
 
 
+@pytest.mark.parametrize("chunk", [1, jaccard_join.CHUNK])
+def test_short_near_copies_meet_across_tasks(spark, monkeypatch, chunk):
+    """Two texts longer by a word each and the text they contain, in different tasks: the longer
+    ones do not link, and their task knows no smaller set."""
+    monkeypatch.setattr(jaccard_join, "CHUNK", chunk)
+    rows, parts = [], []
+    for size in range(11, 20):
+        base = [f"w{size}x{i}" for i in range(size)]
+        for d, more, part in ((1, ["left"], 0), (2, ["right"], 0), (3, [], 1), (4, ["far"], 2), (5, ["away"], 2)):
+            rows.append((100 * size + d, " ".join(base + more)))
+            parts.append(part)
+    dealt = [[r for r, p in zip(rows, parts) if p == part] for part in range(3)]
+    docs = spark.createDataFrame(
+        spark.sparkContext.parallelize(dealt, 3).flatMap(lambda part: part), "doc_id long, text string"
+    )
+    assert docs.rdd.getNumPartitions() == 3
+    found = sorted(map(tuple, jaccard_join.link_components(docs).collect()))
+    assert found == sorted(brute_components(rows))
+    assert len({r[2] for r in found}) == 9
+
+
 def test_boundary_is_the_cheapest():
     assert jaccard_join.best_boundary({15: 100, 30: 1}) == 19
     assert jaccard_join.best_boundary({25: 100, 26: 100}) == 9
