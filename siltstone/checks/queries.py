@@ -826,6 +826,25 @@ def job_metric_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _metric_rows(_views(spark, sf_dir).table("metric_points"))
 
 
+@query
+def job_refresh_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A full run, then a refresh of one event date: the table stays that of the full run. Every
+    second event is stored under another date than its points have."""
+    root, silver = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
+    lines = envelope.decode(samples.metric_events(Tables(spark, sf_dir).raw("events")))
+    event_sinks.write_bronze(lines, root, RUN_DATE, batch="run-1", topic="topic")
+    days = ("2026-01-01", "2026-01-01")
+    late = F.abs(F.xxhash64("value")) % 2 == 0
+    moved = scratch_path(spark, "bronze")
+    spark.read.schema("value string, source string, event_date string").text(root).select(
+        "value", "source", F.when(late, F.lit(days[0])).otherwise(F.col("event_date")).alias("event_date")
+    ).write.partitionBy("source", "event_date").text(moved)
+    for options in ({}, {"days": days}):
+        bronze_to_silver.run(spark, moved, silver, RUN_TS, sources=["island_metrics"], **options)
+    task = next(task for task in bronze_to_silver.TASKS if task.source == "island_metrics")
+    return _metric_rows(spark.read.schema(task.schema).parquet(f"{silver}/metric_points"))
+
+
 @query
 def job_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _hourly_rows(_views(spark, sf_dir).table("hourly_rollup"))

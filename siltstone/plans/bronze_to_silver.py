@@ -14,8 +14,9 @@ from pyspark.sql import types as T
 from siltstone import schemas
 from siltstone.operators import flatten
 from siltstone.operators.dedupe import keep_newest
+from siltstone.session import materialize
 from siltstone.sinks.tables import run_summary, write_counted, write_if_any
-from siltstone.sources.files import load_payloads, unreadable
+from siltstone.sources.files import load_payloads, read_table, unreadable
 
 
 @dataclass(frozen=True)
@@ -54,7 +55,9 @@ def run_task(
     quarantine: str | None = None,
 ) -> tuple[str, int, int, str, str]:
     """One row of the run summary. `replace="static"` rewrites the table as a whole; `days`
-    (first, last) reads those event dates alone; unreadable texts go to `quarantine`."""
+    (first, last) reads those event dates alone and merges their rows with the stored ones, see
+    refreshed(); unreadable texts go to `quarantine`."""
+    check_days(task, replace, days)
     target = f"{silver_root}/{task.dataset}"
     where = {"whole_files": whole_files, "days": days}
     try:
@@ -69,6 +72,8 @@ def run_task(
     seen = Observation()
     counted = events.observe(seen, F.count(F.lit(1)).alias("events"))
     rows = shaped(task, counted, run_ts, dedupe)
+    if days is not None:
+        rows = refreshed(materialize(rows, "refresh"), events, target, task, dedupe)
     if task.partition_by and replace == "dynamic":
         written = write_counted(rows, target, partition_by=task.partition_by, replace=replace)
     else:
@@ -81,6 +86,42 @@ def run_task(
     return task.dataset, found, written, target, status
 
 
+def check_days(task: SilverTask, replace: str, days: tuple[str, str] | None) -> None:
+    if days is not None and (not task.partition_by or replace != "dynamic"):
+        raise ValueError(
+            f"days would replace all of {task.dataset} with the rows of some days: "
+            "it takes a partitioned table and replace='dynamic'"
+        )
+
+
+def refreshed(
+    rows: DataFrame, events: DataFrame, target: str, task: SilverTask, dedupe: bool
+) -> DataFrame:
+    """What replaces the stored partitions that the events of a range touch: the rows of those
+    events and, as a point's day is not its event's day, the stored rows of all other events.
+    A partition is touched by rows of the range, new or stored. An event is known by its id: if
+    it also lies under days outside the range, its stored rows give way to those of the range."""
+    spark = rows.sparkSession
+    stored = read_table(spark, target, task.schema)
+    if stored is None:
+        return rows
+    read = materialize(events.select(F.col("event_id").alias("source_event_id")).distinct(), "refresh-ids")
+    # An empty partition value is stored as a null.
+    value = [F.nullif(c, F.lit("")).alias(f"_{c}") for c in task.partition_by]
+    touched = materialize(
+        rows.select(*value)
+        .union(stored.join(read, "source_event_id", "left_semi").select(*value)).distinct(),
+        "refresh-partitions",
+    )
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in task.partition_by]
+    kept = stored.join(touched, same, "left_semi").join(read, "source_event_id", "left_anti")
+    merged = rows.unionByName(kept.select(*task.schema.names))
+    if dedupe:
+        merged = keep_newest(merged, list(task.keys), ["ingested_at", "source_event_id"])
+    # Written before the partitions it reads are replaced.
+    return materialize(merged, "refreshed")
+
+
 def shaped(
     task: SilverTask, events: DataFrame, run_ts: dt.datetime, dedupe: bool = False
 ) -> DataFrame:
@@ -101,9 +142,10 @@ def run(
 ) -> DataFrame:
     """Run all tasks, or those of `sources`; the summary has one row per task."""
     wanted = {name.strip() for name in sources} if sources else None
+    tasks = [task for task in TASKS if wanted is None or task.source in wanted]
+    for task in tasks:
+        check_days(task, options.get("replace", "dynamic"), options.get("days"))
     results = [
-        run_task(spark, task, bronze_root, silver_root, run_ts, **options)
-        for task in TASKS
-        if wanted is None or task.source in wanted
+        run_task(spark, task, bronze_root, silver_root, run_ts, **options) for task in tasks
     ]
     return run_summary(spark, results)

@@ -164,3 +164,38 @@ def test_unreadable_texts_are_set_aside_and_days_are_pruned(spark, folder):
     assert [r.value for r in spark.read.json(f"{folder}/q/offers").collect()] == [bad]
     (none,) = dicts(bronze_to_silver.run(spark, b, s, RUN_TS, sources=["shop"], days=("2026-05-18", "2026-05-19")))
     assert (none["input_count"], none["status"]) == (0, "empty")
+
+
+def test_a_refresh_of_days_keeps_the_points_of_other_events(spark, folder):
+    """Events of two days carry points of the same day."""
+    def event(name, day, points):
+        data = [{"timestamp": f"2026-05-{d}T10:00:00Z", "value": v} for d, v in points]
+        return json.dumps({"event_id": f"{name}:{name}", "event_time": f"2026-05-{day}T12:00:00Z", "payload": {"peakCCU": {"data": data}}})
+
+    def write(root, rows):
+        kind = "value string, source string, event_date string"
+        spark.createDataFrame([(text, "island_metrics", f"2026-05-{day}") for text, day in rows], kind) \
+            .write.mode("overwrite").partitionBy("source", "event_date").text(root)
+
+    def stored(root):
+        return dicts(spark.read.parquet(f"{root}/metric_points").selectExpr(
+            "source_event_id", "string(metric_date) AS day", "metric_value"), "source_event_id", "day")
+
+    b, one, two = f"{folder}/b", f"{folder}/one", f"{folder}/two"
+    first = [(event("a", 17, [(16, 1.0), (17, 2.0)]), 17), (event("b", 18, [(16, 3.0), (17, 4.0), (18, 5.0)]), 18)]
+    write(b, first)
+    bronze_to_silver.run(spark, b, one, RUN_TS, sources=["island_metrics"])
+    full = stored(one)
+    days, sources = ("2026-05-18", "2026-05-18"), ["island_metrics"]
+    for dedupe in (False, True):
+        bronze_to_silver.run(spark, b, one, RUN_TS, sources=sources, days=days, dedupe=dedupe)
+        assert stored(one) == full and len(full) == 5
+    # An event that came again with other points, and one that is new.
+    write(b, [first[0], (event("b", 18, [(17, 6.0)]), 18), (event("c", 18, [(16, 7.0), (19, 8.0)]), 18)])
+    bronze_to_silver.run(spark, b, one, RUN_TS, sources=sources, days=days)
+    bronze_to_silver.run(spark, b, two, RUN_TS, sources=sources)
+    assert [r for r in stored(one) if r["day"] != "2026-05-18"] == stored(two)
+    for options in ({"sources": ["cosmetics"]}, {"sources": sources, "replace": "static"}, {}):
+        with pytest.raises(ValueError):
+            bronze_to_silver.run(spark, b, one, RUN_TS, days=days, **options)
+    assert [r for r in stored(one) if r["day"] != "2026-05-18"] == stored(two)
