@@ -42,14 +42,23 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked documents: the one that names the group."""
-    groups = jaccard_join.link_components(docs)
-    named = groups.filter("doc_id = component_id").select("doc_id").distinct().hint("merge")
-    kept = docs.join(named, "doc_id", "left_semi").select(*docs.columns)
-    # Rows that repeat a doc_id are copies or name clashes of one document; one of them stays.
-    return kept.withColumn("_n", F.row_number().over(
-        Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    )).filter("_n = 1").drop("_n")
+    """One document of each group of linked documents: the one of least doc_id, which names the
+    group, or any if no row of the group has a doc_id. Groups are of texts, so different
+    texts stay whatever their doc_ids; null and blank texts belong to no group and all stay."""
+    first = (
+        jaccard_join.grouped(docs).filter("root IS NOT NULL").groupBy("root")
+        .agg(F.min(F.struct(F.isnull("doc_id").alias("unnamed"), "doc_id", "row_key")).alias("first"))
+        .select(F.col("first.row_key").alias("_row_key")).distinct().hint("merge")
+    )
+    blank = F.col("text").isNull() | ~F.col("text").rlike("[^ \\t\\n\\r\\x0B\\f]")
+    kept = docs.filter(~blank).withColumn("_row_key", jaccard_join.row_key()).join(
+        first, "_row_key", "left_semi"
+    )
+    # Rows of the same doc_id and text are copies; one of them stays.
+    one = kept.withColumn("_n", F.row_number().over(
+        Window.partitionBy("_row_key").orderBy(F.xxhash64(*docs.columns))
+    )).filter("_n = 1")
+    return one.select(*docs.columns).union(docs.filter(blank))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

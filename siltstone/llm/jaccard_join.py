@@ -204,7 +204,8 @@ def may_link(a: str, b: str) -> Column:
 
 
 def summaries(documents: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, vertex and sketch of every row; an empty set is no vertex."""
+    """doc_id, row_key (a hash of doc_id and text), n_shingles, vertex and sketch of every row; an
+    empty set is no vertex."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -213,18 +214,25 @@ def summaries(documents: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").cast(pa.int64()),
+                    batch.column("row_key"),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([vertex_of(s) if len(s) else None for s in sets], pa.int64()),
                     *(pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(4)),
                 ],
-                ["doc_id", "n_shingles", "vertex", *SKETCH],
+                ["doc_id", "row_key", "n_shingles", "vertex", *SKETCH],
             )
 
-    return documents.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n_shingles long, vertex long, " + ", ".join(f"{c} long" for c in SKETCH)
+    return documents.select("doc_id", "text", row_key().alias("row_key")).mapInArrow(
+        run,
+        "doc_id long, row_key long, n_shingles long, vertex long, "
+        + ", ".join(f"{c} long" for c in SKETCH),
     )
 
 
+def row_key() -> Column:
+    return F.xxhash64("doc_id", "text")
+
+
 def _distinct_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
     """Vertex and set of each distinct set of a task (copies far apart may come again)."""
     seen: set[int] = set()
@@ -490,8 +498,9 @@ def next_pairs(members: DataFrame, done: DataFrame, roots: DataFrame) -> tuple[D
     return hubs.select(F.col("hub_sig").alias("sig"), F.col("hub").alias("vertex")), pairs
 
 
-def link_components(documents: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row."""
+def grouped(documents: DataFrame) -> DataFrame:
+    """doc_id, row_key, n_shingles, vertex of every row and `root`, the same number for all rows
+    of a component (null for empty sets, which stand alone)."""
     docs = materialize(summaries(documents), "sets")
     top = max(BOUNDARIES) * 10 // 9
     sizes = docs.filter(F.col("n_shingles").between(1, top)).groupBy("n_shingles").count().collect()
@@ -518,7 +527,14 @@ def link_components(documents: DataFrame) -> DataFrame:
             if not found.isEmpty():
                 edges = edges.union(found)
                 roots = materialize(components(edges), "roots")
-    named = docs.join(roots, "vertex", "left").withColumn("root", F.coalesce("root", "vertex"))
+    return docs.join(roots, "vertex", "left").select(
+        "doc_id", "row_key", "n_shingles", "vertex", F.coalesce("root", "vertex").alias("root")
+    )
+
+
+def link_components(documents: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row."""
+    named = grouped(documents)
     least = named.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least"))
     return named.join(least, "root", "left").select(
         "doc_id", "n_shingles",

@@ -221,3 +221,22 @@ def test_pipeline_stages_take_odd_rows(spark):
                 assert found.columns == table.columns and n <= table.count()
             else:
                 assert n >= table.count()
+
+
+def test_near_duplicates_keep_a_document_of_every_group(spark):
+    """Groups without doc_ids and unlinked texts that share one."""
+    def text(name, end):
+        return " ".join(f"{name}{i}" for i in range(40)) + " " + end
+
+    rows = [
+        (None, text("a", "x")), (None, text("b", "x")), (None, text("b", "y")), (1, text("c", "x")),
+        (1, text("d", "x")), (1, text("d", "x")), (None, text("e", "x")), (3, text("e", "y")),
+        (2, text("e", "z")), (4, " \t\x0b\n"), (None, None), (None, None),
+    ]
+    docs = documents(spark, [(*r, None, None) for r in rows])
+    found = corpus_pipeline.near_duplicates(spark, docs.repartition(3), SAMPLE)
+    assert found.columns == docs.columns
+    kept = sorted(((r.doc_id, (r.text or "").strip()[:1]) for r in found.collect()), key=repr)
+    assert kept == sorted(
+        [(None, "a"), (None, "b"), (1, "c"), (1, "d"), (2, "e"), (4, ""), (None, ""), (None, "")], key=repr
+    )
