@@ -19,6 +19,8 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 #: Share of its main language below which a document is a jumble; two halves still pass.
 LEAST_SHARE = 0.4
+#: What near duplicates share: the rule of op2, to which test_pipeline_stages holds the stage.
+NEAR = jaccard_join.RULE
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +48,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     group, or any if no row of the group has a doc_id. Groups are of texts, so different
     texts stay whatever their doc_ids; null and blank texts belong to no group and all stay."""
     first = (
-        jaccard_join.grouped(docs).filter("root IS NOT NULL").groupBy("root")
+        jaccard_join.grouped(docs, NEAR).filter("root IS NOT NULL").groupBy("root")
         .agg(F.min(F.struct(F.isnull("doc_id").alias("unnamed"), "doc_id", "row_key")).alias("first"))
         .select(F.col("first.row_key").alias("_row_key")).distinct().hint("merge")
     )

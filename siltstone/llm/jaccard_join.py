@@ -41,6 +41,7 @@ ignored; an empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from itertools import combinations
 from math import comb
 
@@ -53,7 +54,16 @@ from pyspark.sql import functions as F
 from siltstone.llm.components import components
 from siltstone.session import materialize
 
-SHINGLE_WORDS = 3
+@dataclass(frozen=True)
+class Rule:
+    """Words of a shingle, and the least similarity of linked sets in percent."""
+
+    words: int
+    percent: int
+
+
+#: The rule of op2_jaccard_join. The bounds in the text above are those of its nine tenths.
+RULE = Rule(3, 90)
 #: A size boundary to choose from, and rows that the check of a listed pair is worth.
 BOUNDARIES, CHECK_COST = (9, 19, 29), 8
 #: Ratio of the size bands of heavy sets.
@@ -86,7 +96,7 @@ class _WordHashes(dict):
 WORD_HASHES = _WordHashes()
 
 
-def shingle_set(text: str | None, words_each: int = SHINGLE_WORDS) -> np.ndarray:
+def shingle_set(text: str | None, words_each: int = RULE.words) -> np.ndarray:
     """Sorted distinct hashes of the shingles: runs of words, or all words if there are fewer."""
     words = (text or "").encode().lower().split()
     if not words:
@@ -100,8 +110,12 @@ def shingle_set(text: str | None, words_each: int = SHINGLE_WORDS) -> np.ndarray
     return np.unique(out)
 
 
-def linked(shared: int, n_a: int, n_b: int) -> bool:
-    return 100 * shared >= 90 * (n_a + n_b - shared)
+def linked(shared: int, n_a: int, n_b: int, rule: Rule = RULE) -> bool:
+    return 100 * shared >= rule.percent * (n_a + n_b - shared)
+
+
+def largest_partner(n: int, rule: Rule = RULE) -> int:
+    return n * 100 // rule.percent
 
 
 def band_of(n: int) -> int:
@@ -116,32 +130,39 @@ def band_start(k: int) -> int:
     return int(np.ceil(8 * BAND**k)) if k else 0
 
 
-def bands(n: int) -> range:
+def bands(n: int, rule: Rule = RULE) -> range:
     """Bands under which a set of n shingles is listed: its own and those of smaller partners."""
-    return range(band_of(-(-9 * n // 10)), band_of(n) + 1)
+    return range(band_of(-(-rule.percent * n // 100)), band_of(n) + 1)
 
 
-def blocks_of(band: int) -> int:
+def blocks_of(band: int, rule: Rule = RULE) -> int:
     """Blocks for pairs whose smaller set is in the band: one more than they can differ."""
-    return (band_start(band + 1) - 1) // 9 + 1
+    return (band_start(band + 1) - 1) * (100 - rule.percent) // rule.percent + 1
 
 
-def subsets_cost(n: int) -> int:
-    return sum(comb(n, j) for j in range(n // 10 + 1))
+def left_out(n: int, rule: Rule = RULE) -> int:
+    """Shingles of a set of n that a linked set can lack, at most."""
+    return n * (100 - rule.percent) // 100
 
 
-def lists_cost(n: int) -> float:
-    return (1 + CHECK_COST) * sum(blocks_of(k) for k in bands(n))
+def subsets_cost(n: int, rule: Rule = RULE) -> int:
+    return sum(comb(n, j) for j in range(left_out(n, rule) + 1))
 
 
-def best_boundary(sizes: dict[int, int]) -> int:
+def lists_cost(n: int, rule: Rule = RULE) -> float:
+    return (1 + CHECK_COST) * sum(blocks_of(k, rule) for k in bands(n, rule))
+
+
+def best_boundary(sizes: dict[int, int], rule: Rule = RULE) -> int:
     """The boundary of least cost; `sizes` counts the sets of each size up to the largest
     boundary's partners (all others cost the same under each)."""
-    top = max(BOUNDARIES) * 10 // 9
+    top = largest_partner(max(BOUNDARIES), rule)
 
     def cost(x: int) -> float:
         return sum(
-            times * (subsets_cost(n) * (n <= x * 10 // 9) + lists_cost(n) * (n > x))
+            times * (
+                subsets_cost(n, rule) * (n <= largest_partner(x, rule)) + lists_cost(n, rule) * (n > x)
+            )
             for n, times in sizes.items() if n <= top
         )
 
@@ -152,17 +173,17 @@ def digest(parts: np.ndarray, tag: int) -> int:
     return xxhash.xxh3_64_intdigest(parts.tobytes(), seed=tag)
 
 
-def signatures(s: np.ndarray, boundary: int) -> Iterator[int]:
+def signatures(s: np.ndarray, boundary: int, rule: Rule = RULE) -> Iterator[int]:
     """Signatures of a set. The last bit tells subsets (0) from lists (1)."""
     n = len(s)
-    if n <= boundary * 10 // 9:
-        for j in range(n // 10 + 1):
+    if n <= largest_partner(boundary, rule):
+        for j in range(left_out(n, rule) + 1):
             for out in combinations(range(n), j):
                 yield digest(np.delete(s, out) if out else s, 0) & ~1
     if n <= boundary:
         return
-    for band in bands(n):
-        m = blocks_of(band)
+    for band in bands(n, rule):
+        m = blocks_of(band, rule)
         block = mixed(s ^ np.uint64(band + 1)) % np.uint64(m)
         order = np.argsort(block, kind="stable")
         ends = np.searchsorted(block[order], np.arange(m + 1, dtype=np.uint64))
@@ -195,21 +216,22 @@ def parities(s: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(bool)).view("<i8")
 
 
-def may_link(a: str, b: str) -> Column:
+def may_link(a: str, b: str, rule: Rule = RULE) -> Column:
     """Whether two sets, given by the prefixes of their columns, can link by size and sketch:
-    linked sets differ in 0.1 / 1.9 of their sizes' sum at most."""
+    linked sets differ in (1 - t) / (1 + t) of their sizes' sum at most, t being the similarity."""
     n, m = F.col(f"{a}n"), F.col(f"{b}n")
     apart = sum(F.bit_count(F.col(f"{a}{c}").bitwiseXOR(F.col(f"{b}{c}"))) for c in SKETCH)
-    return (10 * F.least(n, m) >= 9 * F.greatest(n, m)) & (19 * apart <= n + m)
+    sizes = 100 * F.least(n, m) >= rule.percent * F.greatest(n, m)
+    return sizes & ((100 + rule.percent) * apart <= (100 - rule.percent) * (n + m))
 
 
-def summaries(documents: DataFrame) -> DataFrame:
+def summaries(documents: DataFrame, rule: Rule = RULE) -> DataFrame:
     """doc_id, row_key (a hash of doc_id and text), n_shingles, vertex and sketch of every row; an
     empty set is no vertex."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_set(t) for t in batch.column("text").to_pylist()]
+            sets = [shingle_set(t, rule.words) for t in batch.column("text").to_pylist()]
             sketch = np.stack([parities(s) for s in sets]) if sets else np.zeros((0, 4), "<i8")
             yield pa.RecordBatch.from_arrays(
                 [
@@ -233,12 +255,14 @@ def row_key() -> Column:
     return F.xxhash64("doc_id", "text")
 
 
-def _distinct_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
+def _distinct_sets(
+    batches: Iterator[pa.RecordBatch], rule: Rule
+) -> Iterator[tuple[int, np.ndarray]]:
     """Vertex and set of each distinct set of a task (copies far apart may come again)."""
     seen: set[int] = set()
     for batch in batches:
         for text in batch.column("text").to_pylist():
-            s = shingle_set(text)
+            s = shingle_set(text, rule.words)
             if not len(s) or (v := vertex_of(s)) in seen:
                 continue
             if len(seen) > 200_000:
@@ -248,7 +272,7 @@ def _distinct_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.
 
 
 def _postings(
-    batches: Iterator[pa.RecordBatch], boundary: int
+    batches: Iterator[pa.RecordBatch], boundary: int, rule: Rule
 ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Signatures, vertices and sizes of a task, up to about CHUNK at a time."""
     sigs: list[int] = []
@@ -262,9 +286,9 @@ def _postings(
             np.repeat(np.array(sizes, dtype=np.int32), times),
         )
 
-    for v, s in _distinct_sets(batches):
+    for v, s in _distinct_sets(batches, rule):
         before = len(sigs)
-        sigs.extend(signatures(s, boundary))
+        sigs.extend(signatures(s, boundary, rule))
         counts.append(len(sigs) - before)
         vertices.append(v)
         sizes.append(len(s))
@@ -278,13 +302,13 @@ def _postings(
 PAIRS = "vertex long, hub long, sig long, across boolean"
 
 
-def hub_pairs(documents: DataFrame, boundary: int) -> DataFrame:
+def hub_pairs(documents: DataFrame, boundary: int, rule: Rule = RULE) -> DataFrame:
     """vertex, hub, sig, across: for each list, every member but the hub with a hub. A task pairs its
     own members first and hands on one member per list, so even a list that holds a third of all
     sets reaches the shuffle as one row per chunk. `across`: the hub of a chunk with that of all."""
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for sig, vertex, n in _postings(batches, boundary):
+        for sig, vertex, n in _postings(batches, boundary, rule):
             order = np.lexsort((vertex, n, sig))
             sig, vertex, n = sig[order], vertex[order], n[order]
             first = np.r_[True, sig[1:] != sig[:-1]]
@@ -364,13 +388,13 @@ def _among(values: np.ndarray, keys: np.ndarray | None) -> np.ndarray:
     return keys[np.minimum(np.searchsorted(keys, values), len(keys) - 1)] == values
 
 
-def sets_of(documents: DataFrame, vertices: DataFrame) -> DataFrame:
+def sets_of(documents: DataFrame, vertices: DataFrame, rule: Rule = RULE) -> DataFrame:
     """vertex, shingles (64-bit numbers) of the given vertices."""
 
     def make(sent: np.ndarray | None) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held: list[tuple[int, bytes]] = []
-            for v, s in _distinct_sets(batches):
+            for v, s in _distinct_sets(batches, rule):
                 if _among(np.array([v]), sent)[0]:
                     held.append((v, s.tobytes()))
                 if len(held) >= 500:
@@ -390,7 +414,9 @@ def sets_of(documents: DataFrame, vertices: DataFrame) -> DataFrame:
     return _selected(vertices, make, "vertex").dropDuplicates(["vertex"])
 
 
-def members_of(sets: DataFrame, sigs: DataFrame, boundary: int) -> DataFrame:
+def members_of(
+    sets: DataFrame, sigs: DataFrame, boundary: int, rule: Rule = RULE
+) -> DataFrame:
     """sig, vertex, n and sketch: all members of the given lists. Each of them is an end of a pair
     already, so its set is at hand."""
 
@@ -400,7 +426,7 @@ def members_of(sets: DataFrame, sigs: DataFrame, boundary: int) -> DataFrame:
                 rows = []
                 for v, data in zip(batch.column("vertex").to_pylist(), batch.column("shingles")):
                     s = np.frombuffer(data.as_buffer(), np.uint64)
-                    sig = np.unique(signed(np.array([*signatures(s, boundary)], dtype=np.uint64)))
+                    sig = np.unique(signed(np.array([*signatures(s, boundary, rule)], dtype=np.uint64)))
                     rows += [(x, v, len(s), *parities(s).tolist()) for x in sig[_among(sig, sent)].tolist()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[i] for r in rows], pa.int64()) for i in range(7)],
@@ -414,7 +440,7 @@ def members_of(sets: DataFrame, sigs: DataFrame, boundary: int) -> DataFrame:
     return _selected(sigs, make, "sig")
 
 
-def possible(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def possible(pairs: DataFrame, docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     """The pairs (vertex, hub) that size and sketch do not rule out."""
     known = docs.filter("vertex IS NOT NULL").select(
         "vertex", F.col("n_shingles").alias("n"), *SKETCH
@@ -422,10 +448,10 @@ def possible(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     one = known.select("vertex", *(F.col(c).alias(f"a_{c}") for c in ("n", *SKETCH)))
     two = known.select(F.col("vertex").alias("hub"), *(F.col(c).alias(f"b_{c}") for c in ("n", *SKETCH)))
     both = pairs.join(one, "vertex").join(two, "hub")
-    return both.filter(may_link("a_", "b_")).select("vertex", "hub")
+    return both.filter(may_link("a_", "b_", rule)).select("vertex", "hub")
 
 
-def checked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def checked(pairs: DataFrame, sets: DataFrame, rule: Rule = RULE) -> DataFrame:
     """Edges a, b: the pairs (vertex, hub) that link, by the sizes of their intersections."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -434,10 +460,10 @@ def checked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             for a, b in zip(batch.column("x"), batch.column("y")):
                 one, two = (np.frombuffer(s.as_buffer(), np.uint64) for s in (a, b))
                 small, large = sorted((len(one), len(two)))
-                good = 10 * small >= 9 * large
+                good = 100 * small >= rule.percent * large
                 if good:
                     both = np.sort(np.concatenate([one, two]), kind="stable")
-                    good = linked(int((both[1:] == both[:-1]).sum()), small, large)
+                    good = linked(int((both[1:] == both[:-1]).sum()), small, large, rule)
                 keep.append(good)
             found = batch.filter(pa.array(keep, pa.bool_()))
             yield pa.RecordBatch.from_arrays(
@@ -467,7 +493,9 @@ def _with_root(rows: DataFrame, roots: DataFrame, column: str) -> DataFrame:
     ).drop("_root")
 
 
-def next_pairs(members: DataFrame, done: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
+def next_pairs(
+    members: DataFrame, done: DataFrame, roots: DataFrame, rule: Rule = RULE
+) -> tuple[DataFrame, DataFrame]:
     """New hubs (sig, vertex) and their pairs with the members of other components. Hubs come
     from outside the largest component of their list, as many as keep a round small."""
     named = _with_root(members, roots, "vertex").withColumnRenamed("vertex_root", "root")
@@ -492,38 +520,38 @@ def next_pairs(members: DataFrame, done: DataFrame, roots: DataFrame) -> tuple[D
     # which cannot link are not made.
     rows = open_rows.select("sig", "vertex", "root", *(F.col(c).alias(f"a_{c}") for c in ("n", *SKETCH)))
     meets = (
-        (rows.sig == hubs.hub_sig) & (rows.root != hubs.hub_root) & may_link("a_", "b_")
+        (rows.sig == hubs.hub_sig) & (rows.root != hubs.hub_root) & may_link("a_", "b_", rule)
     )
     pairs = rows.join(hubs, meets).select("vertex", "hub").distinct()
     return hubs.select(F.col("hub_sig").alias("sig"), F.col("hub").alias("vertex")), pairs
 
 
-def grouped(documents: DataFrame) -> DataFrame:
+def grouped(documents: DataFrame, rule: Rule = RULE) -> DataFrame:
     """doc_id, row_key, n_shingles, vertex of every row and `root`, the same number for all rows
     of a component (null for empty sets, which stand alone)."""
-    docs = materialize(summaries(documents), "sets")
-    top = max(BOUNDARIES) * 10 // 9
+    docs = materialize(summaries(documents, rule), "sets")
+    top = largest_partner(max(BOUNDARIES), rule)
     sizes = docs.filter(F.col("n_shingles").between(1, top)).groupBy("n_shingles").count().collect()
-    boundary = best_boundary({r.n_shingles: r["count"] for r in sizes})
-    pairs = materialize(to_smallest(materialize(hub_pairs(documents, boundary), "stars")), "pairs")
+    boundary = best_boundary({r.n_shingles: r["count"] for r in sizes}, rule)
+    pairs = materialize(to_smallest(materialize(hub_pairs(documents, boundary, rule), "stars")), "pairs")
     ends = materialize(
         pairs.select("vertex").union(pairs.select(F.col("hub").alias("vertex"))).distinct(), "ends"
     )
-    sets = materialize(sets_of(documents, ends), "candidates")
+    sets = materialize(sets_of(documents, ends, rule), "candidates")
     edges = materialize(
-        checked(possible(pairs.select("vertex", "hub").distinct(), docs), sets), "links"
+        checked(possible(pairs.select("vertex", "hub").distinct(), docs, rule), sets, rule), "links"
     )
     roots = materialize(components(edges), "roots")
     open_lists = materialize(unresolved(pairs, roots), "open-lists")
     if not open_lists.isEmpty():
-        members = materialize(members_of(sets, open_lists, boundary), "members")
+        members = materialize(members_of(sets, open_lists, boundary, rule), "members")
         done = members.select("sig", "vertex").limit(0)
         while True:
-            hubs, more = next_pairs(members, done, roots)
+            hubs, more = next_pairs(members, done, roots, rule)
             if hubs.isEmpty():
                 break
             done = done.union(hubs)
-            found = materialize(checked(more, sets), "links")
+            found = materialize(checked(more, sets, rule), "links")
             if not found.isEmpty():
                 edges = edges.union(found)
                 roots = materialize(components(edges), "roots")
@@ -532,9 +560,9 @@ def grouped(documents: DataFrame) -> DataFrame:
     )
 
 
-def link_components(documents: DataFrame) -> DataFrame:
+def link_components(documents: DataFrame, rule: Rule = RULE) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
-    named = grouped(documents)
+    named = grouped(documents, rule)
     least = named.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least"))
     return named.join(least, "root", "left").select(
         "doc_id", "n_shingles",

@@ -103,6 +103,44 @@ def test_linked_sets_share_a_signature(boundary):
                 assert one & two, (n, len(other), shared)
 
 
+@pytest.mark.parametrize("boundary", jaccard_join.BOUNDARIES[:2])
+def test_sets_linked_by_another_rule_share_a_signature(boundary):
+    rule, rng = jaccard_join.Rule(5, 80), np.random.default_rng(boundary)
+    for n in [*range(1, 24), 30, 60, 120]:
+        for _ in range(6):
+            s = np.unique(rng.integers(0, 1 << 62, n).astype(np.uint64))
+            lose, gain = rng.integers(0, n // 8 + 2, 2)
+            kept = s[np.sort(rng.permutation(len(s))[lose:])]
+            other = np.unique(np.concatenate([kept, rng.integers(0, 1 << 62, gain).astype(np.uint64)]))
+            shared = len(np.intersect1d(s, other))
+            if len(other) and max(len(s), len(other)) < 30 or boundary == 9 and len(other):
+                if jaccard_join.linked(shared, len(s), len(other), rule):
+                    one, two = (set(jaccard_join.signatures(x, boundary, rule)) for x in (s, other))
+                    assert one & two, (n, len(other), shared)
+
+
+def test_join_by_another_rule(spark):
+    """Copies with 15 % more words and copies with a few words edited, of 20 to 200 words."""
+    rng, rows = np.random.default_rng(8), []
+    for size in (8, 14, 20, 40, 100, 200):
+        base = [f"w{x}" for x in rng.integers(0, 9000, size)]
+        longer = base + [f"u{x}" for x in rng.integers(0, 9000, size * 15 // 100)]
+        edited = [f"z{size}" if i % 50 == 9 else w for i, w in enumerate(base)]
+        for d, words in enumerate((base, longer, edited, base[::-1])):
+            rows.append((10 * size + d, " ".join(words)))
+    docs = documents(spark, [(d, t, None, None) for d, t in rows])
+    found = sorted(map(tuple, jaccard_join.link_components(docs, jaccard_join.Rule(5, 80)).collect()))
+    sets = [shingles(t, 5) for _, t in rows]
+    group = list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if 100 * len(a & sets[j]) >= 80 * len(a | sets[j]):
+                group = [group[j] if g == group[i] else g for g in group]
+    least = {g: min(d for (d, _), x in zip(rows, group) if x == g) for g in group}
+    assert found == sorted((d, len(s), least[g]) for (d, _), s, g in zip(rows, sets, group))
+    assert len(least) < len({c for *_, c in brute_components(rows)})
+
+
 def test_large_lists_are_worked_off(spark, monkeypatch):
     """Lists with several components: chunks of a few postings, one new hub at a time, and
     selections by join instead of by array."""
