@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from siltstone.llm.sql import ORACLE
 from siltstone.session import scratch_path
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -85,6 +86,12 @@ def op10_rans_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_documents(spark, folder)
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltstone.llm.merkle_manifest import verify_documents
+
+    return verify_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_page_difference": op1_page_difference,
     "op2_jaccard_join": op2_jaccard_join,
@@ -96,6 +103,5 @@ QUERIES = {
     "op8_line_crf": op8_line_crf,
     "op9_ngram_ratio": op9_ngram_ratio,
     "op10_rans_output": op10_rans_output,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
-
-ORACLE: dict[str, str] = {}
