@@ -81,4 +81,44 @@ FROM placed JOIN ordered ON placed.key = ordered.name JOIN group_ends USING (rid
 CROSS JOIN (SELECT node FROM group_nodes WHERE total = 1) AS top
 """
 
-ORACLE = {"op13_merkle_manifest": MERKLE_MANIFEST}
+PHRASE_MINING = f"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER}, '[.,;:!?\\x0A-\\x0D]')) AS piece
+    FROM documents WHERE text IS NOT NULL),
+words AS MATERIALIZED (
+    SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM pieces),
+grams AS (
+    SELECT lang, 1 AS size, unnest(w) AS phrase FROM words
+    UNION ALL
+    SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM words
+    UNION ALL
+    SELECT lang, 3, unnest(list_transform(
+        range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM words),
+f AS MATERIALIZED (
+    SELECT lang, size, phrase, count(*) AS a, string_split(phrase, ' ') AS p FROM grams
+    GROUP BY lang, size, phrase HAVING count(*) >= 10),
+cuts AS (
+    SELECT c.lang, c.size, c.phrase, c.a, k, x.a AS l, y.a AS r,
+        (1000000::HUGEINT * c.a * c.a) // (x.a::HUGEINT * y.a) AS score
+    FROM f AS c CROSS JOIN (VALUES (1), (2)) AS v(k)
+    JOIN f AS x ON x.lang = c.lang AND x.size = k AND x.phrase = array_to_string(c.p[1:k], ' ')
+    JOIN f AS y ON y.lang = c.lang AND y.size = c.size - k AND y.phrase = array_to_string(c.p[k + 1:], ' ')
+    WHERE k < c.size),
+worst AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (
+    SELECT lang, unnest([p[1] || ' ' || p[2], p[2] || ' ' || p[3]]) AS phrase, a AS longer FROM f WHERE size = 3),
+kept AS (
+    SELECT * FROM worst WHERE NOT EXISTS (
+        SELECT 1 FROM inside WHERE inside.lang = worst.lang AND inside.phrase = worst.phrase
+            AND 100 * inside.longer >= 50 * worst.a)),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+    a, l, r, n, CAST(score AS BIGINT) AS score
+FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000
+"""
+
+ORACLE = {
+    "op12_misra_gries_phrases": PHRASE_MINING,
+    "op13_merkle_manifest": MERKLE_MANIFEST,
+}
