@@ -86,6 +86,12 @@ def op10_rans_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_documents(spark, folder)
 
 
+def op11_bottom_k_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltstone.llm.minhash_dedup import deduplicate
+
+    return deduplicate(table(spark, sf_dir, "documents"))
+
+
 def op12_misra_gries_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     from siltstone.llm.phrase_mining import mine_phrases
 
@@ -109,6 +115,7 @@ QUERIES = {
     "op8_line_crf": op8_line_crf,
     "op9_ngram_ratio": op9_ngram_ratio,
     "op10_rans_output": op10_rans_output,
+    "op11_bottom_k_dedup": op11_bottom_k_dedup,
     "op12_misra_gries_phrases": op12_misra_gries_phrases,
     "op13_merkle_manifest": op13_merkle_manifest,
 }

@@ -118,7 +118,50 @@ SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p
 FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000
 """
 
+
+
+def linked_components(words: int, percent: int, columns: str) -> str:
+    """Components of documents whose sets of shingles have the given similarity; `columns` of d."""
+    return f"""
+WITH RECURSIVE
+numbered AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, text FROM documents),
+words AS (
+    SELECT rid, doc_id, list_filter(
+        string_split_regex(coalesce({_LOWER}, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+    FROM numbered),
+sets AS MATERIALIZED (
+    SELECT rid, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {words} THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(
+            range(1, len(w) - {words} + 2), lambda i: array_to_string(w[i:i + {words} - 1], ' '))) END AS s
+    FROM words),
+distinct_sets AS MATERIALIZED (
+    SELECT min(rid) AS v, list_sort(s) AS s, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY list_sort(s), len(s)),
+shingles AS MATERIALIZED (SELECT v, n, unnest(s) AS x FROM distinct_sets),
+links AS MATERIALIZED (
+    SELECT a.v AS a, b.v AS b FROM shingles AS a JOIN shingles AS b
+    ON a.x = b.x AND a.v <> b.v AND 100 * least(a.n, b.n) >= {percent} * greatest(a.n, b.n)
+    GROUP BY a.v, b.v, a.n, b.n HAVING 100 * count(*) >= {percent} * (a.n + b.n - count(*))),
+reached AS (
+    SELECT v, v AS other FROM distinct_sets
+    UNION
+    SELECT reached.v, links.b FROM reached JOIN links ON reached.other = links.a),
+roots AS (SELECT v, min(other) AS root FROM reached GROUP BY v),
+members AS (
+    SELECT doc_id, rid, len(sets.s) AS n_shingles, roots.root
+    FROM sets LEFT JOIN distinct_sets ON list_sort(sets.s) = distinct_sets.s LEFT JOIN roots USING (v)),
+d AS (
+    SELECT doc_id, CAST(n_shingles AS BIGINT) AS n_shingles, CASE WHEN root IS NULL THEN doc_id
+        ELSE min(doc_id) OVER (PARTITION BY root) END AS component_id
+    FROM members)
+SELECT {columns} FROM d
+"""
+
+
 ORACLE = {
+    "op2_jaccard_join": linked_components(3, 90, "doc_id, n_shingles, component_id"),
+    "op11_bottom_k_dedup": linked_components(
+        5, 85, "doc_id, n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept"
+    ),
     "op12_misra_gries_phrases": PHRASE_MINING,
     "op13_merkle_manifest": MERKLE_MANIFEST,
 }
