@@ -939,7 +939,7 @@ def stream_hourly_late(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five micro-batches with late points."""
     t = Tables(spark, sf_dir)
-    follower = SpikeFollower(spark, scratch_path(spark, "spikes"))
+    follower = SpikeFollower(spark, scratch_path(spark, "spikes"), buckets=8)
     points = _in_batches(t.points, 5, "source_event_id")
     follower.follow(points, scratch_path(spark, "progress")).awaitTermination()
     return _spike_rows(spikes.finish_spikes(follower.spikes(), t.entities, None))

@@ -134,10 +134,11 @@ def _history_across(
     )
     local = _history_within(cut, [key, SEGMENT], full_order, value)
     joined = local.join(carry, [key, SEGMENT], "left")
-    return _prepend(joined, "_n", "_s", "_v").drop(SEGMENT, COPY_SALT)
+    return prepend_history(joined, "_n", "_s", "_v").drop(SEGMENT, COPY_SALT)
 
 
-def _prepend(df: DataFrame, count: str, total: str, last: str) -> DataFrame:
+def prepend_history(df: DataFrame, count: str, total: str, last: str) -> DataFrame:
+    """Put a count, a sum and a last value before the running history of a key's rows."""
     zero = F.lit(0).cast(EXACT)
     either = F.col("prior_sum").isNotNull() | F.col(total).isNotNull()
     added = F.coalesce("prior_sum", zero) + F.coalesce(F.col(total), zero)

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from siltstone.operators.activity import newest_points
-from siltstone.streaming.batches import each_batch, read_batches, write_batch
+from siltstone.streaming.batches import BatchStore, each_batch
 
 NEWEST = T.StructType(
     [
@@ -21,6 +21,10 @@ NEWEST = T.StructType(
 )
 
 
+def newest_store(spark: SparkSession, root: str) -> BatchStore:
+    return BatchStore(spark, root, NEWEST, merge=newest_points)
+
+
 def follow_latest(
     points: DataFrame, root: str, checkpoint: str, *, once: bool = True
 ) -> StreamingQuery:
@@ -29,12 +33,13 @@ def follow_latest(
     The newest of the newest is the newest, whatever the order of arrival: `stored_points`
     gives points that `latest_activity` takes like any others.
     """
+    store = newest_store(points.sparkSession, root)
 
-    def store(batch: DataFrame, batch_id: int) -> None:
-        write_batch(newest_points(batch).select(*NEWEST.names), root, batch_id)
+    def take(batch: DataFrame, batch_id: int) -> None:
+        store.add(newest_points(batch), batch_id)
 
-    return each_batch(points, store, checkpoint, once)
+    return each_batch(points, take, checkpoint, once)
 
 
 def stored_points(spark: SparkSession, root: str) -> DataFrame:
-    return read_batches(spark, root, NEWEST).drop("batch")
+    return newest_store(spark, root).read()

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from siltstone.functions.instants import HOUR_TEXT
 from siltstone.operators.activity import timed_points
-from siltstone.streaming.batches import each_batch, read_batches, write_batch
+from siltstone.streaming.batches import BatchStore, each_batch
 
 PARTS = T.StructType(
     [
@@ -25,13 +25,29 @@ PARTS = T.StructType(
 )
 
 
+def added_up(parts: DataFrame) -> DataFrame:
+    """Parts of the same hours as one part."""
+    return parts.groupBy("entity_id", "metric_name", "metric_hour").agg(
+        F.sum("sum_value").alias("sum_value"),
+        F.sum("values").alias("values"),
+        F.min("min_value").alias("min_value"),
+        F.max("max_value").alias("max_value"),
+        F.sum("sample_count").alias("sample_count"),
+    )
+
+
+def hour_store(spark: SparkSession, root: str) -> BatchStore:
+    return BatchStore(spark, root, PARTS, merge=added_up)
+
+
 def follow_hours(
     points: DataFrame, root: str, checkpoint: str, *, once: bool = True
 ) -> StreamingQuery:
     """Store sums, counts and extremes per hour of every micro-batch below `root`; a point
     that is days late adds to its hour like any other."""
+    store = hour_store(points.sparkSession, root)
 
-    def store(batch: DataFrame, batch_id: int) -> None:
+    def take(batch: DataFrame, batch_id: int) -> None:
         hour = F.date_format(F.date_trunc("hour", "ts"), HOUR_TEXT).alias("metric_hour")
         parts = timed_points(batch).groupBy("entity_id", "metric_name", hour).agg(
             F.sum("metric_value").alias("sum_value"),
@@ -40,17 +56,16 @@ def follow_hours(
             F.max("metric_value").alias("max_value"),
             F.count(F.lit(1)).alias("sample_count"),
         )
-        write_batch(parts.select(*PARTS.names), root, batch_id)
+        store.add(parts, batch_id)
 
-    return each_batch(points, store, checkpoint, once)
+    return each_batch(points, take, checkpoint, once)
 
 
 def stored_hours(spark: SparkSession, root: str) -> DataFrame:
     """The hourly rollup over all batches."""
-    parts = read_batches(spark, root, PARTS)
-    return parts.groupBy("entity_id", "metric_name", "metric_hour").agg(
-        (F.sum("sum_value") / F.nullif(F.sum("values"), F.lit(0))).alias("avg_value"),
-        F.min("min_value").alias("min_value"),
-        F.max("max_value").alias("max_value"),
-        F.sum("sample_count").alias("sample_count"),
+    whole = added_up(hour_store(spark, root).read())
+    return whole.select(
+        "entity_id", "metric_name", "metric_hour",
+        (F.col("sum_value") / F.nullif(F.col("values"), F.lit(0))).alias("avg_value"),
+        "min_value", "max_value", "sample_count",
     )
