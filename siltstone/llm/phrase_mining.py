@@ -38,7 +38,7 @@ THRESHOLD, TOP, SCALE = 10, 2000, 1_000_000
 #: A phrase goes if a longer one holds it in so many percent of its occurrences.
 COVERED = 50
 #: Bytes of text that a task counts at a time.
-PART = 4 << 20
+PART = 2 << 20
 #: N-grams that a hash partition is meant to see, and characters of text that bring two of them.
 MASS, CHARS = 1 << 23, 6
 #: Times that a lookup table is repeated, so that a common word meets in as many places.
