@@ -23,6 +23,8 @@ TOPIC_ENDINGS = {
     "ops.ingestion_status": "ingestion_status",
 }
 HEALTH_SOURCE = "ingestion_status"
+#: Partition column of bronze: the day an event is stored under.
+BRONZE_DAY = "event_date"
 
 # Lists a shop payload may carry its offers in, in order of preference.
 OFFER_LISTS = ("entries", "featured", "daily")
@@ -68,9 +70,11 @@ def split_decoded(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
 def event_columns(decoded: DataFrame, raw: str | None = "value") -> DataFrame:
     """The fields the silver transforms read. `raw` keeps the JSON text, which is the only
     place where the order of object keys survives. Unreadable texts give a NULL payload,
-    from which nothing is flattened."""
+    from which nothing is flattened. The bronze partition an event was read from stays with it."""
     read, own = Fields.read(decoded, "event", "event_id", "event_type", *_TIME_FIELDS)
     kept = [F.col(raw).cast("string").alias("raw")] if raw else []
+    if BRONZE_DAY in decoded.columns:
+        kept.append(F.col(BRONZE_DAY))
     return read.select(
         own.shown("event_id").alias("event_id"),
         own.shown("event_type").alias("event_type"),

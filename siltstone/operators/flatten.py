@@ -16,12 +16,23 @@ from siltstone.functions import variant as V
 from siltstone.functions.instants import stamp
 from siltstone.functions.pinned import filter_here
 from siltstone.functions.variant import Fields
-from siltstone.operators.envelope import OFFER_LISTS, with_first_list
+from siltstone.operators.envelope import BRONZE_DAY, OFFER_LISTS, with_first_list
 from siltstone.schemas import DEFAULT_METRICS, MetricSet
 
 RunTime = dt.datetime | Column | None
 
 _HEAD = ("event_id", "event_time", "ingested_at")
+#: Beside the columns of a silver table: the bronze day its row was made from.
+SOURCE_DAY = "source_day"
+
+
+def _head(events: DataFrame) -> list[str]:
+    """Columns of the event that its rows are made with, the day of its bronze folder if known."""
+    return [*_HEAD, *([BRONZE_DAY] if BRONZE_DAY in events.columns else [])]
+
+
+def _bronze_day(rows: DataFrame) -> list[Column]:
+    return [F.col(BRONZE_DAY).alias(SOURCE_DAY)] if BRONZE_DAY in rows.columns else []
 
 
 def _filled(name: str) -> Column:
@@ -42,7 +53,7 @@ def _present(column: str) -> Column:
 
 def _with_data(events: DataFrame) -> DataFrame:
     raw = ["raw"] if "raw" in events.columns else []
-    return events.select(*_HEAD, *raw, V.field(F.col("payload"), "data").alias("data"))
+    return events.select(*_head(events), *raw, V.field(F.col("payload"), "data").alias("data"))
 
 
 def _with_offer_list(listed: DataFrame) -> DataFrame:
@@ -61,7 +72,7 @@ def _with_offer_list(listed: DataFrame) -> DataFrame:
 def flatten_offers(events: DataFrame, run_ts: RunTime = None) -> DataFrame:
     listed, body = Fields.read(_with_data(events).withColumnRenamed("data", "_data"), "_data", "date")
     day = F.substring(F.coalesce(body.truthy("date"), F.col("event_time")), 1, 10)
-    listed = _with_offer_list(listed).select(*_HEAD, day.alias("day"), "offers")
+    listed = _with_offer_list(listed).select(*_head(listed), day.alias("day"), "offers")
     offers, offer = Fields.read(
         V.explode_node(listed, "offers", "key", "offer"), "offer",
         "offerId", "offer_id", "devName", "dev_name", "regularPrice", "regular_price",
@@ -80,6 +91,7 @@ def flatten_offers(events: DataFrame, run_ts: RunTime = None) -> DataFrame:
         offer.truthy("outDate", "out_date").alias("out_date"),
         offer.truthy_label("layout").alias("layout_id"),
         *_origin(run_ts),
+        *_bronze_day(offers),
     )
     return filter_here(rows, _present("offer_id"))
 
@@ -158,7 +170,7 @@ def _per_metric(events: DataFrame, metrics: MetricSet) -> DataFrame:
     )
     known, nested = _metric_entries(payload, metrics)
     found = read.select(
-        *_HEAD,
+        *_head(events),
         "payload",
         F.coalesce(own.truthy("islandCode", "island_code", "code"), after_colon).alias("entity_id"),
         F.coalesce(
@@ -180,7 +192,7 @@ def _per_metric(events: DataFrame, metrics: MetricSet) -> DataFrame:
         F.col("has_known"), F.when(F.is_variant_null(body), other).otherwise(body)
     ).otherwise(F.coalesce(V.non_null(other), body))
     return each.select(
-        *_HEAD, "entity_id", "interval_type", name.alias("metric_name"), resolved.alias("body")
+        *_head(each), "entity_id", "interval_type", name.alias("metric_name"), resolved.alias("body")
     )
 
 
@@ -217,5 +229,6 @@ def flatten_metrics(
         F.substring(time, 1, 10).alias("metric_date"),
         value.alias("metric_value"),
         *_origin(run_ts),
+        *_bronze_day(points),
     )
     return filter_here(rows, _present("metric_timestamp") & _present("entity_id"))

@@ -15,8 +15,9 @@ from siltstone import schemas
 from siltstone.operators import flatten
 from siltstone.operators.dedupe import keep_newest
 from siltstone.session import materialize
-from siltstone.sinks.tables import run_summary, write_counted, write_if_any
-from siltstone.sources.files import load_payloads, read_table, unreadable
+from siltstone.sinks.tables import Partitions, run_summary, write_if_any
+from siltstone.sources.files import load_payloads, read_table, split_payloads
+from siltstone.storage.versions import live_path
 
 
 @dataclass(frozen=True)
@@ -28,6 +29,16 @@ class SilverTask:
     partition_by: tuple[str, ...] = ()
     keys: tuple[str, ...] = ()
 
+    @property
+    def layout(self) -> tuple[str, ...]:
+        """Partition columns of the stored table: its own, then the bronze day of the rows."""
+        return (*self.partition_by, flatten.SOURCE_DAY) if self.partition_by else ()
+
+    @property
+    def stored_schema(self) -> T.StructType:
+        day = [T.StructField(flatten.SOURCE_DAY, T.StringType())] if self.partition_by else []
+        return T.StructType([*self.schema.fields, *day])
+
 
 TASKS = (
     SilverTask("shop", "offers", flatten.flatten_offers, schemas.OFFERS, ("snapshot_date",),
@@ -55,13 +66,16 @@ def run_task(
     quarantine: str | None = None,
 ) -> tuple[str, int, int, str, str]:
     """One row of the run summary. `replace="static"` rewrites the table as a whole; `days`
-    (first, last) reads those event dates alone and merges their rows with the stored ones, see
-    refreshed(); unreadable texts go to `quarantine`."""
+    (first, last) reads those event dates alone and replaces what is stored of them, see
+    refresh(); unreadable texts go to `quarantine`."""
     check_days(task, replace, days)
     target = f"{silver_root}/{task.dataset}"
     where = {"whole_files": whole_files, "days": days}
     try:
-        events = load_payloads(spark, bronze_root, task.source, **where)
+        if quarantine is None:
+            events = load_payloads(spark, bronze_root, task.source, **where)
+        else:
+            events, bad = split_payloads(spark, bronze_root, task.source, **where)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -72,20 +86,27 @@ def run_task(
     seen = Observation()
     counted = events.observe(seen, F.count(F.lit(1)).alias("events"))
     rows = shaped(task, counted, run_ts, dedupe)
-    if days is not None:
-        rows = refreshed(materialize(rows, "refresh"), events, target, task, dedupe)
-    if task.partition_by and replace == "dynamic":
-        written = write_counted(rows, target, partition_by=task.partition_by, replace=replace)
+    if not task.partition_by or replace != "dynamic":
+        written = write_if_any(rows, target, partition_by=task.layout)
+    elif days is None:
+        written = partitions_of(spark, task, target).replace(rows)
     else:
-        written = write_if_any(rows, target, partition_by=task.partition_by)
+        written = refresh(spark, rows, task, target, days, dedupe)
     found = int(seen.get["events"])
-    if quarantine is not None and found:
-        bad = unreadable(spark, bronze_root, task.source, **where)
-        bad.write.mode("overwrite").json(f"{quarantine}/{task.dataset}")
+    if quarantine is not None:
+        found += set_aside(bad, f"{quarantine}/{task.dataset}")
     status = "success" if written else "no_rows" if found else "empty"
     return task.dataset, found, written, target, status
 
 
+def set_aside(bad: DataFrame, path: str) -> int:
+    """Write unreadable texts and return how many there are."""
+    counted = Observation()
+    rows = bad.observe(counted, F.count(F.lit(1)).alias("rows"))
+    rows.write.mode("overwrite").json(path)
+    return int(counted.get["rows"])
+
+
 def check_days(task: SilverTask, replace: str, days: tuple[str, str] | None) -> None:
     if days is not None and (not task.partition_by or replace != "dynamic"):
         raise ValueError(
@@ -94,38 +115,70 @@ def check_days(task: SilverTask, replace: str, days: tuple[str, str] | None) ->
         )
 
 
-def refreshed(
-    rows: DataFrame, events: DataFrame, target: str, task: SilverTask, dedupe: bool
-) -> DataFrame:
-    """What replaces the stored partitions that the events of a range touch: the rows of those
-    events and, as a point's day is not its event's day, the stored rows of all other events.
-    A partition is touched by rows of the range, new or stored. An event is known by its id: if
-    it also lies under days outside the range, its stored rows give way to those of the range."""
-    spark = rows.sparkSession
-    stored = read_table(spark, target, task.schema)
-    if stored is None:
-        return rows
-    read = materialize(events.select(F.col("event_id").alias("source_event_id")).distinct(), "refresh-ids")
-    # An empty partition value is stored as a null.
-    value = [F.nullif(c, F.lit("")).alias(f"_{c}") for c in task.partition_by]
-    touched = materialize(
-        rows.select(*value)
-        .union(stored.join(read, "source_event_id", "left_semi").select(*value)).distinct(),
-        "refresh-partitions",
+def partitions_of(spark: SparkSession, task: SilverTask, target: str) -> Partitions:
+    return Partitions(spark, live_path(spark, target), task.layout)
+
+
+def refresh(
+    spark: SparkSession, rows: DataFrame, task: SilverTask, target: str, days: tuple[str, str],
+    dedupe: bool,
+) -> int:
+    """Replace what is stored of a range of bronze days by the rows of those days.
+
+    A row's own day is not its event's day, but both are partitions: the rows of the range lie in folders of
+    their own. Those folders are replaced and those that the range no longer fills go; no stored row
+    is read. An event that is stored under days inside and outside the range keeps the rows of
+    both. With `dedupe` keys may meet those of other days, so the partitions that the range touches
+    are read, and only these.
+    """
+    (key,) = task.partition_by
+    table = partitions_of(spark, task, target)
+
+    def of_range(place: tuple[str, ...]) -> bool:
+        return days[0] <= place[1] <= days[1]
+
+    rows = materialize(rows, "refresh")
+    if not dedupe:
+        return table.replace(rows, of_range)
+    # An empty partition value is stored as a null. Days are as many as partitions.
+    new = {r[0] for r in rows.select(F.nullif(key, F.lit(""))).distinct().collect()}
+    touched = new | {table.value(place[0]) for place in table.files() if of_range(place)}
+    kept = outside(spark, task, target, touched, days)
+    if kept is None:
+        return table.replace(rows, of_range)
+    merged = keep_newest(
+        rows.unionByName(kept), list(task.keys), ["ingested_at", "source_event_id"]
     )
-    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in task.partition_by]
-    kept = stored.join(touched, same, "left_semi").join(read, "source_event_id", "left_anti")
-    merged = rows.unionByName(kept.select(*task.schema.names))
-    if dedupe:
-        merged = keep_newest(merged, list(task.keys), ["ingested_at", "source_event_id"])
     # Written before the partitions it reads are replaced.
-    return materialize(merged, "refreshed")
+    return table.replace(
+        materialize(merged, "refreshed"), lambda place: table.value(place[0]) in touched
+    )
+
+
+def outside(
+    spark: SparkSession, task: SilverTask, target: str, touched: set[str | None], days: tuple[str, str]
+) -> DataFrame | None:
+    """Stored rows of the given partitions that are not of the given bronze days. The values are in the
+    filter, so that no other partition is read."""
+    (key,) = task.partition_by
+    stored = read_table(spark, target, task.stored_schema)
+    if stored is None:
+        return None
+    place = F.col(key).isin(sorted(v for v in touched if v is not None))
+    if None in touched:
+        place = place | F.col(key).isNull()
+    inside = F.coalesce(F.col(flatten.SOURCE_DAY).between(*days), F.lit(False))
+    return stored.where(place & ~inside)
 
 
 def shaped(
     task: SilverTask, events: DataFrame, run_ts: dt.datetime, dedupe: bool = False
 ) -> DataFrame:
-    rows = task.transform(events, run_ts).select(*task.schema.names)
+    """Rows of a silver table; those of a partitioned one with the bronze day they come from."""
+    rows = task.transform(events, run_ts)
+    if task.partition_by and flatten.SOURCE_DAY not in rows.columns:
+        rows = rows.withColumn(flatten.SOURCE_DAY, F.lit(None).cast("string"))
+    rows = rows.select(*task.stored_schema.names)
     if dedupe:
         rows = keep_newest(rows, list(task.keys), ["ingested_at", "source_event_id"])
     return rows

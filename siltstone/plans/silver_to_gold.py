@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone import schemas
@@ -21,6 +21,12 @@ from siltstone.sinks.tables import run_summary, write_if_any
 from siltstone.sources.files import load_health, read_table
 
 
+#: What the latest values are found by.
+POINT_COLUMNS = (
+    "entity_id", "metric_name", "metric_timestamp", "metric_value", "ingested_at", "source_event_id"
+)
+
+
 class MissingInput(ValueError):
     """A required silver table has no data."""
 
@@ -45,7 +51,9 @@ def run(
     """Build every gold table; an empty result leaves the previous table in place.
 
     Only the metric points are required. Inputs are read as columns are needed: the points
-    three times with different columns, which is cheaper than keeping all of them.
+    three times with different columns, which is cheaper than keeping all of them. Input rows are
+    counted by the writes that read them; the offers, of which the newest snapshot alone is read, by
+    their own footers in the same job.
     """
     points = read_table(spark, f"{silver_root}/metric_points", schemas.METRIC_POINTS)
     if points is None:
@@ -60,12 +68,15 @@ def run(
         status = "success" if outputs else "empty"
         results.append((dataset, inputs, outputs, f"{gold_root}/{dataset}", status))
 
-    point_rows = points.count()
-    activity = latest_activity(points, entities, metrics=metrics, run_ts=run_ts)
+    seen = Observation()
+    counted = points.select(*POINT_COLUMNS).observe(seen, F.count(F.lit(1)).alias("rows"))
+    activity = latest_activity(counted, entities, metrics=metrics, run_ts=run_ts)
     active = write_if_any(activity, f"{gold_root}/latest_activity")
+    point_rows = int(seen.get["rows"])
     record("latest_activity", point_rows, active)
 
-    stored = spark.read.schema(activity.schema).parquet(f"{gold_root}/latest_activity") if active else activity
+    stored = read_table(spark, f"{gold_root}/latest_activity", activity.schema) if active else None
+    stored = schemas.empty(spark, activity.schema) if stored is None else stored
     top = rank_entities(stored, by=metrics.primary_column, top_n=top_n)
     record("top_entities", active, write_if_any(top, f"{gold_root}/top_entities"))
 
@@ -89,23 +100,21 @@ def run(
         if offers is None
         else category_share(offers, catalog, run_ts=run_ts)
     )
-    record(
-        "category_share",
-        0 if offers is None else offers.count(),
-        write_if_any(shares, f"{gold_root}/category_share"),
-    )
-
-    health_rows = 0 if health is None else health.count()
-    summary = (
-        schemas.empty(spark, schemas.HEALTH_SUMMARY)
-        if health is None
-        else health_summary(health)
-    )
-    record(
-        "source_health_summary",
-        health_rows,
-        write_if_any(summary, f"{gold_root}/source_health_summary"),
-    )
+    offer_rows = Observation()
+    if offers is not None:
+        # Counted by a subquery of the write's own job, which reads no column.
+        total = offers.agg(F.count(F.lit(1))).scalar()
+        shares = shares.withColumn("_offers", total).observe(offer_rows, F.max("_offers").alias("rows"))
+    written = write_if_any(shares.drop("_offers"), f"{gold_root}/category_share")
+    record("category_share", 0 if offers is None else int(offer_rows.get["rows"] or 0), written)
+
+    health_rows = Observation()
+    if health is None:
+        summary = schemas.empty(spark, schemas.HEALTH_SUMMARY)
+    else:
+        summary = health_summary(health.observe(health_rows, F.count(F.lit(1)).alias("rows")))
+    written = write_if_any(summary, f"{gold_root}/source_health_summary")
+    record("source_health_summary", 0 if health is None else int(health_rows.get["rows"]), written)
     return run_summary(spark, results)
 
 

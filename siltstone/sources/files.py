@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltstone.operators.envelope import HEALTH_SOURCE, decode, event_columns, split_decoded
+from siltstone.session import scratch_path
+from siltstone.storage.versions import live_path
 
 # Partition columns are declared: inference would turn the date text into DATE.
 BRONZE_SCHEMA = "value string, source string, event_date string"
+DECODED_SCHEMA = f"{BRONZE_SCHEMA}, event variant, readable boolean"
 
 
 def read_bronze(
@@ -68,17 +72,30 @@ def load_payloads(
     return event_columns(decode(raw))
 
 
-def unreadable(
+def split_payloads(
     spark: SparkSession,
     bronze_root: str,
     source: str,
     *,
     whole_files: bool = False,
     days: tuple[str, str] | None = None,
-) -> DataFrame:
-    """value, source, event_date of the texts that are no JSON object."""
+) -> tuple[DataFrame, DataFrame]:
+    """(events of one source, value, source, event_date of the texts that are no JSON object).
+
+    Bronze is read and parsed once: the parsed events and the other texts are written to the
+    shared folder, apart by a partition column, and both results read their own part.
+    """
     raw = read_bronze(spark, bronze_root, source, whole_files=whole_files, days=days)
-    return decode(raw).where("event IS NULL").select("value", "source", "event_date")
+    path = scratch_path(spark, "decoded")
+    decoded = decode(raw).select(
+        "value", "source", "event_date", "event", F.col("event").isNotNull().alias("readable")
+    )
+    decoded.write.mode("overwrite").partitionBy("readable").parquet(path)
+    stored = spark.read.schema(DECODED_SCHEMA).parquet(path)
+    return (
+        event_columns(stored.where("readable")),
+        stored.where("NOT readable").select("value", "source", "event_date"),
+    )
 
 
 def read_table(
@@ -87,7 +104,9 @@ def read_table(
     """A Parquet table, or None when it does not exist or holds no rows."""
     try:
         reader = spark.read if schema is None else spark.read.schema(schema)
-        found = reader.parquet(path)
+        found = reader.parquet(live_path(spark, path))
+        if schema is not None:  # folders may add partition columns
+            found = found.select(*schema.names)
         return None if found.isEmpty() else found
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):

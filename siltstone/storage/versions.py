@@ -11,6 +11,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+#: Folder of a table's pointers, which Spark does not take for data.
+POINTER = "_pointer"
 #: Versions whose files are left for readers that began with them.
 KEPT = 3
 
@@ -85,3 +87,9 @@ class VersionLog:
     @staticmethod
     def _name(number: int) -> str:
         return f"{number:012d}.json"
+
+
+def live_path(spark: SparkSession, path: str) -> str:
+    """The folder that holds a table's rows now: that of its newest version, or the table's own."""
+    newest = VersionLog(spark, f"{path}/{POINTER}").newest()
+    return f"{path}/{newest['folder']}" if newest else path

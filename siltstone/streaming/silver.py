@@ -34,6 +34,6 @@ def write_silver(
         .option("path", path)
         .option("checkpointLocation", checkpoint)
     )
-    if task.partition_by:
-        writer = writer.partitionBy(*task.partition_by)
+    if task.layout:
+        writer = writer.partitionBy(*task.layout)
     return (writer.trigger(availableNow=True) if once else writer).start()
