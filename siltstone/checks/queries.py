@@ -64,6 +64,10 @@ def positioned(ordered: DataFrame) -> DataFrame:
     ).drop("_at")
 
 
+def _every(column: str, step: int, rest: int = 0) -> Column:
+    return F.col(column) % step == rest
+
+
 def rounded(column: str) -> Column:
     return F.round(column, 9).alias(column)
 
@@ -742,6 +746,122 @@ def bronze_compressed_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def topics_of_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records per topic that each way of asking for topics selects."""
+    records = samples.raw_records(Tables(spark, sf_dir).raw("events"))
+    named = F.when(F.col("topic") == "other", "ops.ingestion_status").when(
+        F.col("topic") == "x.raw.shop", "raw.shop").otherwise(F.col("topic"))
+    records = records.select(F.concat(F.lit("lab."), named).alias("topic"))
+    requests = {
+        "full": topics.resolve_topics("lab", full=True),
+        "named": topics.resolve_topics("lab", topic="lab.raw.island_metrics"),
+        "default": topics.resolve_topics("lab"),
+    }
+    return envelope.union_all([
+        records.where(F.col("topic").isin(wanted)).groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
+        .select(F.lit(request).alias("request"), F.lit(len(wanted)).alias("topics"), "topic", "n")
+        for request, wanted in requests.items()
+    ])
+
+
+@query
+def single_event_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One indented event per file, read as whole files and by lines."""
+    root = scratch_path(spark, "single")
+    suppliers = Tables(spark, sf_dir).raw("supplier")
+    body = F.struct(F.col("s_suppkey").alias("event_id"), F.col("s_name").alias("event_type"))
+    suppliers.select(
+        F.to_json(body, {"pretty": "true"}).alias("value"), F.lit("shop").alias("source"),
+        F.concat(F.lit("2026-01-0"), F.col("s_suppkey") % 9 + 1).alias("event_date"),
+    ).write.option("maxRecordsPerFile", 1).partitionBy("source", "event_date").text(root)
+    whole = files.read_bronze(spark, root, "shop", whole_files=True)
+    lines = files.read_bronze(spark, root, "shop")
+    readable = envelope.decode(lines).where("event IS NOT NULL").agg(F.count(F.lit(1))).scalar()
+    return envelope.event_columns(envelope.decode(whole)).select(
+        "event_id", "event_type", "event_date", readable.alias("readable_lines")
+    )
+
+
+@query
+def readable_and_set_aside(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze in which every seventh text is broken, split in one pass."""
+    root = scratch_path(spark, "mixed")
+    key = F.col("o_orderkey").cast("string")
+    text = F.when(_every("o_orderkey", 7), F.concat(F.lit('{"event_id": '), key)).when(
+        _every("o_orderkey", 7, 1), F.concat(F.lit("["), key, F.lit("]"))
+    ).otherwise(F.to_json(F.struct(key.alias("event_id"))))
+    Tables(spark, sf_dir).raw("orders").select(
+        text.alias("value"), F.lit("shop").alias("source"),
+        F.date_format(F.trunc("o_orderdate", "month"), "yyyy-MM-dd").alias("event_date"),
+    ).write.partitionBy("source", "event_date").text(root)
+    good, bad = files.split_payloads(spark, root, "shop")
+    return envelope.union_all([
+        rows.groupBy("event_date").agg(F.count(F.lit(1)).alias("n"))
+        .select(F.lit(kind).alias("kind"), "event_date", "n")
+        for kind, rows in (("readable", good), ("set_aside", bad))
+    ])
+
+
+@query
+def offers_of_both_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two folders as one table; the older one lacks a column, a third does not exist."""
+    root = scratch_path(spark, "folders")
+    offers = Tables(spark, sf_dir).offers
+    new, old = offers.where("snapshot_date >= '1995-01-01'"), offers.where("snapshot_date < '1995-01-01'")
+    table_sinks.write_counted(new, f"{root}/new", partition_by=("snapshot_date",))
+    table_sinks.write_counted(old.drop("layout_id"), f"{root}/old", partition_by=("snapshot_date",))
+    found = files.read_tables(spark, [f"{root}/{name}" for name in ("new", "none", "old")])
+    return found.groupBy(F.col("snapshot_date").cast("string").alias("snapshot_date")).agg(
+        F.count(F.lit(1)).alias("offers"), F.count("layout_id").alias("with_layout")
+    )
+
+
+@query
+def views_of_the_second_root(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first root is empty, so the views show the second one."""
+    first, second = scratch_path(spark, "first"), scratch_path(spark, "second")
+    table_sinks.write_if_any(Tables(spark, sf_dir).catalog, f"{second}/catalog")
+    views = ViewRegistry(spark, dataset_paths(first, first), dataset_paths(second, second))
+    shown = views.refresh()
+    return views.table("catalog").select(
+        "catalog_id", "name", "rarity", F.lit(",".join(sorted(shown))).alias("shown")
+    )
+
+
+@query
+def gold_without_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gold job refuses to run without metric points, whatever else there is."""
+    silver, gold = scratch_path(spark, "silver"), scratch_path(spark, "gold")
+    table_sinks.write_if_any(Tables(spark, sf_dir).entities, f"{silver}/entities")
+    try:
+        silver_to_gold.run(spark, silver, scratch_path(spark, "bronze"), gold, RUN_TS)
+        refused = False
+    except silver_to_gold.MissingInput:
+        refused = True
+    return files.read_table(spark, f"{silver}/entities").agg(
+        F.count(F.lit(1)).alias("entities"), F.lit(refused).alias("refused"),
+        F.lit(files.read_table(spark, f"{gold}/latest_activity") is None).alias("nothing_written"),
+    )
+
+
+@query
+def processing_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every silver row has the instant of its run, given here in another time zone."""
+    t = Tables(spark, sf_dir)
+    run_ts = RUN_TS.astimezone(dt.timezone(dt.timedelta(hours=2)))
+    made = {
+        "catalog": flatten.flatten_catalog(_payloads(samples.catalog_events(t.raw("part"))), run_ts),
+        "entities": flatten.flatten_entities(_payloads(samples.entity_events(t.raw("customer"))), run_ts),
+        "metric_points": flatten.flatten_metrics(_payloads(samples.metric_events(t.raw("events"))), run_ts),
+    }
+    return envelope.union_all([
+        rows.groupBy(moment("processed_at").alias("processed_at")).agg(F.count(F.lit(1)).alias("n"))
+        .select(F.lit(dataset).alias("dataset"), "processed_at", "n")
+        for dataset, rows in made.items()
+    ])
+
+
 @query
 def mirror_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copies keep rows, partitions and types: counted again from the copy, by partition."""
