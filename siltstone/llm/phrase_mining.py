@@ -38,7 +38,7 @@ THRESHOLD, TOP, SCALE = 10, 2000, 1_000_000
 #: A phrase goes if a longer one holds it in so many percent of its occurrences.
 COVERED = 50
 #: Bytes of text that a task counts at a time.
-PART = 2 << 20
+PART = 4 << 20
 #: N-grams that a hash partition is meant to see, and characters of text that bring two of them.
 MASS, CHARS = 1 << 23, 6
 #: Times that a lookup table is repeated, so that a common word meets in as many places.
@@ -204,26 +204,23 @@ def survivors(
             )
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, summary = None, None
+        # There are as many partitions as cells, so a task has one cell or a few.
+        summaries: dict[int, Summary] = {}
         for batch in batches:
             cell, code, times = (
                 batch.column(c).to_numpy(zero_copy_only=False) for c in ("cell", "code", "times")
             )
-            edges = np.r_[0, np.flatnonzero(np.diff(cell)) + 1, len(cell)]
-            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
-                if a == b:
-                    continue
-                if cell[a] != now:
-                    if summary is not None:
-                        yield pa.RecordBatch.from_arrays([pa.array(summary.survivors())], ["code"])
-                    now, summary = cell[a], Summary(2 * mass // threshold, threshold)
-                summary.add(code[a:b], times[a:b])
-        if summary is not None:
+            for one in np.unique(cell).tolist():
+                if one not in summaries:
+                    summaries[one] = Summary(2 * mass // threshold, threshold)
+                rows = cell == one
+                summaries[one].add(code[rows], times[rows])
+        for summary in summaries.values():
             yield pa.RecordBatch.from_arrays([pa.array(summary.survivors())], ["code"])
 
     return (
         texts.mapInArrow(local, "cell int, code long, times long")
-        .repartition("cell").sortWithinPartitions("cell").mapInArrow(merged, "code long")
+        .repartition(cells, "cell").mapInArrow(merged, "code long")
     )
 
 
