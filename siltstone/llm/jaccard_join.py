@@ -20,7 +20,7 @@ under the size bands of all smaller partners.
 The boundary is the one of least cost over the histogram of sizes: rows written for subsets
 against rows for lists, each with the price of checking what they bring together.
 
-A parity sketch rules pairs out before sets are fetched: 256 bits, each the parity of the
+A parity sketch rules pairs out before sets are fetched: 512 bits, each the parity of the
 shingles that hash to it. Bits that differ are at most as many as shingles that differ, so a
 pair with more of them than linked sets can differ in does not link.
 
@@ -40,7 +40,7 @@ ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
 from math import comb
@@ -51,6 +51,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from siltstone.llm.bit_filter import bitmap, passing
 from siltstone.llm.components import components
 from siltstone.session import materialize
 
@@ -70,10 +71,9 @@ BOUNDARIES, CHECK_COST = (9, 19, 29), 8
 BAND = 1.5
 #: Postings that a task brings into order at a time.
 CHUNK = 500_000
-#: Keys up to which a selection is sent to the tasks (8 bytes each); beyond, it is a join.
-SENT_KEYS = 1_000_000
-#: Pairs that one list may give in one round of further work.
-ROUND_PAIRS = 200_000
+#: Pairs that one list may give in one round of further work, and by how much the new hubs of a list
+#: may grow from round to round.
+ROUND_PAIRS, GROWTH = 200_000, 4
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 FOLD = np.uint64(0xBF58476D1CE4E5B9)
@@ -86,10 +86,12 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
+    """Word -> its hash as little-endian bytes."""
+
+    def __missing__(self, word: bytes) -> bytes:
         if len(self) > 150_000:
             self.clear()
-        found = self[word] = xxhash.xxh3_64_intdigest(word)
+        found = self[word] = xxhash.xxh3_64_intdigest(word).to_bytes(8, "little")
         return found
 
 
@@ -101,7 +103,7 @@ def shingle_set(text: str | None, words_each: int = RULE.words) -> np.ndarray:
     words = (text or "").encode().lower().split()
     if not words:
         return np.zeros(0, np.uint64)
-    h = np.array([WORD_HASHES[w] for w in words], dtype=np.uint64)
+    h = np.frombuffer(b"".join(map(WORD_HASHES.__getitem__, words)), dtype="<u8")
     if len(h) < words_each:
         return mixed(np.array([xxhash.xxh3_64_intdigest(h.tobytes())], dtype=np.uint64))
     out = h[: len(h) - words_each + 1].copy()
@@ -207,12 +209,14 @@ def vertex_of(s: np.ndarray) -> int:
     return int(np.uint64(digest(s, 7)).view(np.int64)) if len(s) else 0
 
 
-SKETCH = [f"parity{i}" for i in range(4)]
+#: Bits of the parity sketch, as numbers of 64 bits.
+PARITY_BITS = 512
+SKETCH = [f"parity{i}" for i in range(PARITY_BITS // 64)]
 
 
-def parities(s: np.ndarray) -> np.ndarray:
-    """Parity sketch of a set as four 64-bit numbers."""
-    odd = np.bincount((s & np.uint64(255)).astype(np.int64), minlength=256) & 1
+def parities(s: np.ndarray, bits: int = 256) -> np.ndarray:
+    """Parity sketch of a set as 64-bit numbers."""
+    odd = np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(bool)).view("<i8")
 
 
@@ -232,14 +236,14 @@ def summaries(documents: DataFrame, rule: Rule = RULE) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(t, rule.words) for t in batch.column("text").to_pylist()]
-            sketch = np.stack([parities(s) for s in sets]) if sets else np.zeros((0, 4), "<i8")
+            sketch = np.array([parities(s, PARITY_BITS) for s in sets], "<i8").reshape(-1, len(SKETCH))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").cast(pa.int64()),
                     batch.column("row_key"),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([vertex_of(s) if len(s) else None for s in sets], pa.int64()),
-                    *(pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(4)),
+                    *(pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(len(SKETCH))),
                 ],
                 ["doc_id", "row_key", "n_shingles", "vertex", *SKETCH],
             )
@@ -369,49 +373,41 @@ def to_smallest(pairs: DataFrame) -> DataFrame:
     return rest.union(moved.filter("vertex <> hub"))
 
 
-def _selected(
-    keys: DataFrame, make: Callable[[np.ndarray | None], DataFrame], name: str
+def sets_of(
+    documents: DataFrame, docs: DataFrame, vertices: DataFrame, rule: Rule = RULE
 ) -> DataFrame:
-    """Rows of `make` whose column `name` is among `keys`: by a sorted array sent to the tasks
-    while it is small, by a join beyond that. `make` gets the array, or None."""
-    if keys.limit(SENT_KEYS + 1).count() <= SENT_KEYS:
-        sent = np.sort(keys.toPandas()[name].to_numpy(dtype=np.int64))
-        return make(sent)
-    return make(None).join(keys, name, "left_semi")
-
-
-def _among(values: np.ndarray, keys: np.ndarray | None) -> np.ndarray:
-    if keys is None:
-        return np.ones(len(values), dtype=bool)
-    if not len(keys):
-        return np.zeros(len(values), dtype=bool)
-    return keys[np.minimum(np.searchsorted(keys, values), len(keys) - 1)] == values
-
-
-def sets_of(documents: DataFrame, vertices: DataFrame, rule: Rule = RULE) -> DataFrame:
-    """vertex, shingles (64-bit numbers) of the given vertices."""
-
-    def make(sent: np.ndarray | None) -> DataFrame:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held: list[tuple[int, bytes]] = []
-            for v, s in _distinct_sets(batches, rule):
-                if _among(np.array([v]), sent)[0]:
-                    held.append((v, s.tobytes()))
-                if len(held) >= 500:
-                    yield rows(held)
-                    held = []
-            if held:
-                yield rows(held)
-
-        def rows(held: list[tuple[int, bytes]]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array([v for v, _ in held], pa.int64()), pa.array([s for _, s in held], pa.binary())],
-                ["vertex", "shingles"],
-            )
+    """vertex, shingles (64-bit numbers) of the given vertices. One row of each is hashed once more: a
+    filter of fixed size over the row keys lets it pass, and few others, which the join drops."""
+    chosen = (
+        docs.select("vertex", "row_key").join(vertices.hint("merge"), "vertex", "left_semi")
+        .groupBy("vertex").agg(F.min("row_key").alias("row_key"))
+    )
+    rows = documents.sparkSession.sparkContext.broadcast(bitmap(chosen, "row_key"))
 
-        return documents.select("text").mapInArrow(run, "vertex long, shingles binary")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key = batch.column("row_key").to_numpy().view(np.uint64)
+            found, held = [], 0
+            for i in np.flatnonzero(passing(rows.value, key)).tolist():
+                s = shingle_set(batch.column("text")[i].as_py(), rule.words)
+                if len(s):
+                    found.append((vertex_of(s), s.tobytes()))
+                    held += len(s)
+                if held > CHUNK:
+                    yield made(found)
+                    found, held = [], 0
+            yield made(found)
+
+    def made(found: list[tuple[int, bytes]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([v for v, _ in found], pa.int64()), pa.array([s for _, s in found], pa.binary())],
+            ["vertex", "shingles"],
+        )
 
-    return _selected(vertices, make, "vertex").dropDuplicates(["vertex"])
+    hashed = documents.select("text", row_key().alias("row_key")).mapInArrow(
+        run, "vertex long, shingles binary"
+    )
+    return hashed.join(vertices.hint("merge"), "vertex", "left_semi").dropDuplicates(["vertex"])
 
 
 def members_of(
@@ -419,25 +415,24 @@ def members_of(
 ) -> DataFrame:
     """sig, vertex, n and sketch: all members of the given lists. Each of them is an end of a pair
     already, so its set is at hand."""
+    lists = sets.sparkSession.sparkContext.broadcast(bitmap(sigs, "sig"))
 
-    def make(sent: np.ndarray | None) -> DataFrame:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                rows = []
-                for v, data in zip(batch.column("vertex").to_pylist(), batch.column("shingles")):
-                    s = np.frombuffer(data.as_buffer(), np.uint64)
-                    sig = np.unique(signed(np.array([*signatures(s, boundary, rule)], dtype=np.uint64)))
-                    rows += [(x, v, len(s), *parities(s).tolist()) for x in sig[_among(sig, sent)].tolist()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[i] for r in rows], pa.int64()) for i in range(7)],
-                    ["sig", "vertex", "n", *SKETCH],
-                )
-
-        return sets.mapInArrow(
-            run, "sig long, vertex long, n long, " + ", ".join(f"{c} long" for c in SKETCH)
-        )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for v, data in zip(batch.column("vertex").to_pylist(), batch.column("shingles")):
+                s = np.frombuffer(data.as_buffer(), np.uint64)
+                sig = np.unique(np.array([*signatures(s, boundary, rule)], dtype=np.uint64))
+                sketch = parities(s, PARITY_BITS).tolist()
+                rows += [(x, v, len(s), *sketch) for x in signed(sig[passing(lists.value, sig)]).tolist()]
+            names = ["sig", "vertex", "n", *SKETCH]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[i] for r in rows], pa.int64()) for i in range(len(names))], names
+            )
 
-    return _selected(sigs, make, "sig")
+    return sets.mapInArrow(
+        run, "sig long, vertex long, n long, " + ", ".join(f"{c} long" for c in SKETCH)
+    ).join(sigs.hint("merge"), "sig", "left_semi")
 
 
 def possible(pairs: DataFrame, docs: DataFrame, rule: Rule = RULE) -> DataFrame:
@@ -494,10 +489,11 @@ def _with_root(rows: DataFrame, roots: DataFrame, column: str) -> DataFrame:
 
 
 def next_pairs(
-    members: DataFrame, done: DataFrame, roots: DataFrame, rule: Rule = RULE
+    members: DataFrame, done: DataFrame, roots: DataFrame, most: int, rule: Rule = RULE
 ) -> tuple[DataFrame, DataFrame]:
     """New hubs (sig, vertex) and their pairs with the members of other components. Hubs come
-    from outside the largest component of their list, as many as keep a round small."""
+    from outside the largest component of their list, `most` of a list and as many as keep a round
+    small. The first rounds take few: what links joins then, and is not paired over and over."""
     named = _with_root(members, roots, "vertex").withColumnRenamed("vertex_root", "root")
     parts = named.groupBy("sig", "root").agg(F.count("*").alias("size"))
     lists = parts.groupBy("sig").agg(
@@ -509,7 +505,7 @@ def next_pairs(
     hubs = materialize(
         open_rows.filter("root <> largest").join(done, ["sig", "vertex"], "left_anti")
         .withColumn("rank", rank)
-        .filter(F.col("rank") <= F.greatest(F.lit(1), F.lit(ROUND_PAIRS) / F.col("members")))
+        .filter(F.col("rank") <= F.greatest(F.lit(1), F.least(F.lit(most), F.lit(ROUND_PAIRS) / F.col("members"))))
         .select(
             F.col("sig").alias("hub_sig"), F.col("vertex").alias("hub"),
             F.col("root").alias("hub_root"), *(F.col(c).alias(f"b_{c}") for c in ("n", *SKETCH)),
@@ -526,6 +522,19 @@ def next_pairs(
     return hubs.select(F.col("hub_sig").alias("sig"), F.col("hub").alias("vertex")), pairs
 
 
+def joined_roots(roots: DataFrame, edges: DataFrame) -> DataFrame:
+    """Components after further edges: only the components that these connect are joined."""
+    ends = _with_root(_with_root(edges, roots, "a"), roots, "b")
+    moved = materialize(
+        components(ends.select(F.col("a_root").alias("a"), F.col("b_root").alias("b"))), "moved-roots"
+    )
+    alone = moved.join(roots, "vertex", "left_anti").select("vertex", F.col("vertex").alias("root"))
+    to = moved.select(F.col("vertex").alias("root"), F.col("root").alias("to"))
+    return roots.union(alone).join(to, "root", "left").select(
+        "vertex", F.coalesce("to", "root").alias("root")
+    )
+
+
 def grouped(documents: DataFrame, rule: Rule = RULE) -> DataFrame:
     """doc_id, row_key, n_shingles, vertex of every row and `root`, the same number for all rows
     of a component (null for empty sets, which stand alone)."""
@@ -537,7 +546,7 @@ def grouped(documents: DataFrame, rule: Rule = RULE) -> DataFrame:
     ends = materialize(
         pairs.select("vertex").union(pairs.select(F.col("hub").alias("vertex"))).distinct(), "ends"
     )
-    sets = materialize(sets_of(documents, ends, rule), "candidates")
+    sets = materialize(sets_of(documents, docs, ends, rule), "candidates")
     edges = materialize(
         checked(possible(pairs.select("vertex", "hub").distinct(), docs, rule), sets, rule), "links"
     )
@@ -545,16 +554,15 @@ def grouped(documents: DataFrame, rule: Rule = RULE) -> DataFrame:
     open_lists = materialize(unresolved(pairs, roots), "open-lists")
     if not open_lists.isEmpty():
         members = materialize(members_of(sets, open_lists, boundary, rule), "members")
-        done = members.select("sig", "vertex").limit(0)
+        done, most = members.select("sig", "vertex").limit(0), 1
         while True:
-            hubs, more = next_pairs(members, done, roots, rule)
+            hubs, more = next_pairs(members, done, roots, most, rule)
             if hubs.isEmpty():
                 break
-            done = done.union(hubs)
+            done, most = materialize(done.union(hubs), "hubs-done"), most * GROWTH
             found = materialize(checked(more, sets, rule), "links")
             if not found.isEmpty():
-                edges = edges.union(found)
-                roots = materialize(components(edges), "roots")
+                roots = materialize(joined_roots(roots, found), "roots")
     return docs.join(roots, "vertex", "left").select(
         "doc_id", "row_key", "n_shingles", "vertex", F.coalesce("root", "vertex").alias("root")
     )

@@ -142,11 +142,9 @@ def test_join_by_another_rule(spark):
 
 
 def test_large_lists_are_worked_off(spark, monkeypatch):
-    """Lists with several components: chunks of a few postings, one new hub at a time, and
-    selections by join instead of by array."""
+    """Lists with several components: chunks of a few postings, one new hub at a time."""
     monkeypatch.setattr(jaccard_join, "CHUNK", 50)
     monkeypatch.setattr(jaccard_join, "ROUND_PAIRS", 1)
-    monkeypatch.setattr(jaccard_join, "SENT_KEYS", 3)
     rows = edited_copies(9)[100:220]
     docs = documents(spark, [(d, t, None, None) for d, t in rows])
     found = sorted(map(tuple, jaccard_join.link_components(docs).collect()))
