@@ -8,17 +8,19 @@ is allowed to cost. The language of greatest proportion is the prediction, its p
 
 Defined results: `und` and 0.0 for a null text, one without letters, or when no language could be
 learned; ties go to the language that comes first in order; every row gets its own result, also
-repeated ones; columns other than doc_id, text and lang are ignored.
+repeated ones; columns other than doc_id, text and lang are ignored. Very long texts count whole, in memory
+in proportion to them; an empty table gives no rows, and texts in a language that was not learned go to
+the learned one that explains them best.
 """
 
 from __future__ import annotations
 
-import re
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +36,8 @@ ROUNDS, CLOSE, FAINT = 40, 1e-4, 1e-3
 UNKNOWN = "und"
 PREDICTED = "doc_id long, held_out boolean, lang_pred string, score double"
 
-LETTER = re.compile(r"[^\W\d_]").search
+#: Numerals such as ² or ½ are no letters.
+LETTER = regex.compile(r"\p{L}").search
 #: Bytes outside words count as spaces: ASCII that is not a letter.
 PLAIN = np.arange(256, dtype=np.uint32)
 PLAIN[[b for b in range(128) if not chr(b).isalpha()]] = 32
