@@ -2,6 +2,8 @@
 
 Each stage takes what its predecessor kept, with the columns of `documents`, and applies one
 operator of siltstone.llm. run() writes each result and reads it again for the next stage.
+An empty table gives an empty table in every stage; further columns stay as they are, whatever their
+names (the packing result has columns of its own).
 """
 
 from __future__ import annotations
@@ -13,31 +15,31 @@ from pyspark.sql import functions as F
 
 from siltstone.llm import config_packing, gear_dedup, jaccard_join, language_mixture, line_crf
 from siltstone.llm.queries import BYTE_BPE, CAPACITY, END_ID, tokenizer
+from siltstone.llm.text import free_name, small_batches
 from siltstone.session import materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 #: Share of its main language below which a document is a jumble; two halves still pass.
 LEAST_SHARE = 0.4
-#: What near duplicates share: the rule of op2, to which test_pipeline_stages holds the stage.
-NEAR = jaccard_join.RULE
+#: What near duplicates share: four fifths of their runs of five words.
+NEAR = jaccard_join.Rule(5, 80)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the line classifier takes for good."""
+    """Documents that the line classifier takes for good. Null, empty and blank texts have no line and
+    score 0: they go. Very long texts are scored whole; repeated rows are judged alike."""
+    small_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    field = line_crf.learned(docs, labels)
-    scored = line_crf.with_scores(
-        docs.withColumn("_row_text", F.col("text")), field,
-        [*(c for c in docs.columns if c != "text"), "_row_text"],
-    )
-    return scored.filter(F.col("_score") >= line_crf.CUT).select(
-        *(F.col("_row_text").alias("text") if c == "text" else F.col(c) for c in docs.columns)
-    )
+    field, score = line_crf.learned(docs, labels), free_name(docs, "_score")
+    scored = line_crf.with_scores(docs, field, docs.columns, score)
+    return scored.filter(F.col(score) >= line_crf.CUT).select(*docs.columns)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a main language."""
+    """Documents with a main language. Texts that are null or have no letter go, and those in which no
+    language has LEAST_SHARE; a text in a language that was not learned is taken for the nearest."""
+    small_batches(spark)
     training = docs.filter(~language_mixture.held_out(F.col("doc_id")))
     languages = language_mixture.Languages.learned(training)
     return language_mixture.with_main_language(docs, languages, LEAST_SHARE)
@@ -47,25 +49,33 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One document of each group of linked documents: the one of least doc_id, which names the
     group, or any if no row of the group has a doc_id. Groups are of texts, so different
     texts stay whatever their doc_ids; null and blank texts belong to no group and all stay."""
+    small_batches(spark)
+    key, number = free_name(docs, "_row_key"), free_name(docs, "_n")
     first = (
         jaccard_join.grouped(docs, NEAR).filter("root IS NOT NULL").groupBy("root")
         .agg(F.min(F.struct(F.isnull("doc_id").alias("unnamed"), "doc_id", "row_key")).alias("first"))
-        .select(F.col("first.row_key").alias("_row_key")).distinct().hint("merge")
+        .select(F.col("first.row_key").alias(key)).distinct().hint("merge")
     )
     blank = F.col("text").isNull() | ~F.col("text").rlike("[^ \\t\\n\\r\\x0B\\f]")
-    kept = docs.filter(~blank).withColumn("_row_key", jaccard_join.row_key()).join(
-        first, "_row_key", "left_semi"
-    )
+    kept = docs.filter(~blank).withColumn(key, jaccard_join.row_key()).join(first, key, "left_semi")
     # Rows of the same doc_id and text are copies; one of them stays.
-    one = kept.withColumn("_n", F.row_number().over(
-        Window.partitionBy("_row_key").orderBy(F.xxhash64(*docs.columns))
-    )).filter("_n = 1")
+    one = kept.withColumn(number, F.row_number().over(
+        Window.partitionBy(key).orderBy(F.xxhash64(*docs.columns))
+    )).filter(F.col(number) == 1)
     return one.select(*docs.columns).union(docs.filter(blank))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages that stand in an earlier document."""
-    cut = gear_dedup.remove_repeats(docs).select(*docs.columns)
+    """Texts without the passages that stand in an earlier document. All rows stay, null and empty
+    texts as they are; n_chars, if there is one, counts what is left."""
+    small_batches(spark)
+    aside = {
+        c: free_name(docs, f"{c}_kept") for c in docs.columns
+        if c.lower() in ("removed_spans", "removed_bytes")
+    }
+    cut = gear_dedup.remove_repeats(docs.withColumnsRenamed(aside)).select(
+        *(F.col(aside.get(c, c)).alias(c) for c in docs.columns)
+    )
     if "n_chars" not in docs.columns:
         return cut
     kind = docs.schema["n_chars"].dataType
@@ -73,7 +83,9 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents and their places in sequences."""
+    """Pieces of the documents and their places in sequences. A null or empty text is a piece of its
+    end id alone; repeated rows are packed each."""
+    small_batches(spark)
     return config_packing.pack_documents(docs, tokenizer(BYTE_BPE), CAPACITY, END_ID)
 
 

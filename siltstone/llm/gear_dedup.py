@@ -28,6 +28,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siltstone.llm.text import free_name
+
 #: Bytes that the rolling hash looks back on, words to a cut on average, most words of a chunk,
 #: and words from which a repeated run is cut out.
 WINDOW, ONE_IN, MOST_WORDS, LEAST_WORDS = 16, 4, 32, 20
@@ -202,10 +204,11 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
     """All columns of `documents`, `text` without repeated passages, and the columns
     `removed_spans` (byte ranges of the old text) and `removed_bytes`."""
     columns = documents.columns
+    doc, digest, at = (free_name(documents, n) for n in ("_doc", "_hash", "_places"))
     lists = (
         repeated_places(documents)
-        .groupBy("doc_id", "text_hash").agg(F.collect_list("place").alias("_places"))
-        .withColumnRenamed("doc_id", "_doc").withColumnRenamed("text_hash", "_hash")
+        .groupBy("doc_id", "text_hash").agg(F.collect_list("place").alias(at))
+        .withColumnRenamed("doc_id", doc).withColumnRenamed("text_hash", digest)
     )
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,14 +221,14 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays(
                 [*arrays, pa.array([text_hash(d or b"") for d in data], pa.int64())],
-                [*columns, "_hash"],
+                [*columns, digest],
             )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, spans = [], []
             for packed, places in zip(
-                batch.column("text").to_pylist(), batch.column("_places").to_pylist()
+                batch.column("text").to_pylist(), batch.column(at).to_pylist()
             ):
                 data = None if packed is None else zlib.decompress(packed)
                 found = repeated_spans(data, places) if data else []
@@ -245,9 +248,9 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
     packed = documents.mapInArrow(
         hashed,
         ", ".join(f"`{c}` {'binary' if c == 'text' else k}" for c, k in fields.items())
-        + ", `_hash` long",
-    ).withColumn("_doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(int(NO_ID))))
-    joined = packed.join(lists.hint("merge"), ["_doc", "_hash"], "left").select(*columns, "_places")
+        + f", `{digest}` long",
+    ).withColumn(doc, F.coalesce(F.col("doc_id").cast("long"), F.lit(int(NO_ID))))
+    joined = packed.join(lists.hint("merge"), [doc, digest], "left").select(*columns, at)
     return joined.mapInArrow(
         cut,
         ", ".join(f"`{c}` {k}" for c, k in fields.items())

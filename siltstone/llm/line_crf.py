@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltstone.llm.text import held_out
 
@@ -238,20 +239,22 @@ def learned(documents: DataFrame, labels: DataFrame) -> LineField:
     return fit(xs, lengths, np.array([r.quality for r in rows]))
 
 
-def with_scores(documents: DataFrame, field: LineField, keep: list[str]) -> DataFrame:
-    """The columns `keep` of every row and its score."""
+def with_scores(
+    documents: DataFrame, field: LineField, keep: list[str], score: str = "_score"
+) -> DataFrame:
+    """The columns `keep` of every row and its score, under a name of its own. Each text goes to Python
+    once, whether it is kept or not."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = [field.score(t) for t in batch.column("_text").to_pylist()]
+            scores = [field.score(t.as_py()) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in keep), pa.array(scores, pa.float64())],
-                [*keep, "_score"],
+                [*(batch.column(c) for c in keep), pa.array(scores, pa.float64())], [*keep, score]
             )
 
-    rows = documents.select(*keep, F.col("text").alias("_text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name in keep)
-    return rows.mapInArrow(run, f"{fields}, _score double")
+    rows = documents.select(*dict.fromkeys([*keep, "text"]))
+    kind = T.StructType([*(rows.schema[c] for c in keep), T.StructField(score, T.DoubleType())])
+    return rows.mapInArrow(run, kind)
 
 
 def score_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: White space between words; a word is a run of any other characters.
@@ -58,3 +58,20 @@ def range_number(key: Column, bounds: list[int]) -> Column:
             F.coalesce(F.get(array, at + power - 1) < key, F.lit(False)), at + power
         ).otherwise(at),
     )
+
+
+#: Rows that Spark hands to Python at a time; texts are long.
+BATCH_ROWS = 1000
+
+
+def free_name(table: DataFrame, base: str) -> str:
+    """A column name that the table does not have."""
+    taken = {c.lower() for c in table.columns}
+    while base.lower() in taken:
+        base += "_"
+    return base
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let a task hold the texts of BATCH_ROWS rows in Python and its Arrow buffers, not of 10,000."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))

@@ -205,7 +205,7 @@ def test_pipeline_stages(spark):
             assert np.mean([d in after for d in before if labels.get(d) == 0]) < 0.2
         if name == "near duplicates":
             from tests.llm.test_text_operators import brute_components
-            names = {c for _, _, c in brute_components(list(before.items()))}
+            names = {c for _, _, c in brute_components(list(before.items()), 5, 80)}
             assert after.keys() == names
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, SAMPLE)
     assert packed.select("doc_id").distinct().count() == sizes[-1]
@@ -223,6 +223,17 @@ def test_pipeline_stages_take_odd_rows(spark):
                 assert n >= table.count()
 
 
+def test_pipeline_stages_leave_columns_of_any_name(spark):
+    """Columns named like those that the stages use for themselves."""
+    names = ["_text", "_score", "_row_key", "_n", "_doc", "_hash", "_places", "removed_spans", "removed_bytes", "row_key", "root"]
+    wide = sample_documents(spark).limit(40).selectExpr("*", *(f"doc_id * {i} AS {n}" for i, n in enumerate(names)))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, wide, SAMPLE)
+        assert found.columns == wide.columns, name
+        rows = found.collect()
+        assert rows and all(r[n] == r.doc_id * i for r in rows for i, n in enumerate(names)), name
+
+
 def test_near_duplicates_keep_a_document_of_every_group(spark):
     """Groups without doc_ids and unlinked texts that share one."""
     def text(name, end):

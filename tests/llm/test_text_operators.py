@@ -25,7 +25,7 @@ def shingles(value, size, fold=True):
     return frozenset(tuple(words[i:i + size]) for i in range(max(1, len(words) - size + 1)))
 
 
-def brute_components(rows, n=3):
+def brute_components(rows, n=3, percent=90):
     """Components by checking all pairs of distinct sets."""
     sets = [shingles(t, n) for _, t in rows]
     parent = list(range(len(rows)))
@@ -37,7 +37,7 @@ def brute_components(rows, n=3):
 
     for i, a in enumerate(sets):
         for j in range(i):
-            if a and 100 * len(a & sets[j]) >= 90 * len(a | sets[j]):
+            if a and 100 * len(a & sets[j]) >= percent * len(a | sets[j]):
                 parent[find(i)] = find(j)
     least = {}
     for i, (d, _) in enumerate(rows):
