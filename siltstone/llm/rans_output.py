@@ -38,12 +38,13 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltstone.llm.text import small_batches
 from siltstone.llm.tokens import encoder
 from siltstone.session import materialize
 
 MAGIC = b"SRA1"
 #: Lanes of a block, tokens after which a block ends, steps between checkpoints.
-LANES, BLOCK_TOKENS, CHECKPOINT_STEPS = 512, 1 << 17, 128
+LANES, BLOCK_TOKENS, CHECKPOINT_STEPS = 1024, 1 << 19, 96
 #: Lowest state of a lane.
 LOW = 1 << 31
 #: Documents whose tokens are counted at a time.
@@ -172,6 +173,7 @@ def decode_block(
 def write_tokens(documents: DataFrame, folder: str, path: str, end_id: int) -> None:
     """Encodes whole texts into a dataset folder. Each text is tokenized once; its ids are kept
     compressed in the shared folder until the counts of all tokens are known."""
+    small_batches(documents.sparkSession)
     bounds = shard_bounds(documents)
     kept = materialize(
         documents.select("doc_id", "text").mapInArrow(
