@@ -73,7 +73,7 @@ BAND = 1.5
 CHUNK = 500_000
 #: Pairs that one list may give in one round of further work, and by how much the new hubs of a list
 #: may grow from round to round.
-ROUND_PAIRS, GROWTH = 200_000, 4
+ROUND_PAIRS, GROWTH = 2_000_000, 16
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 FOLD = np.uint64(0xBF58476D1CE4E5B9)
