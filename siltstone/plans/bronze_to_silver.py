@@ -16,7 +16,7 @@ from siltstone.operators import flatten
 from siltstone.operators.dedupe import keep_newest
 from siltstone.session import materialize
 from siltstone.sinks.tables import Partitions, run_summary, write_if_any
-from siltstone.sources.files import load_payloads, read_table, split_payloads
+from siltstone.sources.files import load_parsed, load_payloads, read_table, split_payloads
 from siltstone.storage.versions import live_path
 
 
@@ -64,15 +64,18 @@ def run_task(
     whole_files: bool = False,
     days: tuple[str, str] | None = None,
     quarantine: str | None = None,
+    parsed: bool = False,
 ) -> tuple[str, int, int, str, str]:
     """One row of the run summary. `replace="static"` rewrites the table as a whole; `days`
     (first, last) reads those event dates alone and replaces what is stored of them, see
-    refresh(); unreadable texts go to `quarantine`."""
+    refresh(); unreadable texts go to `quarantine`; `parsed` reads Parquet bronze, which has none."""
     check_days(task, replace, days)
     target = f"{silver_root}/{task.dataset}"
     where = {"whole_files": whole_files, "days": days}
     try:
-        if quarantine is None:
+        if parsed:
+            events = load_parsed(spark, bronze_root, task.source, days=days)
+        elif quarantine is None:
             events = load_payloads(spark, bronze_root, task.source, **where)
         else:
             events, bad = split_payloads(spark, bronze_root, task.source, **where)
@@ -93,7 +96,7 @@ def run_task(
     else:
         written = refresh(spark, rows, task, target, days, dedupe)
     found = int(seen.get["events"])
-    if quarantine is not None:
+    if quarantine is not None and not parsed:
         found += set_aside(bad, f"{quarantine}/{task.dataset}")
     status = "success" if written else "no_rows" if found else "empty"
     return task.dataset, found, written, target, status

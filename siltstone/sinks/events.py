@@ -7,8 +7,9 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siltstone.functions import variant as V
 from siltstone.functions.pinned import filter_here
-from siltstone.operators.envelope import to_bronze
+from siltstone.operators.envelope import OFFER_LISTS, to_bronze
 
 
 def bronze_lines(routed: DataFrame, batch: str) -> DataFrame:
@@ -52,6 +53,38 @@ def write_bronze(
         _replace(quarantined(routed).withColumn("batch", F.lit(batch)), ("batch",)).json(quarantine)
 
 
+def write_parsed_bronze(
+    decoded: DataFrame,
+    root: str,
+    run_date: dt.date | str | Column,
+    *,
+    batch: str,
+    topic: str | None = None,
+    quarantine: str | None = None,
+) -> None:
+    """Bronze as Parquet: the events as VARIANT, which Spark shreds into columns, so a flattener reads the
+    paths it names and parses nothing. Folders, replays and quarantine are those of write_bronze().
+
+    VARIANT sorts the keys of objects. The text of an event is kept beside it where their order
+    matters, which is an offer event without a list under a known name.
+    """
+    routed = to_bronze(decoded, run_date, topic=topic)
+    data = V.field(V.field(F.col("event"), "payload"), "data")
+    listed = F.lit(False)
+    for name in OFFER_LISTS:
+        listed = listed | V.has_items(data, name)
+    rows = filter_here(routed, F.col("source").isNotNull()).select(
+        F.when((F.col("source") == "shop") & ~listed, F.col("value").cast("string")).alias("value"),
+        "event",
+        "source",
+        F.col("event_date").cast("string").alias("event_date"),
+        F.lit(batch).alias("batch"),
+    ).hint("rebalance", "source", "event_date")
+    _replace(rows, ("source", "event_date", "batch")).parquet(root)
+    if quarantine:
+        _replace(quarantined(routed).withColumn("batch", F.lit(batch)), ("batch",)).json(quarantine)
+
+
 def _replace(rows: DataFrame, partition_by: tuple[str, ...]):
     return (
         rows.write.mode("overwrite")

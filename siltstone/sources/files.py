@@ -13,6 +13,7 @@ from siltstone.storage.versions import live_path
 
 # Partition columns are declared: inference would turn the date text into DATE.
 BRONZE_SCHEMA = "value string, source string, event_date string"
+PARSED_SCHEMA = f"{BRONZE_SCHEMA}, event variant"
 DECODED_SCHEMA = f"{BRONZE_SCHEMA}, event variant, readable boolean"
 
 
@@ -72,6 +73,16 @@ def load_payloads(
     return event_columns(decode(raw))
 
 
+def load_parsed(
+    spark: SparkSession, root: str, source: str, *, days: tuple[str, str] | None = None
+) -> DataFrame:
+    """Events of one source from Parquet bronze (`write_parsed_bronze`), as load_payloads() gives them."""
+    stored = spark.read.schema(PARSED_SCHEMA).parquet(root).where(F.col("source") == source)
+    if days is not None:
+        stored = stored.where(F.col("event_date").between(*days))
+    return event_columns(stored.select("value", "event", "event_date"))
+
+
 def split_payloads(
     spark: SparkSession,
     bronze_root: str,

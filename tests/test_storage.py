@@ -169,3 +169,36 @@ def test_the_gold_job_counts_without_jobs_of_its_own(spark, folder, monkeypatch)
     counts = {r["dataset"]: r["input_count"] for r in dicts(summary)}
     assert counts == {"latest_activity": 6, "top_entities": 2, "hourly_rollup": 6, "spikes": 6,
                       "category_share": 1, "source_health_summary": 1}
+
+
+def test_parsed_bronze_gives_the_same_tables_from_fewer_bytes(spark, folder):
+    """Texts against VARIANT columns: the same silver rows, and the scan names paths."""
+    from siltstone.sinks.events import write_bronze, write_parsed_bronze
+    from siltstone.sources.files import load_parsed
+
+    entries = [{"offerId": "o1", "devName": "c"}]
+    documents = [event(f"e{i}", 17, [(17, float(i))]) for i in range(50)]
+    documents = [json.dumps({**json.loads(d), "event_type": "island_metrics", "note": "x" * 500}) for d in documents]
+    documents += [
+        json.dumps({"event_id": "s1", "event_type": "shop", "event_time": "2026-05-17", "payload": {"data": {"entries": entries}}}),
+        # No list under a known name: the first one in the text counts.
+        '{"event_id": "s2", "event_type": "shop", "event_time": "2026-05-17", '
+        '"payload": {"data": {"zz": [{"offerId": "z"}], "aa": [{"offerId": "a"}]}}}',
+        '{"event_id": "s3", "event_type": "shop"}', "no json",
+    ]
+    decoded = decode(spark.createDataFrame([(d,) for d in documents], "value string"))
+    for write, name in ((write_bronze, "texts"), (write_parsed_bronze, "parsed")):
+        for _ in range(2):  # the second write replaces the first
+            write(decoded, f"{folder}/{name}", "2026-05-20", batch="one", quarantine=f"{folder}/bad-{name}")
+    assert spark.read.json(f"{folder}/bad-parsed").count() == 1
+    tables_of = {}
+    for name, parsed in (("texts", False), ("parsed", True)):
+        bronze_to_silver.run(spark, f"{folder}/{name}", f"{folder}/{name}-s", RUN_TS, sources=["shop", "island_metrics"], parsed=parsed)
+        tables_of[name] = [
+            sorted(map(repr, dicts(read_table(spark, f"{folder}/{name}-s/{t}").drop("ingested_at"))))
+            for t in ("offers", "metric_points")
+        ]
+    assert tables_of["texts"] == tables_of["parsed"] and "offer_id='z'" in repr(tables_of["parsed"]).replace("'offer_id': ", "offer_id=")
+    rows = load_parsed(spark, f"{folder}/parsed", "island_metrics").select("event_id")
+    scan = plan_of(rows).split("ReadSchema:")[1]
+    assert "event:struct<0:struct<event_id:string" in scan and "value:string" not in scan
