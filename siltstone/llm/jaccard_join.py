@@ -220,13 +220,17 @@ def parities(s: np.ndarray, bits: int = 256) -> np.ndarray:
     return np.packbits(odd.astype(bool)).view("<i8")
 
 
+def apart(a: str, b: str) -> Column:
+    """Bits in which the parity sketches of two sets differ."""
+    return sum(F.bit_count(F.col(f"{a}{c}").bitwiseXOR(F.col(f"{b}{c}"))) for c in SKETCH)
+
+
 def may_link(a: str, b: str, rule: Rule = RULE) -> Column:
     """Whether two sets, given by the prefixes of their columns, can link by size and sketch:
     linked sets differ in (1 - t) / (1 + t) of their sizes' sum at most, t being the similarity."""
     n, m = F.col(f"{a}n"), F.col(f"{b}n")
-    apart = sum(F.bit_count(F.col(f"{a}{c}").bitwiseXOR(F.col(f"{b}{c}"))) for c in SKETCH)
     sizes = 100 * F.least(n, m) >= rule.percent * F.greatest(n, m)
-    return sizes & ((100 + rule.percent) * apart <= (100 - rule.percent) * (n + m))
+    return sizes & ((100 + rule.percent) * apart(a, b) <= (100 - rule.percent) * (n + m))
 
 
 def summaries(documents: DataFrame, rule: Rule = RULE) -> DataFrame:
@@ -436,14 +440,14 @@ def members_of(
 
 
 def possible(pairs: DataFrame, docs: DataFrame, rule: Rule = RULE) -> DataFrame:
-    """The pairs (vertex, hub) that size and sketch do not rule out."""
+    """The pairs (vertex, hub) that size and sketch do not rule out, and how far their sketches are apart."""
     known = docs.filter("vertex IS NOT NULL").select(
         "vertex", F.col("n_shingles").alias("n"), *SKETCH
     ).dropDuplicates(["vertex"])
     one = known.select("vertex", *(F.col(c).alias(f"a_{c}") for c in ("n", *SKETCH)))
     two = known.select(F.col("vertex").alias("hub"), *(F.col(c).alias(f"b_{c}") for c in ("n", *SKETCH)))
     both = pairs.join(one, "vertex").join(two, "hub")
-    return both.filter(may_link("a_", "b_", rule)).select("vertex", "hub")
+    return both.filter(may_link("a_", "b_", rule)).select("vertex", "hub", apart("a_", "b_").alias("apart"))
 
 
 def checked(pairs: DataFrame, sets: DataFrame, rule: Rule = RULE) -> DataFrame:
@@ -547,10 +551,17 @@ def grouped(documents: DataFrame, rule: Rule = RULE) -> DataFrame:
         pairs.select("vertex").union(pairs.select(F.col("hub").alias("vertex"))).distinct(), "ends"
     )
     sets = materialize(sets_of(documents, docs, ends, rule), "candidates")
-    edges = materialize(
-        checked(possible(pairs.select("vertex", "hub").distinct(), docs, rule), sets, rule), "links"
+    # A set is checked against its nearest hub first; that joins most, and only pairs that still lie in
+    # two components move their sets once more.
+    may = materialize(possible(pairs.select("vertex", "hub").distinct(), docs, rule), "possible")
+    nearest = may.groupBy("vertex").agg(F.min(F.struct("apart", "hub")).alias("best")).select(
+        "vertex", F.col("best.hub").alias("hub")
     )
-    roots = materialize(components(edges), "roots")
+    roots = materialize(components(materialize(checked(nearest, sets, rule), "links")), "roots")
+    rest = _with_root(_with_root(may, roots, "vertex"), roots, "hub").filter("vertex_root <> hub_root")
+    found = materialize(checked(rest.select("vertex", "hub"), sets, rule), "links")
+    if not found.isEmpty():
+        roots = materialize(joined_roots(roots, found), "roots")
     open_lists = materialize(unresolved(pairs, roots), "open-lists")
     if not open_lists.isEmpty():
         members = materialize(members_of(sets, open_lists, boundary, rule), "members")
