@@ -129,7 +129,7 @@ def encode_block(table: Table, ids: np.ndarray, docs: list[tuple[int | None, int
 
 
 def decode_block(
-    table: Table, data: bytes, checkpoint: int | None = None
+    table: Table, data: bytes | memoryview, checkpoint: int | None = None
 ) -> tuple[np.ndarray, list[tuple[int | None, int]]]:
     """The ids and documents of a block, or only the ids from one checkpoint to the next."""
     if zlib.crc32(data[:-4]) != struct.unpack("<I", data[-4:])[0]:
@@ -326,8 +326,8 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             shard, start, data = (batch.column(c) for c in ("shard", "start", "data"))
-            for s, at, block in zip(shard.to_pylist(), start.to_pylist(), data.to_pylist()):
-                ids, docs = decode_block(table, block)
+            for s, at, block in zip(shard.to_pylist(), start.to_pylist(), data):
+                ids, docs = decode_block(table, memoryview(block.as_buffer()))
                 sizes = np.array([k for _, k in docs], dtype=np.int64)
                 ends = np.cumsum(sizes)
                 view = memoryview(ids.tobytes())

@@ -60,8 +60,8 @@ def range_number(key: Column, bounds: list[int]) -> Column:
     )
 
 
-#: Rows that Spark hands to Python at a time; texts are long.
-BATCH_ROWS = 1000
+#: Rows and bytes that Spark hands to Python at a time; texts are long, and some very long.
+BATCH_ROWS, BATCH_BYTES = 1000, "4m"
 
 
 def free_name(table: DataFrame, base: str) -> str:
@@ -73,5 +73,7 @@ def free_name(table: DataFrame, base: str) -> str:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Let a task hold the texts of BATCH_ROWS rows in Python and its Arrow buffers, not of 10,000."""
+    """Let a task hold BATCH_ROWS rows and about BATCH_BYTES in Python and its Arrow buffers, not 10,000
+    rows and 64 MB. A single longer row is still one batch."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
