@@ -20,9 +20,12 @@ under the size bands of all smaller partners.
 The boundary is the one of least cost over the histogram of sizes: rows written for subsets
 against rows for lists, each with the price of checking what they bring together.
 
-A parity sketch rules pairs out before sets are fetched: 512 bits, each the parity of the
-shingles that hash to it. Bits that differ are at most as many as shingles that differ, so a
-pair with more of them than linked sets can differ in does not link.
+Parity sketches rule pairs out before sets are fetched: bits, each the parity of the shingles
+that hash to it. Bits that differ are at most as many as shingles that differ, so a pair with
+more of them than linked sets can differ in does not link. Each set has one of 512 bits, and a
+fine one of at least as many bits as shingles, a 64th of the set; of two fine sketches the longer
+is folded to the length of the shorter. What is left are nearly all links, and the sets of these
+alone are hashed once more and moved.
 
 No list gives all its pairs. Within a task, and then over all tasks, a list gives one pair per
 member: with its first member, the hub. Pairs are checked exactly, links give components. A
@@ -40,7 +43,7 @@ ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import combinations
 from math import comb
@@ -220,6 +223,22 @@ def parities(s: np.ndarray, bits: int = 256) -> np.ndarray:
     return np.packbits(odd.astype(bool)).view("<i8")
 
 
+def fine_sketch(s: np.ndarray) -> bytes:
+    """Parity sketch of a power of two of bits, no fewer than shingles."""
+    bits = PARITY_BITS
+    while bits < len(s):
+        bits *= 2
+    return parities(s, bits).tobytes()
+
+
+def fine_apart(a: np.ndarray, b: np.ndarray) -> int:
+    """Bits in which two fine sketches (64-bit numbers) differ at the length of the shorter."""
+    if len(a) > len(b):
+        a, b = b, a
+    folded = np.bitwise_xor.reduce(b.reshape(-1, len(a)), axis=0)
+    return int(np.bitwise_count(folded ^ a).sum())
+
+
 def apart(a: str, b: str) -> Column:
     """Bits in which the parity sketches of two sets differ."""
     return sum(F.bit_count(F.col(f"{a}{c}").bitwiseXOR(F.col(f"{b}{c}"))) for c in SKETCH)
@@ -234,7 +253,7 @@ def may_link(a: str, b: str, rule: Rule = RULE) -> Column:
 
 
 def summaries(documents: DataFrame, rule: Rule = RULE) -> DataFrame:
-    """doc_id, row_key (a hash of doc_id and text), n_shingles, vertex and sketch of every row; an
+    """doc_id, row_key (a hash of doc_id and text), n_shingles, vertex and sketches of every row; an
     empty set is no vertex."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,14 +266,15 @@ def summaries(documents: DataFrame, rule: Rule = RULE) -> DataFrame:
                     batch.column("row_key"),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([vertex_of(s) if len(s) else None for s in sets], pa.int64()),
+                    pa.array([fine_sketch(s) for s in sets], pa.binary()),
                     *(pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(len(SKETCH))),
                 ],
-                ["doc_id", "row_key", "n_shingles", "vertex", *SKETCH],
+                ["doc_id", "row_key", "n_shingles", "vertex", "fine", *SKETCH],
             )
 
     return documents.select("doc_id", "text", row_key().alias("row_key")).mapInArrow(
         run,
-        "doc_id long, row_key long, n_shingles long, vertex long, "
+        "doc_id long, row_key long, n_shingles long, vertex long, fine binary, "
         + ", ".join(f"{c} long" for c in SKETCH),
     )
 
@@ -323,10 +343,10 @@ def hub_pairs(documents: DataFrame, boundary: int, rule: Rule = RULE) -> DataFra
             hub = vertex[np.maximum.accumulate(np.where(first, np.arange(len(sig)), 0))]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.where(first, sig, vertex)), pa.array(~first), pa.array(sig),
-                    pa.array(n), pa.array(vertex), pa.array(hub),
+                    pa.array(~first), pa.array(np.where(first, 0, hub)), pa.array(sig),
+                    pa.array(vertex), pa.array(n),
                 ],
-                ["deal", "paired", "sig", "n", "vertex", "hub"],
+                ["paired", "hub", "sig", "vertex", "n"],
             )
 
     def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -353,10 +373,11 @@ def hub_pairs(documents: DataFrame, boundary: int, rule: Rule = RULE) -> DataFra
                 ["vertex", "hub", "sig", "across"],
             )
 
+    # What most rows have in common stands together, which is what the shuffle compresses.
     return (
         documents.select("text")
-        .mapInArrow(local, "deal long, paired boolean, sig long, n int, vertex long, hub long")
-        .repartition("deal")
+        .mapInArrow(local, "paired boolean, hub long, sig long, vertex long, n int")
+        .repartition(F.when(F.col("paired"), F.col("vertex")).otherwise(F.col("sig")))
         .sortWithinPartitions("paired", "sig", "n", "vertex")
         .mapInArrow(across, PAIRS)
     )
@@ -377,26 +398,39 @@ def to_smallest(pairs: DataFrame) -> DataFrame:
     return rest.union(moved.filter("vertex <> hub"))
 
 
-def sets_of(
-    documents: DataFrame, docs: DataFrame, vertices: DataFrame, rule: Rule = RULE
-) -> DataFrame:
-    """vertex, shingles (64-bit numbers) of the given vertices. One row of each is hashed once more: a
-    filter of fixed size over the row keys lets it pass, and few others, which the join drops."""
+def chosen_texts(
+    documents: DataFrame, docs: DataFrame, vertices: DataFrame, rule: Rule
+) -> tuple[DataFrame, Callable[[pa.RecordBatch], Iterator[np.ndarray]]]:
+    """Rows to hash once more for the given vertices, and what gives their sets in a task. One row of
+    each vertex is chosen: a filter of fixed size over the row keys lets it pass, and few others."""
     chosen = (
         docs.select("vertex", "row_key").join(vertices.hint("merge"), "vertex", "left_semi")
         .groupBy("vertex").agg(F.min("row_key").alias("row_key"))
     )
     rows = documents.sparkSession.sparkContext.broadcast(bitmap(chosen, "row_key"))
 
+    def sets(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        key, text = batch.column("row_key").to_numpy().view(np.uint64), batch.column("text")
+        for i in np.flatnonzero(passing(rows.value, key)).tolist():
+            s = shingle_set(text[i].as_py(), rule.words)
+            if len(s):
+                yield s
+
+    return documents.select("text", row_key().alias("row_key")), sets
+
+
+def sets_of(
+    documents: DataFrame, docs: DataFrame, vertices: DataFrame, rule: Rule = RULE
+) -> DataFrame:
+    """vertex, shingles (64-bit numbers) of the given vertices."""
+    texts, sets = chosen_texts(documents, docs, vertices, rule)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            key = batch.column("row_key").to_numpy().view(np.uint64)
             found, held = [], 0
-            for i in np.flatnonzero(passing(rows.value, key)).tolist():
-                s = shingle_set(batch.column("text")[i].as_py(), rule.words)
-                if len(s):
-                    found.append((vertex_of(s), s.tobytes()))
-                    held += len(s)
+            for s in sets(batch):
+                found.append((vertex_of(s), s.tobytes()))
+                held += len(s)
                 if held > CHUNK:
                     yield made(found)
                     found, held = [], 0
@@ -408,35 +442,37 @@ def sets_of(
             ["vertex", "shingles"],
         )
 
-    hashed = documents.select("text", row_key().alias("row_key")).mapInArrow(
-        run, "vertex long, shingles binary"
-    )
+    hashed = texts.mapInArrow(run, "vertex long, shingles binary")
     return hashed.join(vertices.hint("merge"), "vertex", "left_semi").dropDuplicates(["vertex"])
 
 
 def members_of(
-    sets: DataFrame, sigs: DataFrame, boundary: int, rule: Rule = RULE
+    documents: DataFrame, docs: DataFrame, pairs: DataFrame, sigs: DataFrame, boundary: int, rule: Rule = RULE
 ) -> DataFrame:
-    """sig, vertex, n and sketch: all members of the given lists. Each of them is an end of a pair
-    already, so its set is at hand."""
-    lists = sets.sparkSession.sparkContext.broadcast(bitmap(sigs, "sig"))
+    """sig, vertex, n and sketch: all members of the given lists, each of which is an end of a pair."""
+    texts, sets = chosen_texts(documents, docs, ends_of(pairs), rule)
+    lists = documents.sparkSession.sparkContext.broadcast(bitmap(sigs, "sig"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["sig", "vertex", "n", *SKETCH]
         for batch in batches:
             rows = []
-            for v, data in zip(batch.column("vertex").to_pylist(), batch.column("shingles")):
-                s = np.frombuffer(data.as_buffer(), np.uint64)
+            for s in sets(batch):
                 sig = np.unique(np.array([*signatures(s, boundary, rule)], dtype=np.uint64))
-                sketch = parities(s, PARITY_BITS).tolist()
+                v, sketch = vertex_of(s), parities(s, PARITY_BITS).tolist()
                 rows += [(x, v, len(s), *sketch) for x in signed(sig[passing(lists.value, sig)]).tolist()]
-            names = ["sig", "vertex", "n", *SKETCH]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[i] for r in rows], pa.int64()) for i in range(len(names))], names
-            )
+                if len(rows) > CHUNK // 10:
+                    yield made(rows, names)
+                    rows = []
+            yield made(rows, names)
 
-    return sets.mapInArrow(
-        run, "sig long, vertex long, n long, " + ", ".join(f"{c} long" for c in SKETCH)
-    ).join(sigs.hint("merge"), "sig", "left_semi")
+    def made(rows: list[tuple[int, ...]], names: list[str]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([r[i] for r in rows], pa.int64()) for i in range(len(names))], names
+        )
+
+    found = texts.mapInArrow(run, "sig long, vertex long, n long, " + ", ".join(f"{c} long" for c in SKETCH))
+    return found.join(sigs.hint("merge"), "sig", "left_semi").dropDuplicates(["sig", "vertex"])
 
 
 def possible(pairs: DataFrame, docs: DataFrame, rule: Rule = RULE) -> DataFrame:
@@ -450,8 +486,48 @@ def possible(pairs: DataFrame, docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     return both.filter(may_link("a_", "b_", rule)).select("vertex", "hub", apart("a_", "b_").alias("apart"))
 
 
-def checked(pairs: DataFrame, sets: DataFrame, rule: Rule = RULE) -> DataFrame:
-    """Edges a, b: the pairs (vertex, hub) that link, by the sizes of their intersections."""
+def ends_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select("vertex").union(pairs.select(F.col("hub").alias("vertex"))).distinct()
+
+
+def near(pairs: DataFrame, docs: DataFrame, rule: Rule = RULE) -> DataFrame:
+    """The pairs (vertex, hub) that fine sketches do not rule out."""
+    ends = pairs.sparkSession.sparkContext.broadcast(bitmap(ends_of(pairs), "vertex"))
+
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(passing(ends.value, batch.column("vertex").to_numpy().view(np.uint64))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m = (batch.column(c).to_numpy() for c in ("x_n", "y_n"))
+            differ = np.array([
+                fine_apart(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64))
+                for x, y in zip(batch.column("x"), batch.column("y"))
+            ], dtype=np.int64)
+            good = pa.array((100 + rule.percent) * differ <= (100 - rule.percent) * (n + m))
+            yield batch.select(["vertex", "hub"]).filter(good)
+
+    known = (
+        docs.filter("vertex IS NOT NULL").select("vertex", "n_shingles", "fine")
+        .mapInArrow(held, "vertex long, n_shingles long, fine binary").dropDuplicates(["vertex"])
+    )
+    one = known.select("vertex", F.col("n_shingles").alias("x_n"), F.col("fine").alias("x"))
+    two = known.select(
+        F.col("vertex").alias("hub"), F.col("n_shingles").alias("y_n"), F.col("fine").alias("y")
+    )
+    return pairs.join(one, "vertex").join(two, "hub").mapInArrow(run, "vertex long, hub long")
+
+
+def checked(
+    pairs: DataFrame, documents: DataFrame, docs: DataFrame, rule: Rule = RULE
+) -> DataFrame | None:
+    """Edges a, b: the pairs (vertex, hub) that link, by the sizes of their intersections; None if
+    there are none."""
+    left = materialize(near(materialize(pairs, "pairs"), docs, rule), "near-pairs")
+    if left.isEmpty():
+        return None
+    sets = materialize(sets_of(documents, docs, ends_of(left), rule), "candidates")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -471,7 +547,10 @@ def checked(pairs: DataFrame, sets: DataFrame, rule: Rule = RULE) -> DataFrame:
 
     one = sets.select("vertex", F.col("shingles").alias("x"))
     two = sets.select(F.col("vertex").alias("hub"), F.col("shingles").alias("y"))
-    return pairs.join(one, "vertex").join(two, "hub").mapInArrow(run, "a long, b long")
+    found = materialize(
+        left.join(one, "vertex").join(two, "hub").mapInArrow(run, "a long, b long"), "links"
+    )
+    return None if found.isEmpty() else found
 
 
 def unresolved(pairs: DataFrame, roots: DataFrame) -> DataFrame:
@@ -547,32 +626,31 @@ def grouped(documents: DataFrame, rule: Rule = RULE) -> DataFrame:
     sizes = docs.filter(F.col("n_shingles").between(1, top)).groupBy("n_shingles").count().collect()
     boundary = best_boundary({r.n_shingles: r["count"] for r in sizes}, rule)
     pairs = materialize(to_smallest(materialize(hub_pairs(documents, boundary, rule), "stars")), "pairs")
-    ends = materialize(
-        pairs.select("vertex").union(pairs.select(F.col("hub").alias("vertex"))).distinct(), "ends"
-    )
-    sets = materialize(sets_of(documents, docs, ends, rule), "candidates")
-    # A set is checked against its nearest hub first; that joins most, and only pairs that still lie in
-    # two components move their sets once more.
+    # A set is checked against its nearest hub first; that joins most, and others are checked only where
+    # they still lie in two components.
     may = materialize(possible(pairs.select("vertex", "hub").distinct(), docs, rule), "possible")
     nearest = may.groupBy("vertex").agg(F.min(F.struct("apart", "hub")).alias("best")).select(
         "vertex", F.col("best.hub").alias("hub")
     )
-    roots = materialize(components(materialize(checked(nearest, sets, rule), "links")), "roots")
+    found = checked(nearest, documents, docs, rule)
+    if found is None:
+        found = pairs.select(F.col("vertex").alias("a"), F.col("hub").alias("b")).limit(0)
+    roots = materialize(components(found), "roots")
     rest = _with_root(_with_root(may, roots, "vertex"), roots, "hub").filter("vertex_root <> hub_root")
-    found = materialize(checked(rest.select("vertex", "hub"), sets, rule), "links")
-    if not found.isEmpty():
+    found = checked(rest.select("vertex", "hub"), documents, docs, rule)
+    if found is not None:
         roots = materialize(joined_roots(roots, found), "roots")
     open_lists = materialize(unresolved(pairs, roots), "open-lists")
     if not open_lists.isEmpty():
-        members = materialize(members_of(sets, open_lists, boundary, rule), "members")
+        members = materialize(members_of(documents, docs, pairs, open_lists, boundary, rule), "members")
         done, most = members.select("sig", "vertex").limit(0), 1
         while True:
             hubs, more = next_pairs(members, done, roots, most, rule)
             if hubs.isEmpty():
                 break
             done, most = materialize(done.union(hubs), "hubs-done"), most * GROWTH
-            found = materialize(checked(more, sets, rule), "links")
-            if not found.isEmpty():
+            found = checked(more, documents, docs, rule)
+            if found is not None:
                 roots = materialize(joined_roots(roots, found), "roots")
     return docs.join(roots, "vertex", "left").select(
         "doc_id", "row_key", "n_shingles", "vertex", F.coalesce("root", "vertex").alias("root")
