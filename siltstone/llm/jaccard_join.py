@@ -43,9 +43,11 @@ ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from itertools import combinations
+from functools import lru_cache
+from itertools import combinations, islice
 from math import comb
 
 import numpy as np
@@ -72,11 +74,10 @@ RULE = Rule(3, 90)
 BOUNDARIES, CHECK_COST = (9, 19, 29), 8
 #: Ratio of the size bands of heavy sets.
 BAND = 1.5
-#: Postings that a task brings into order at a time.
-CHUNK = 500_000
-#: Pairs that one list may give in one round of further work, and by how much the new hubs of a list
-#: may grow from round to round.
-ROUND_PAIRS, GROWTH = 2_000_000, 16
+#: Shingles (subsets, of light sets) of the sets that a task lists at a time.
+CHUNK = 250_000
+#: New hubs of a list in the first round of further work, and pairs of a list that a later one may look at.
+FIRST_HUBS, ROUND_PAIRS = 8, 50_000_000
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 FOLD = np.uint64(0xBF58476D1CE4E5B9)
@@ -135,6 +136,7 @@ def band_start(k: int) -> int:
     return int(np.ceil(8 * BAND**k)) if k else 0
 
 
+@lru_cache(maxsize=50_000)
 def bands(n: int, rule: Rule = RULE) -> range:
     """Bands under which a set of n shingles is listed: its own and those of smaller partners."""
     return range(band_of(-(-rule.percent * n // 100)), band_of(n) + 1)
@@ -178,30 +180,85 @@ def digest(parts: np.ndarray, tag: int) -> int:
     return xxhash.xxh3_64_intdigest(parts.tobytes(), seed=tag)
 
 
-def signatures(s: np.ndarray, boundary: int, rule: Rule = RULE) -> Iterator[int]:
-    """Signatures of a set. The last bit tells subsets (0) from lists (1)."""
-    n = len(s)
-    if n <= largest_partner(boundary, rule):
-        for j in range(left_out(n, rule) + 1):
-            for out in combinations(range(n), j):
-                yield digest(np.delete(s, out) if out else s, 0) & ~1
-    if n <= boundary:
-        return
-    for band in bands(n, rule):
-        m = blocks_of(band, rule)
-        block = mixed(s ^ np.uint64(band + 1)) % np.uint64(m)
-        order = np.argsort(block, kind="stable")
-        ends = np.searchsorted(block[order], np.arange(m + 1, dtype=np.uint64))
-        parts = [s[order[ends[i]: ends[i + 1]]] for i in range(m)]
-        for i, part in enumerate(parts):
-            tag = (band << 32) | i
-            if len(part) > 1:
-                yield digest(part, tag) | 1
-                continue
-            after = parts[(i + 1) % m]
-            yield digest(np.concatenate([part, after]), tag | 1 << 62) | 1
-            for out in range(len(after)):
-                yield digest(np.concatenate([part, np.delete(after, out)]), tag | 1 << 62) | 1
+def _sealed(sums: np.ndarray, tag: np.ndarray | np.uint64) -> np.ndarray:
+    """Signatures of parts of sets, each given by the sum of its shingles' hashes."""
+    return mixed(mixed(sums * MIX + tag) * MIX)
+
+
+def _subset_signatures(x: np.ndarray, rule: Rule) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Signatures, and rows of x they belong to, of sets of the same size (a row each)."""
+    n = x.shape[1]
+    hashes = mixed(x * MIX)
+    totals = hashes.sum(axis=1, dtype=np.uint64)
+    for j in range(left_out(n, rule) + 1):
+        out = combinations(range(n), j)
+        while picked := list(islice(out, 10_000)):
+            at = np.array(picked, dtype=np.int64).reshape(len(picked), j)
+            step = max(1, 100_000 // (len(picked) * max(1, j)))
+            for i in range(0, len(x), step):
+                left = totals[i: i + step, None] - hashes[i: i + step][:, at].sum(axis=2, dtype=np.uint64)
+                rows = np.repeat(np.arange(i, i + len(left)), len(picked))
+                yield _sealed(left.ravel(), MIX) & ~np.uint64(1), rows
+
+
+def _block_signatures(sets: list[np.ndarray], band: int, rule: Rule) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Signatures of the blocks of sets under a band, and the numbers of their sets."""
+    m, many = blocks_of(band, rule), len(sets)
+    s = np.concatenate(sets)
+    row = np.repeat(np.arange(many), [len(x) for x in sets])
+    block = mixed(s ^ np.uint64(band + 1))
+    cell = row * m + (block % np.uint64(m)).astype(np.int64)
+    order = np.argsort(cell, kind="stable")
+    hashes = mixed(block[order] * MIX)
+    counts = np.bincount(cell, minlength=many * m)
+    ends = np.r_[0, np.cumsum(counts)]
+    upto = np.r_[np.uint64(0), np.cumsum(hashes, dtype=np.uint64)]
+    sums = upto[ends[1:]] - upto[ends[:-1]]
+    number = np.arange(many * m)
+    tag = mixed((np.uint64(band << 32) + (number % m).astype(np.uint64)) * MIX)
+    large = counts > 1
+    yield _sealed(sums[large], tag[large]) | np.uint64(1), number[large] // m
+    small = np.flatnonzero(~large)
+    after = small // m * m + (small % m + 1) % m
+    both, tag = sums[small] + sums[after], ~tag[small]
+    yield _sealed(both, tag) | np.uint64(1), small // m
+    times = counts[after]
+    entry = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times) + np.repeat(ends[after], times)
+    yield _sealed(np.repeat(both, times) - hashes[entry], np.repeat(tag, times)) | np.uint64(1), np.repeat(small // m, times)
+
+
+def signatures_of(
+    sets: list[np.ndarray], boundary: int, rule: Rule = RULE
+) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures of sets, and the number of the set of each. The last bit tells subsets (0) from lists (1).
+
+    A part of a set is named by the sum of its shingles' hashes, so that a part less one shingle is a
+    difference; sums of all sets of a band are taken together."""
+    by_size, by_band = defaultdict(list), defaultdict(list)
+    for i, s in enumerate(sets):
+        if len(s) <= largest_partner(boundary, rule):
+            by_size[len(s)].append(i)
+        if len(s) > boundary:
+            for band in bands(len(s), rule):
+                by_band[band].append(i)
+    sigs, rows = [], []
+
+    def add(found: Iterator[tuple[np.ndarray, np.ndarray]], at: list[int]) -> None:
+        for sig, row in found:
+            sigs.append(sig)
+            rows.append(np.array(at)[row])
+
+    for n, at in by_size.items():
+        add(_subset_signatures(np.array([sets[i] for i in at]).reshape(len(at), n), rule), at)
+    for band, at in by_band.items():
+        add(_block_signatures([sets[i] for i in at], band, rule), at)
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none.view(np.uint64), *sigs]), np.concatenate([none, *rows])
+
+
+def signatures(s: np.ndarray, boundary: int, rule: Rule = RULE) -> list[int]:
+    """Signatures of one set."""
+    return signatures_of([s], boundary, rule)[0].tolist()
 
 
 def signed(x: np.ndarray) -> np.ndarray:
@@ -302,29 +359,27 @@ def _distinct_sets(
 def _postings(
     batches: Iterator[pa.RecordBatch], boundary: int, rule: Rule
 ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Signatures, vertices and sizes of a task, up to about CHUNK at a time."""
-    sigs: list[int] = []
-    counts, vertices, sizes = [], [], []
-
-    def columns() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        times = np.array(counts, dtype=np.int64)
-        return (
-            signed(np.array(sigs, dtype=np.uint64)),
-            np.repeat(np.array(vertices, dtype=np.int64), times),
-            np.repeat(np.array(sizes, dtype=np.int32), times),
-        )
-
-    for v, s in _distinct_sets(batches, rule):
-        before = len(sigs)
-        sigs.extend(signatures(s, boundary, rule))
-        counts.append(len(sigs) - before)
+    """Signatures, vertices and sizes of a task, for sets of about CHUNK shingles at a time."""
+    for vertices, sets in _chunks(_distinct_sets(batches, rule), boundary, rule):
+        sig, row = signatures_of(sets, boundary, rule)
+        sizes = np.array([len(s) for s in sets], dtype=np.int32)
+        yield signed(sig), np.array(vertices, dtype=np.int64)[row], sizes[row]
+
+
+def _chunks(
+    found: Iterator[tuple[int, np.ndarray]], boundary: int, rule: Rule
+) -> Iterator[tuple[list[int], list[np.ndarray]]]:
+    """Vertices and sets, as many at a time as have about CHUNK shingles or subsets."""
+    vertices, sets, held = [], [], 0
+    for v, s in found:
         vertices.append(v)
-        sizes.append(len(s))
-        if len(sigs) >= CHUNK:
-            yield columns()
-            sigs, counts, vertices, sizes = [], [], [], []
-    if sigs:
-        yield columns()
+        sets.append(s)
+        held += subsets_cost(len(s), rule) if len(s) <= largest_partner(boundary, rule) else len(s)
+        if held >= CHUNK:
+            yield vertices, sets
+            vertices, sets, held = [], [], 0
+    if sets:
+        yield vertices, sets
 
 
 PAIRS = "vertex long, hub long, sig long, across boolean"
@@ -454,22 +509,16 @@ def members_of(
     lists = documents.sparkSession.sparkContext.broadcast(bitmap(sigs, "sig"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["sig", "vertex", "n", *SKETCH]
-        for batch in batches:
-            rows = []
-            for s in sets(batch):
-                sig = np.unique(np.array([*signatures(s, boundary, rule)], dtype=np.uint64))
-                v, sketch = vertex_of(s), parities(s, PARITY_BITS).tolist()
-                rows += [(x, v, len(s), *sketch) for x in signed(sig[passing(lists.value, sig)]).tolist()]
-                if len(rows) > CHUNK // 10:
-                    yield made(rows, names)
-                    rows = []
-            yield made(rows, names)
-
-    def made(rows: list[tuple[int, ...]], names: list[str]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array([r[i] for r in rows], pa.int64()) for i in range(len(names))], names
-        )
+        of_task = ((vertex_of(s), s) for batch in batches for s in sets(batch))
+        for vertices, some in _chunks(of_task, boundary, rule):
+            sig, row = signatures_of(some, boundary, rule)
+            listed = passing(lists.value, sig)
+            sig, row = signed(sig[listed]), row[listed]
+            sketch = np.array([parities(s, PARITY_BITS) for s in some], "<i8")
+            columns = [np.array(vertices, dtype=np.int64), np.array([len(s) for s in some]), *sketch.T]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(sig), *(pa.array(c[row]) for c in columns)], ["sig", "vertex", "n", *SKETCH]
+            )
 
     found = texts.mapInArrow(run, "sig long, vertex long, n long, " + ", ".join(f"{c} long" for c in SKETCH))
     return found.join(sigs.hint("merge"), "sig", "left_semi").dropDuplicates(["sig", "vertex"])
@@ -576,7 +625,8 @@ def next_pairs(
 ) -> tuple[DataFrame, DataFrame]:
     """New hubs (sig, vertex) and their pairs with the members of other components. Hubs come
     from outside the largest component of their list, `most` of a list and as many as keep a round
-    small. The first rounds take few: what links joins then, and is not paired over and over."""
+    small. The first round takes few: what links joins then, and is not paired over and over. Two hubs
+    of a list are paired once: a member before the hub is a hub as well, or was one, if it could be."""
     named = _with_root(members, roots, "vertex").withColumnRenamed("vertex_root", "root")
     parts = named.groupBy("sig", "root").agg(F.count("*").alias("size"))
     lists = parts.groupBy("sig").agg(
@@ -597,9 +647,12 @@ def next_pairs(
     )
     # The hub's columns meet those of the members in the join's own condition, so that pairs
     # which cannot link are not made.
-    rows = open_rows.select("sig", "vertex", "root", *(F.col(c).alias(f"a_{c}") for c in ("n", *SKETCH)))
+    rows = open_rows.select(
+        "sig", "vertex", "root", "largest", *(F.col(c).alias(f"a_{c}") for c in ("n", *SKETCH))
+    )
     meets = (
-        (rows.sig == hubs.hub_sig) & (rows.root != hubs.hub_root) & may_link("a_", "b_", rule)
+        (rows.sig == hubs.hub_sig) & (rows.root != hubs.hub_root)
+        & ((rows.vertex > hubs.hub) | (rows.root == rows.largest)) & may_link("a_", "b_", rule)
     )
     pairs = rows.join(hubs, meets).select("vertex", "hub").distinct()
     return hubs.select(F.col("hub_sig").alias("sig"), F.col("hub").alias("vertex")), pairs
@@ -643,15 +696,18 @@ def grouped(documents: DataFrame, rule: Rule = RULE) -> DataFrame:
     open_lists = materialize(unresolved(pairs, roots), "open-lists")
     if not open_lists.isEmpty():
         members = materialize(members_of(documents, docs, pairs, open_lists, boundary, rule), "members")
-        done, most = members.select("sig", "vertex").limit(0), 1
+        longest = members.groupBy("sig").count().agg(F.max("count")).first()[0]
+        done, most = members.select("sig", "vertex").limit(0), min(FIRST_HUBS, longest)
         while True:
             hubs, more = next_pairs(members, done, roots, most, rule)
             if hubs.isEmpty():
                 break
-            done, most = materialize(done.union(hubs), "hubs-done"), most * GROWTH
             found = checked(more, documents, docs, rule)
             if found is not None:
                 roots = materialize(joined_roots(roots, found), "roots")
+            if most == longest and longest * longest <= ROUND_PAIRS:
+                break  # every member was a hub
+            done, most = materialize(done.union(hubs), "hubs-done"), longest
     return docs.join(roots, "vertex", "left").select(
         "doc_id", "row_key", "n_shingles", "vertex", F.coalesce("root", "vertex").alias("root")
     )

@@ -151,6 +151,35 @@ def test_large_lists_are_worked_off(spark, monkeypatch):
     assert found == sorted(brute_components(rows))
 
 
+def test_unlinked_near_copies_take_few_rounds(spark, monkeypatch):
+    """Copies that share most blocks with each other and link with few, in two tasks."""
+    rng, rounds, found = np.random.default_rng(4), [], jaccard_join.next_pairs
+    monkeypatch.setattr(jaccard_join, "next_pairs", lambda *a: rounds.append(1) or found(*a))
+    words = [f"w{i}" for i in range(200)]
+    rows = [(i, " ".join(edited(rng, words, 8))) for i in range(120)]
+    docs = documents(spark, [(i, t, "en", "a") for i, t in rows]).repartition(2)
+    result = sorted(map(tuple, jaccard_join.link_components(docs).collect()))
+    assert result == sorted(brute_components(rows))
+    assert len(rounds) == 2  # a few hubs, then all
+
+
+def edited(rng, words, times):
+    words = list(words)
+    for at in rng.integers(0, len(words), times):
+        words[at] = f"e{rng.integers(1 << 40)}"
+    return words
+
+
+@pytest.mark.parametrize("boundary", jaccard_join.BOUNDARIES[:2])
+def test_signatures_of_many_sets_are_those_of_each(boundary):
+    rng = np.random.default_rng(boundary)
+    sets = [np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64)) for n in (1, 9, 10, 11, 11, 24, 40, 41, 300)]
+    sig, row = jaccard_join.signatures_of(sets, boundary)
+    for i, s in enumerate(sets):
+        assert sorted(sig[row == i].tolist()) == sorted(jaccard_join.signatures(s, boundary))
+    assert [len(x) for x in jaccard_join.signatures_of([], boundary)] == [0, 0]
+
+
 @pytest.mark.parametrize("chunk", [1, jaccard_join.CHUNK])
 def test_short_near_copies_meet_across_tasks(spark, monkeypatch, chunk):
     """Two texts longer by a word each and the text they contain, in different tasks: the longer
@@ -185,6 +214,18 @@ def test_components_of_a_path_and_a_star(spark):
     assert components(df.limit(0)).count() == 0
 
 
+def test_a_task_connects_its_own_edges(spark, monkeypatch):
+    from siltstone.llm import components as module
+
+    written, write = [], module.materialize
+    monkeypatch.setattr(module, "materialize", lambda df, label: written.append(label) or write(df, label))
+    df = spark.createDataFrame([(i, i + 1) for i in range(300)], "a long, b long").coalesce(1)
+    assert {r.root for r in components(df).collect()} == {0}
+    assert len(written) <= 3
+    monkeypatch.setattr(module, "VERTICES", 7)
+    assert {r.root for r in components(df.repartition(3)).collect()} == {0}
+
+
 def test_fingerprints(spark, monkeypatch):
     monkeypatch.setattr(bottom_k, "RANGE_DOCUMENTS", 40)
     docs = sample_documents(spark)
