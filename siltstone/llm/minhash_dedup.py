@@ -12,8 +12,8 @@ order and make no list, so a document that differs from all others in many place
 Pairs come from the lists in two steps. First each member is paired with the list's hub, the
 member with the fewest values of its own: that is the original of a group of edited copies, and joins
 most of them. Then members of one list that still lie in different components are paired, if their
-places in the order, their sizes and a parity sketch (256 bits, each the parity of the shingles that
-hash to it) allow a link. Groups that hang together therefore give a pair per member and list,
+places in the order, their sizes and two parity sketches (256 and 2048 bits, each the parity of the
+shingles that hash to it; the short one says nothing of sets of more than about 800) allow a link. Groups that hang together therefore give a pair per member and list,
 not a square.
 
 A pair is judged by the sketch of its union, the smallest hashes of both: the share of them that both
@@ -49,6 +49,9 @@ DEVIATIONS = 6
 #: Distinct sets that a task remembers, so that copies in it give one sketch.
 REMEMBERED = 200_000
 PARITY = [f"parity{i}" for i in range(4)]
+#: The sketch of open lists, of which the other is the fold.
+WIDE_BITS = 2048
+WIDE = [f"wide{i}" for i in range(WIDE_BITS // 64)]
 
 
 def vertex_of(shingles: np.ndarray) -> int:
@@ -73,23 +76,24 @@ def sketches(documents: DataFrame, k: int = K) -> DataFrame:
                     seen.add(v)
                 n.append(len(s))
                 vertex.append(v)
-                parity.append(parities(s) if fresh else np.zeros(4, np.int64))
+                parity.append(parities(s, WIDE_BITS) if fresh else np.zeros(len(WIDE), np.int64))
                 sketch.append(s[:k].view(np.int64) if fresh else None)
-            bits = np.array(parity, dtype=np.int64).reshape(-1, 4)
+            wide = np.array(parity, dtype=np.int64).reshape(-1, len(WIDE))
+            bits = np.bitwise_xor.reduce(wide.reshape(-1, len(WIDE) // len(PARITY), len(PARITY)), axis=1)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").cast(pa.int64()), batch.column("text_key"),
                     pa.array(n, pa.int64()), pa.array(vertex, pa.int64()),
-                    *(pa.array(np.ascontiguousarray(bits[:, i])) for i in range(4)),
+                    *(pa.array(np.ascontiguousarray(c)) for c in (*bits.T, *wide.T)),
                     pa.array(sketch, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "text_key", "n", "vertex", *PARITY, "sketch"],
+                ["doc_id", "text_key", "n", "vertex", *PARITY, *WIDE, "sketch"],
             )
 
     return documents.select("doc_id", "text", F.xxhash64("text").alias("text_key")).mapInArrow(
         run,
         "doc_id long, text_key long, n long, vertex long, "
-        + "".join(f"{c} long, " for c in PARITY) + "sketch array<long>",
+        + "".join(f"{c} long, " for c in (*PARITY, *WIDE)) + "sketch array<long>",
     )
 
 
@@ -160,10 +164,10 @@ def postings(sets: DataFrame, shared: DataFrame, k: int, percent: int) -> DataFr
     )
 
 
-def may_link(a: str, b: str, percent: int) -> Column:
+def may_link(a: str, b: str, percent: int, bits: list[str] = PARITY) -> Column:
     """Whether sizes and parity sketches of two sets allow a link."""
     n, m = F.col(f"{a}n"), F.col(f"{b}n")
-    apart = sum(F.bit_count(F.col(f"{a}{c}").bitwiseXOR(F.col(f"{b}{c}"))) for c in PARITY)
+    apart = sum(F.bit_count(F.col(f"{a}{c}").bitwiseXOR(F.col(f"{b}{c}"))) for c in bits)
     return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (
         (100 + percent) * apart <= (100 - percent) * (n + m)
     )
@@ -182,13 +186,21 @@ def star_pairs(lists: DataFrame, percent: int) -> DataFrame:
     return _ordered(members.join(hubs.hint("merge"), meets))
 
 
-def open_pairs(lists: DataFrame, roots: DataFrame, k: int, percent: int) -> DataFrame:
-    """vertex, other: members of a list that lie in different components and may link."""
+def open_pairs(
+    lists: DataFrame, roots: DataFrame, k: int, percent: int, sets: DataFrame | None = None
+) -> DataFrame:
+    """vertex, other: members of a list that lie in different components and may link, by the wide
+    parity sketches if `sets` gives them, which members of open lists alone carry."""
     named = lists.join(roots, "vertex", "left").withColumn("root", F.coalesce("root", "vertex"))
     named = materialize(named, "named-lists")
     several = named.groupBy("value").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b")
-    rows = materialize(named.join(several.select("value").hint("merge"), "value", "left_semi"), "open-lists")
-    own = ["root", "n", "retained", "place", *PARITY]
+    rows = named.join(several.select("value").hint("merge"), "value", "left_semi")
+    bits = PARITY
+    if sets is not None:
+        known = sets.filter("sketch IS NOT NULL").select("vertex", *WIDE).dropDuplicates(["vertex"])
+        rows, bits = rows.join(known, "vertex"), [*PARITY, *WIDE]
+    rows = materialize(rows, "open-lists")
+    own = ["root", "n", "retained", "place", *bits]
     one = rows.select(F.col("value").alias("value_a"), "vertex", *(F.col(c).alias(f"a_{c}") for c in own))
     two = rows.select("value", F.col("vertex").alias("other"), *(F.col(c).alias(f"b_{c}") for c in own))
     early = (
@@ -197,6 +209,8 @@ def open_pairs(lists: DataFrame, roots: DataFrame, k: int, percent: int) -> Data
         F.col("b_place") <= missing(F.col("b_n"), F.col("a_n"), F.col("b_retained"), k, percent) + 1
     )
     meets = (one.value_a == two.value) & (F.col("a_root") < F.col("b_root")) & early & may_link("a_", "b_", percent)
+    if sets is not None:
+        meets = meets & may_link("a_", "b_", percent, WIDE)
     return _ordered(one.join(two.hint("merge"), meets))
 
 
@@ -307,7 +321,7 @@ def grouped(documents: DataFrame, k: int = K, percent: int = PERCENT) -> DataFra
     stars = materialize(verified(star_pairs(lists, percent), shingles, k, percent), "links")
     roots = materialize(components(stars), "roots")
     rest = materialize(
-        verified(open_pairs(lists, roots, k, percent), shingles, k, percent), "links"
+        verified(open_pairs(lists, roots, k, percent, sets), shingles, k, percent), "links"
     )
     if not rest.isEmpty():
         roots = materialize(components(stars.union(rest)), "roots")

@@ -100,6 +100,18 @@ def test_near_copies_that_do_not_link_give_few_pairs(spark, size):
     assert stars + minhash_dedup.open_pairs(lists, roots, 256, 85).count() < size
 
 
+def test_long_near_copies_that_do_not_link_give_few_pairs(spark):
+    """Sets of 1500, of which 256 bits rule out none."""
+    rng = np.random.default_rng(8)
+    base = [f"w{i}" for i in range(1500)]
+    df = documents(spark, [(i, " ".join(edited(rng, base, 36)), "en", "a") for i in range(60)])
+    sets = minhash_dedup.sketches(df).cache()
+    lists = minhash_dedup.postings(sets, minhash_dedup.shared_values(sets), 256, 85).cache()
+    roots = spark.createDataFrame([], "vertex long, root long")
+    assert minhash_dedup.open_pairs(lists, roots, 256, 85).count() > 600
+    assert minhash_dedup.open_pairs(lists, roots, 256, 85, sets).count() == 0
+
+
 @settings(deadline=None, max_examples=60)
 @given(st.integers(1, 600), st.integers(0, 200), st.integers(0, 200), st.integers(0, 99))
 def test_sketch_never_rules_out_a_link(common, left, right, seed):
