@@ -73,15 +73,17 @@ def _is_stars(edges: DataFrame) -> bool:
     ).isEmpty()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, count: int | None = None) -> DataFrame:
     """vertex, root: the least vertex of its component, for every vertex of an edge (a, b).
 
-    Tasks first connect what they hold. Every step is written to the shared folder; the loop ends
-    when only stars are left.
+    Tasks first connect what they hold, edges of about VERTICES vertices each; few edges need no further step.
+    Every step is written to the shared folder; the loop ends when only stars are left. `count` is the
+    number of edges, if it is known.
     """
-    now = edges.select("a", "b").filter("a <> b").distinct().mapInArrow(_forest, "a long, b long")
+    tasks = -(-2 * (edges.count() if count is None else count) // VERTICES)
+    now = edges.select("a", "b").filter("a <> b").coalesce(max(1, tasks)).mapInArrow(_forest, "a long, b long")
     now = materialize(now, "forest")
-    while not _is_stars(now):
+    while tasks > 1 and not _is_stars(now):
         large = materialize(_star(now, True), "large-star")
         now = materialize(_star(large, False), "small-star")
     return now.select(F.col("a").alias("vertex"), F.col("b").alias("root")).union(

@@ -115,3 +115,23 @@ def test_filter_lets_all_members_pass(spark):
     assert bit_filter.passing(bits, codes.view(np.uint64)).all()
     others = np.random.default_rng(2).integers(0, 1 << 63, 5000).view(np.uint64)
     assert bit_filter.passing(bits, others).mean() < 0.01
+
+
+def test_filter_of_few_codes_is_small_and_made_by_few_jobs(spark):
+    codes = np.random.default_rng(3).integers(-(2**63), 2**63 - 1, 3000)
+    table, context = spark.createDataFrame([(int(c),) for c in codes], "code long"), spark.sparkContext
+    changed = {"spark.sql.shuffle.partitions": "50", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in changed}
+    context.setJobGroup("filter", "filter")
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        bits = bit_filter.bitmap(table, "code")
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(context.statusTracker().getJobIdsForGroup("filter")) < 5
+    assert len(bits) < 1 << 20 and bit_filter.passing(bits, codes.view(np.uint64)).all()
+    others = np.random.default_rng(4).integers(-(2**63), 2**63 - 1, 100_000).view(np.uint64)
+    assert bit_filter.passing(bits, others).mean() < 0.002

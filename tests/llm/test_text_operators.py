@@ -226,6 +226,16 @@ def test_a_task_connects_its_own_edges(spark, monkeypatch):
     assert {r.root for r in components(df.repartition(3)).collect()} == {0}
 
 
+def test_few_edges_are_connected_in_one_step(spark, monkeypatch):
+    from siltstone.llm import components as module
+
+    written, write = [], module.materialize
+    monkeypatch.setattr(module, "materialize", lambda df, label: written.append(label) or write(df, label))
+    df = spark.createDataFrame([(i, i + 1) for i in range(300)], "a long, b long").repartition(20)
+    assert {r.root for r in components(df).collect()} == {0}
+    assert written == ["forest"]
+
+
 def test_fingerprints(spark, monkeypatch):
     monkeypatch.setattr(bottom_k, "RANGE_DOCUMENTS", 40)
     docs = sample_documents(spark)
