@@ -78,6 +78,8 @@ BAND = 1.5
 CHUNK = 250_000
 #: New hubs of a list in the first round of further work, and pairs of a list that a later one may look at.
 FIRST_HUBS, ROUND_PAIRS = 8, 50_000_000
+#: Pairs up to which sets are fetched without a look at the fine sketches, which costs more steps than it saves.
+FEW_PAIRS = 4000
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 FOLD = np.uint64(0xBF58476D1CE4E5B9)
@@ -272,6 +274,9 @@ def vertex_of(s: np.ndarray) -> int:
 #: Bits of the parity sketch, as numbers of 64 bits.
 PARITY_BITS = 512
 SKETCH = [f"parity{i}" for i in range(PARITY_BITS // 64)]
+#: Bits of the sketch that larger sets have besides, for the pairs of open lists.
+WIDE_BITS = 2048
+WIDE = [f"wide{i}" for i in range(WIDE_BITS // 64)]
 
 
 def parities(s: np.ndarray, bits: int = 256) -> np.ndarray:
@@ -296,27 +301,37 @@ def fine_apart(a: np.ndarray, b: np.ndarray) -> int:
     return int(np.bitwise_count(folded ^ a).sum())
 
 
-def apart(a: str, b: str) -> Column:
+def apart(a: str, b: str, bits: list[str] = SKETCH) -> Column:
     """Bits in which the parity sketches of two sets differ."""
-    return sum(F.bit_count(F.col(f"{a}{c}").bitwiseXOR(F.col(f"{b}{c}"))) for c in SKETCH)
+    return sum(F.bit_count(F.col(f"{a}{c}").bitwiseXOR(F.col(f"{b}{c}"))) for c in bits)
 
 
-def may_link(a: str, b: str, rule: Rule = RULE) -> Column:
+def may_link(a: str, b: str, rule: Rule = RULE, bits: list[str] = SKETCH) -> Column:
     """Whether two sets, given by the prefixes of their columns, can link by size and sketch:
     linked sets differ in (1 - t) / (1 + t) of their sizes' sum at most, t being the similarity."""
     n, m = F.col(f"{a}n"), F.col(f"{b}n")
     sizes = 100 * F.least(n, m) >= rule.percent * F.greatest(n, m)
-    return sizes & ((100 + rule.percent) * apart(a, b) <= (100 - rule.percent) * (n + m))
+    return sizes & ((100 + rule.percent) * apart(a, b, bits) <= (100 - rule.percent) * (n + m))
+
+
+def may_link_wide(a: str, b: str, rule: Rule = RULE) -> Column:
+    """may_link by the wide sketches as well, if both sets have one."""
+    return may_link(a, b, rule) & F.coalesce(may_link(a, b, rule, WIDE), F.lit(True))
 
 
 def summaries(documents: DataFrame, rule: Rule = RULE) -> DataFrame:
     """doc_id, row_key (a hash of doc_id and text), n_shingles, vertex and sketches of every row; an
-    empty set is no vertex."""
+    empty set is no vertex. Sets of more than PARITY_BITS shingles have a wide sketch as well."""
+    names = [*SKETCH, *WIDE]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(t, rule.words) for t in batch.column("text").to_pylist()]
             sketch = np.array([parities(s, PARITY_BITS) for s in sets], "<i8").reshape(-1, len(SKETCH))
+            large = np.array([len(s) > PARITY_BITS for s in sets], bool)
+            wide = np.zeros((len(sets), len(WIDE)), "<i8")
+            for i in np.flatnonzero(large).tolist():
+                wide[i] = parities(sets[i], WIDE_BITS)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").cast(pa.int64()),
@@ -324,15 +339,16 @@ def summaries(documents: DataFrame, rule: Rule = RULE) -> DataFrame:
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([vertex_of(s) if len(s) else None for s in sets], pa.int64()),
                     pa.array([fine_sketch(s) for s in sets], pa.binary()),
-                    *(pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(len(SKETCH))),
+                    *(pa.array(np.ascontiguousarray(c)) for c in sketch.T),
+                    *(pa.array(np.ascontiguousarray(c), mask=~large) for c in wide.T),
                 ],
-                ["doc_id", "row_key", "n_shingles", "vertex", "fine", *SKETCH],
+                ["doc_id", "row_key", "n_shingles", "vertex", "fine", *names],
             )
 
     return documents.select("doc_id", "text", row_key().alias("row_key")).mapInArrow(
         run,
         "doc_id long, row_key long, n_shingles long, vertex long, fine binary, "
-        + ", ".join(f"{c} long" for c in SKETCH),
+        + ", ".join(f"{c} long" for c in names),
     )
 
 
@@ -504,7 +520,7 @@ def sets_of(
 def members_of(
     documents: DataFrame, docs: DataFrame, pairs: DataFrame, sigs: DataFrame, boundary: int, rule: Rule = RULE
 ) -> DataFrame:
-    """sig, vertex, n and sketch: all members of the given lists, each of which is an end of a pair."""
+    """sig, vertex: all members of the given lists, each of which is an end of a pair."""
     texts, sets = chosen_texts(documents, docs, ends_of(pairs), rule)
     lists = documents.sparkSession.sparkContext.broadcast(bitmap(sigs, "sig"))
 
@@ -513,15 +529,18 @@ def members_of(
         for vertices, some in _chunks(of_task, boundary, rule):
             sig, row = signatures_of(some, boundary, rule)
             listed = passing(lists.value, sig)
-            sig, row = signed(sig[listed]), row[listed]
-            sketch = np.array([parities(s, PARITY_BITS) for s in some], "<i8")
-            columns = [np.array(vertices, dtype=np.int64), np.array([len(s) for s in some]), *sketch.T]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(sig), *(pa.array(c[row]) for c in columns)], ["sig", "vertex", "n", *SKETCH]
-            )
+            vertex = np.array(vertices, dtype=np.int64)[row[listed]]
+            yield pa.RecordBatch.from_arrays([pa.array(signed(sig[listed])), pa.array(vertex)], ["sig", "vertex"])
 
-    found = texts.mapInArrow(run, "sig long, vertex long, n long, " + ", ".join(f"{c} long" for c in SKETCH))
-    return found.join(sigs.hint("merge"), "sig", "left_semi").dropDuplicates(["sig", "vertex"])
+    found = texts.mapInArrow(run, "sig long, vertex long")
+    return found.join(sigs.hint("merge"), "sig", "left_semi").distinct()
+
+
+def sketches_of(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """vertex, n and sketches of the sets in the given lists."""
+    known = docs.filter("vertex IS NOT NULL").select("vertex", F.col("n_shingles").alias("n"), *SKETCH, *WIDE)
+    chosen = members.select("vertex").distinct()
+    return known.join(chosen.hint("merge"), "vertex", "left_semi").dropDuplicates(["vertex"])
 
 
 def possible(pairs: DataFrame, docs: DataFrame, rule: Rule = RULE) -> DataFrame:
@@ -573,8 +592,12 @@ def checked(
 ) -> DataFrame | None:
     """Edges a, b: the pairs (vertex, hub) that link, by the sizes of their intersections; None if
     there are none."""
-    left = materialize(near(materialize(pairs, "pairs"), docs, rule), "near-pairs")
-    if left.isEmpty():
+    left = materialize(pairs, "pairs")
+    count = left.count()
+    if count > FEW_PAIRS:
+        left = materialize(near(left, docs, rule), "near-pairs")
+        count = left.count()
+    if not count:
         return None
     sets = materialize(sets_of(documents, docs, ends_of(left), rule), "candidates")
 
@@ -621,12 +644,13 @@ def _with_root(rows: DataFrame, roots: DataFrame, column: str) -> DataFrame:
 
 
 def next_pairs(
-    members: DataFrame, done: DataFrame, roots: DataFrame, most: int, rule: Rule = RULE
+    members: DataFrame, known: DataFrame, done: DataFrame, roots: DataFrame, most: int, rule: Rule = RULE
 ) -> tuple[DataFrame, DataFrame]:
     """New hubs (sig, vertex) and their pairs with the members of other components. Hubs come
     from outside the largest component of their list, `most` of a list and as many as keep a round
     small. The first round takes few: what links joins then, and is not paired over and over. Two hubs
-    of a list are paired once: a member before the hub is a hub as well, or was one, if it could be."""
+    of a list are paired once: a member before the hub is a hub as well, or was one, if it could be.
+    `known` has the sketches, which reach the rows only where these meet."""
     named = _with_root(members, roots, "vertex").withColumnRenamed("vertex_root", "root")
     parts = named.groupBy("sig", "root").agg(F.count("*").alias("size"))
     lists = parts.groupBy("sig").agg(
@@ -639,31 +663,28 @@ def next_pairs(
         open_rows.filter("root <> largest").join(done, ["sig", "vertex"], "left_anti")
         .withColumn("rank", rank)
         .filter(F.col("rank") <= F.greatest(F.lit(1), F.least(F.lit(most), F.lit(ROUND_PAIRS) / F.col("members"))))
-        .select(
-            F.col("sig").alias("hub_sig"), F.col("vertex").alias("hub"),
-            F.col("root").alias("hub_root"), *(F.col(c).alias(f"b_{c}") for c in ("n", *SKETCH)),
-        ),
+        .select(F.col("sig").alias("hub_sig"), F.col("vertex").alias("hub"), F.col("root").alias("hub_root")),
         "hubs",
     )
+    own = ("n", *SKETCH, *WIDE)
+    one = known.select("vertex", *(F.col(c).alias(f"a_{c}") for c in own))
+    two = known.select(F.col("vertex").alias("hub"), *(F.col(c).alias(f"b_{c}") for c in own))
     # The hub's columns meet those of the members in the join's own condition, so that pairs
     # which cannot link are not made.
-    rows = open_rows.select(
-        "sig", "vertex", "root", "largest", *(F.col(c).alias(f"a_{c}") for c in ("n", *SKETCH))
-    )
+    rows, others = open_rows.join(one, "vertex"), hubs.join(two, "hub")
     meets = (
-        (rows.sig == hubs.hub_sig) & (rows.root != hubs.hub_root)
-        & ((rows.vertex > hubs.hub) | (rows.root == rows.largest)) & may_link("a_", "b_", rule)
+        (rows.sig == others.hub_sig) & (rows.root != others.hub_root)
+        & ((rows.vertex > others.hub) | (rows.root == rows.largest)) & may_link_wide("a_", "b_", rule)
     )
-    pairs = rows.join(hubs, meets).select("vertex", "hub").distinct()
+    pairs = rows.join(others, meets).select("vertex", "hub").distinct()
     return hubs.select(F.col("hub_sig").alias("sig"), F.col("hub").alias("vertex")), pairs
 
 
 def joined_roots(roots: DataFrame, edges: DataFrame) -> DataFrame:
     """Components after further edges: only the components that these connect are joined."""
     ends = _with_root(_with_root(edges, roots, "a"), roots, "b")
-    moved = materialize(
-        components(ends.select(F.col("a_root").alias("a"), F.col("b_root").alias("b"))), "moved-roots"
-    )
+    ends = ends.select(F.col("a_root").alias("a"), F.col("b_root").alias("b"))
+    moved = materialize(components(ends, edges.count()), "moved-roots")
     alone = moved.join(roots, "vertex", "left_anti").select("vertex", F.col("vertex").alias("root"))
     to = moved.select(F.col("vertex").alias("root"), F.col("root").alias("to"))
     return roots.union(alone).join(to, "root", "left").select(
@@ -696,10 +717,11 @@ def grouped(documents: DataFrame, rule: Rule = RULE) -> DataFrame:
     open_lists = materialize(unresolved(pairs, roots), "open-lists")
     if not open_lists.isEmpty():
         members = materialize(members_of(documents, docs, pairs, open_lists, boundary, rule), "members")
+        known = materialize(sketches_of(docs, members), "member-sketches")
         longest = members.groupBy("sig").count().agg(F.max("count")).first()[0]
         done, most = members.select("sig", "vertex").limit(0), min(FIRST_HUBS, longest)
         while True:
-            hubs, more = next_pairs(members, done, roots, most, rule)
+            hubs, more = next_pairs(members, known, done, roots, most, rule)
             if hubs.isEmpty():
                 break
             found = checked(more, documents, docs, rule)

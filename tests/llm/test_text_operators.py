@@ -163,6 +163,26 @@ def test_unlinked_near_copies_take_few_rounds(spark, monkeypatch):
     assert len(rounds) == 2  # a few hubs, then all
 
 
+def test_unlinked_long_texts_of_open_lists_are_not_paired(spark, monkeypatch):
+    """Long texts that share a passage lie in the same lists; of their pairs those that link are left."""
+    rng, made, found = np.random.default_rng(6), [], jaccard_join.next_pairs
+
+    def counted(*a):
+        hubs, pairs = found(*a)
+        made.append(pairs.count())
+        return hubs, pairs
+
+    monkeypatch.setattr(jaccard_join, "next_pairs", counted)
+    passage, rows = [f"p{i}" for i in range(700)], []
+    for i in range(0, 60, 2):
+        own = passage + [f"o{i}x{j}" for j in range(1000)]
+        rows += [(i, " ".join(own)), (i + 1, " ".join(edited(rng, own, 30)))]
+    docs = documents(spark, [(d, t, "en", "a") for d, t in rows]).repartition(2)
+    result = sorted(map(tuple, jaccard_join.link_components(docs, jaccard_join.Rule(5, 80)).collect()))
+    assert [c for *_, c in result] == [i // 2 * 2 for i in range(60)]
+    assert made and sum(made) < 30
+
+
 def edited(rng, words, times):
     words = list(words)
     for at in rng.integers(0, len(words), times):
