@@ -33,7 +33,8 @@ subset list is complete once every member is paired with its smallest set over a
 B link, then in the list of what they have in common the smallest set, which has that too and is
 no larger, links to both. An inverted list whose members then still lie in several components is worked on further, member by member as
 new hub, until every pair of its members is either in one component or was checked. So nothing is
-lost, and a group of thousands of near copies costs a pair each instead of a square.
+lost, and a group of thousands of near copies costs a pair each instead of a square. Near copies that do
+not link are paired with each other, though in one list or few of the many that they share.
 
 Defined results: null and blank texts have the empty set and stand alone; rows with equal sets
 link, whatever their doc_ids; rows without doc_id link like others but are never the
@@ -78,6 +79,8 @@ BAND = 1.5
 CHUNK = 250_000
 #: New hubs of a list in the first round of further work, and pairs of a list that a later one may look at.
 FIRST_HUBS, ROUND_PAIRS = 8, 50_000_000
+#: Lists of a set that its rows carry, to tell what it meets in a lesser list as well.
+FIRST_LISTS = 16
 #: Pairs up to which sets are fetched without a look at the fine sketches, which costs more steps than it saves.
 FEW_PAIRS = 4000
 
@@ -666,18 +669,38 @@ def next_pairs(
         .select(F.col("sig").alias("hub_sig"), F.col("vertex").alias("hub"), F.col("root").alias("hub_root")),
         "hubs",
     )
+    pairs = meetings(open_rows, hubs, known, rule).distinct()
+    return hubs.select(F.col("hub_sig").alias("sig"), F.col("hub").alias("vertex")), pairs
+
+
+def first_lists(rows: DataFrame, sig: str, vertex: str) -> DataFrame:
+    """vertex, firsts: the least FIRST_LISTS lists of each."""
+    least = F.slice(F.sort_array(F.collect_list(sig)), 1, FIRST_LISTS)
+    return rows.groupBy(vertex).agg(least.alias("firsts"))
+
+
+def meetings(open_rows: DataFrame, hubs: DataFrame, known: DataFrame, rule: Rule = RULE) -> DataFrame:
+    """vertex, hub: members and hubs of a list that may link. Near copies share most of their lists, and a
+    pair is not made in each: a list leaves it to a lesser one that is among the first lists of the
+    member and among the first of which the hub is a hub. There it is made, or was in a round before,
+    or is left to a still lesser one; the least list that a pair meets in leaves it to none."""
     own = ("n", *SKETCH, *WIDE)
-    one = known.select("vertex", *(F.col(c).alias(f"a_{c}") for c in own))
-    two = known.select(F.col("vertex").alias("hub"), *(F.col(c).alias(f"b_{c}") for c in own))
+    one = known.select("vertex", *(F.col(c).alias(f"a_{c}") for c in own)).join(
+        first_lists(open_rows, "sig", "vertex").withColumnRenamed("firsts", "a_firsts"), "vertex"
+    )
+    two = known.select(F.col("vertex").alias("hub"), *(F.col(c).alias(f"b_{c}") for c in own)).join(
+        first_lists(hubs, "hub_sig", "hub").withColumnRenamed("firsts", "b_firsts"), "hub"
+    )
     # The hub's columns meet those of the members in the join's own condition, so that pairs
     # which cannot link are not made.
     rows, others = open_rows.join(one, "vertex"), hubs.join(two, "hub")
+    earlier = F.array_min(F.array_intersect("a_firsts", "b_firsts")) < rows.sig
     meets = (
         (rows.sig == others.hub_sig) & (rows.root != others.hub_root)
         & ((rows.vertex > others.hub) | (rows.root == rows.largest)) & may_link_wide("a_", "b_", rule)
+        & ~F.coalesce(earlier, F.lit(False))
     )
-    pairs = rows.join(others, meets).select("vertex", "hub").distinct()
-    return hubs.select(F.col("hub_sig").alias("sig"), F.col("hub").alias("vertex")), pairs
+    return rows.join(others, meets).select("vertex", "hub")
 
 
 def joined_roots(roots: DataFrame, edges: DataFrame) -> DataFrame:

@@ -183,6 +183,31 @@ def test_unlinked_long_texts_of_open_lists_are_not_paired(spark, monkeypatch):
     assert made and sum(made) < 30
 
 
+def test_near_copies_are_paired_in_few_of_their_lists(spark, monkeypatch):
+    """Copies that do not link, of which the sketch of 512 bits tells little, share many lists."""
+    rng, made, found = np.random.default_rng(3), [], jaccard_join.meetings
+
+    def counted(*a):
+        both = found(*a)
+        made.append([tuple(r) for r in both.collect()])
+        return both
+
+    monkeypatch.setattr(jaccard_join, "meetings", counted)
+    words = [f"w{i}" for i in range(490)]
+    rows = [(i, " ".join(edited(rng, words, 7))) for i in range(40)]
+    docs = documents(spark, [(i, t, "en", "a") for i, t in rows]).repartition(2)
+    results, times, pairs = [], [], []
+    for lists in (jaccard_join.FIRST_LISTS, 0):  # without first lists a pair is made in each list
+        monkeypatch.setattr(jaccard_join, "FIRST_LISTS", lists)
+        made.clear()
+        results.append(sorted(map(tuple, jaccard_join.link_components(docs, jaccard_join.Rule(5, 80)).collect())))
+        times.append(sum(map(len, made)))
+        pairs.append({frozenset(p) for p in sum(made, [])})
+    assert results[0] == results[1] == sorted(brute_components(rows, 5, 80))
+    assert pairs[0] == pairs[1] and len(pairs[0]) > 300
+    assert times[0] < 5 * len(pairs[0]) and times[1] > 10 * len(pairs[0])
+
+
 def edited(rng, words, times):
     words = list(words)
     for at in rng.integers(0, len(words), times):
