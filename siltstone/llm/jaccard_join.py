@@ -274,12 +274,10 @@ def vertex_of(s: np.ndarray) -> int:
     return int(np.uint64(digest(s, 7)).view(np.int64)) if len(s) else 0
 
 
-#: Bits of the parity sketch, as numbers of 64 bits.
+#: Bits of the parity sketch (column parity, an array of 64-bit numbers).
 PARITY_BITS = 512
-SKETCH = [f"parity{i}" for i in range(PARITY_BITS // 64)]
-#: Bits of the sketch that larger sets have besides, for the pairs of open lists.
+#: Bits of the sketch that larger sets have besides (column wide), for the pairs of open lists.
 WIDE_BITS = 2048
-WIDE = [f"wide{i}" for i in range(WIDE_BITS // 64)]
 
 
 def parities(s: np.ndarray, bits: int = 256) -> np.ndarray:
@@ -304,37 +302,44 @@ def fine_apart(a: np.ndarray, b: np.ndarray) -> int:
     return int(np.bitwise_count(folded ^ a).sum())
 
 
-def apart(a: str, b: str, bits: list[str] = SKETCH) -> Column:
+def apart(a: str, b: str) -> Column:
     """Bits in which the parity sketches of two sets differ."""
-    return sum(F.bit_count(F.col(f"{a}{c}").bitwiseXOR(F.col(f"{b}{c}"))) for c in bits)
+    return sum(
+        F.bit_count(F.get(f"{a}parity", i).bitwiseXOR(F.get(f"{b}parity", i))) for i in range(PARITY_BITS // 64)
+    )
+
+
+def apart_wide(a: str, b: str) -> Column:
+    """Bits in which the wide sketches of two sets differ; null if one has none. A short expression, as
+    few pairs come to it."""
+    bits = F.zip_with(f"{a}wide", f"{b}wide", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.aggregate(bits, F.lit(0), lambda total, x: total + x)
 
 
-def may_link(a: str, b: str, rule: Rule = RULE, bits: list[str] = SKETCH) -> Column:
+def may_link(a: str, b: str, rule: Rule = RULE) -> Column:
     """Whether two sets, given by the prefixes of their columns, can link by size and sketch:
     linked sets differ in (1 - t) / (1 + t) of their sizes' sum at most, t being the similarity."""
     n, m = F.col(f"{a}n"), F.col(f"{b}n")
     sizes = 100 * F.least(n, m) >= rule.percent * F.greatest(n, m)
-    return sizes & ((100 + rule.percent) * apart(a, b, bits) <= (100 - rule.percent) * (n + m))
+    return sizes & ((100 + rule.percent) * apart(a, b) <= (100 - rule.percent) * (n + m))
 
 
 def may_link_wide(a: str, b: str, rule: Rule = RULE) -> Column:
     """may_link by the wide sketches as well, if both sets have one."""
-    return may_link(a, b, rule) & F.coalesce(may_link(a, b, rule, WIDE), F.lit(True))
+    most = (100 - rule.percent) * (F.col(f"{a}n") + F.col(f"{b}n"))
+    wide = (100 + rule.percent) * apart_wide(a, b) <= most
+    return may_link(a, b, rule) & F.coalesce(wide, F.lit(True))
 
 
 def summaries(documents: DataFrame, rule: Rule = RULE) -> DataFrame:
     """doc_id, row_key (a hash of doc_id and text), n_shingles, vertex and sketches of every row; an
     empty set is no vertex. Sets of more than PARITY_BITS shingles have a wide sketch as well."""
-    names = [*SKETCH, *WIDE]
+    numbers = pa.list_(pa.int64())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(t, rule.words) for t in batch.column("text").to_pylist()]
-            sketch = np.array([parities(s, PARITY_BITS) for s in sets], "<i8").reshape(-1, len(SKETCH))
-            large = np.array([len(s) > PARITY_BITS for s in sets], bool)
-            wide = np.zeros((len(sets), len(WIDE)), "<i8")
-            for i in np.flatnonzero(large).tolist():
-                wide[i] = parities(sets[i], WIDE_BITS)
+            wide = [parities(s, WIDE_BITS) if len(s) > PARITY_BITS else None for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").cast(pa.int64()),
@@ -342,16 +347,16 @@ def summaries(documents: DataFrame, rule: Rule = RULE) -> DataFrame:
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([vertex_of(s) if len(s) else None for s in sets], pa.int64()),
                     pa.array([fine_sketch(s) for s in sets], pa.binary()),
-                    *(pa.array(np.ascontiguousarray(c)) for c in sketch.T),
-                    *(pa.array(np.ascontiguousarray(c), mask=~large) for c in wide.T),
+                    pa.array([parities(s, PARITY_BITS) for s in sets], numbers),
+                    pa.array(wide, numbers),
                 ],
-                ["doc_id", "row_key", "n_shingles", "vertex", "fine", *names],
+                ["doc_id", "row_key", "n_shingles", "vertex", "fine", "parity", "wide"],
             )
 
     return documents.select("doc_id", "text", row_key().alias("row_key")).mapInArrow(
         run,
         "doc_id long, row_key long, n_shingles long, vertex long, fine binary, "
-        + ", ".join(f"{c} long" for c in names),
+        "parity array<long>, wide array<long>",
     )
 
 
@@ -541,7 +546,7 @@ def members_of(
 
 def sketches_of(docs: DataFrame, members: DataFrame) -> DataFrame:
     """vertex, n and sketches of the sets in the given lists."""
-    known = docs.filter("vertex IS NOT NULL").select("vertex", F.col("n_shingles").alias("n"), *SKETCH, *WIDE)
+    known = docs.filter("vertex IS NOT NULL").select("vertex", F.col("n_shingles").alias("n"), "parity", "wide")
     chosen = members.select("vertex").distinct()
     return known.join(chosen.hint("merge"), "vertex", "left_semi").dropDuplicates(["vertex"])
 
@@ -549,10 +554,10 @@ def sketches_of(docs: DataFrame, members: DataFrame) -> DataFrame:
 def possible(pairs: DataFrame, docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     """The pairs (vertex, hub) that size and sketch do not rule out, and how far their sketches are apart."""
     known = docs.filter("vertex IS NOT NULL").select(
-        "vertex", F.col("n_shingles").alias("n"), *SKETCH
+        "vertex", F.col("n_shingles").alias("n"), "parity"
     ).dropDuplicates(["vertex"])
-    one = known.select("vertex", *(F.col(c).alias(f"a_{c}") for c in ("n", *SKETCH)))
-    two = known.select(F.col("vertex").alias("hub"), *(F.col(c).alias(f"b_{c}") for c in ("n", *SKETCH)))
+    one = known.select("vertex", *(F.col(c).alias(f"a_{c}") for c in ("n", "parity")))
+    two = known.select(F.col("vertex").alias("hub"), *(F.col(c).alias(f"b_{c}") for c in ("n", "parity")))
     both = pairs.join(one, "vertex").join(two, "hub")
     return both.filter(may_link("a_", "b_", rule)).select("vertex", "hub", apart("a_", "b_").alias("apart"))
 
@@ -660,7 +665,9 @@ def next_pairs(
         F.sum("size").alias("members"), F.count("*").alias("parts"),
         F.max(F.struct("size", "root")).alias("largest"),
     ).filter("parts > 1").selectExpr("sig", "members", "largest.root AS largest")
-    open_rows = named.join(lists, "sig")
+    # Written, as are the first lists: of one query of all this, the driver would plan the whole
+    # anew after each of its many stages.
+    open_rows = materialize(named.join(lists, "sig"), "open-rows")
     rank = F.row_number().over(Window.partitionBy("sig").orderBy("vertex"))
     hubs = materialize(
         open_rows.filter("root <> largest").join(done, ["sig", "vertex"], "left_anti")
@@ -676,7 +683,7 @@ def next_pairs(
 def first_lists(rows: DataFrame, sig: str, vertex: str) -> DataFrame:
     """vertex, firsts: the least FIRST_LISTS lists of each."""
     least = F.slice(F.sort_array(F.collect_list(sig)), 1, FIRST_LISTS)
-    return rows.groupBy(vertex).agg(least.alias("firsts"))
+    return materialize(rows.groupBy(vertex).agg(least.alias("firsts")), "first-lists")
 
 
 def meetings(open_rows: DataFrame, hubs: DataFrame, known: DataFrame, rule: Rule = RULE) -> DataFrame:
@@ -684,7 +691,7 @@ def meetings(open_rows: DataFrame, hubs: DataFrame, known: DataFrame, rule: Rule
     pair is not made in each: a list leaves it to a lesser one that is among the first lists of the
     member and among the first of which the hub is a hub. There it is made, or was in a round before,
     or is left to a still lesser one; the least list that a pair meets in leaves it to none."""
-    own = ("n", *SKETCH, *WIDE)
+    own = ("n", "parity", "wide")
     one = known.select("vertex", *(F.col(c).alias(f"a_{c}") for c in own)).join(
         first_lists(open_rows, "sig", "vertex").withColumnRenamed("firsts", "a_firsts"), "vertex"
     )

@@ -208,6 +208,28 @@ def test_near_copies_are_paired_in_few_of_their_lists(spark, monkeypatch):
     assert times[0] < 5 * len(pairs[0]) and times[1] > 10 * len(pairs[0])
 
 
+def test_plan_of_a_rounds_pairs_is_small(spark, monkeypatch, capsys):
+    """The driver plans a query anew after each of its stages; a round's pairs were its largest by far."""
+    rng, plans, found = np.random.default_rng(4), [], jaccard_join.next_pairs
+
+    def explained(*a):
+        hubs, pairs = found(*a)
+        capsys.readouterr()
+        pairs.explain()
+        plans.append(capsys.readouterr().out)
+        return hubs, pairs
+
+    monkeypatch.setattr(jaccard_join, "next_pairs", explained)
+    words = [f"w{i}" for i in range(600)]
+    rows = [(i, " ".join(edited(rng, words, 20))) for i in range(30)]
+    docs = documents(spark, [(i, t, "en", "a") for i, t in rows]).repartition(2)
+    result = sorted(map(tuple, jaccard_join.link_components(docs).collect()))
+    assert result == sorted(brute_components(rows))
+    assert plans and all("Join" in p for p in plans)
+    assert max(p.count("Exchange") for p in plans) <= 12
+    assert max(map(len, plans)) < 20_000
+
+
 def edited(rng, words, times):
     words = list(words)
     for at in rng.integers(0, len(words), times):
