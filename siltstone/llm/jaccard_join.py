@@ -665,8 +665,8 @@ def next_pairs(
         F.sum("size").alias("members"), F.count("*").alias("parts"),
         F.max(F.struct("size", "root")).alias("largest"),
     ).filter("parts > 1").selectExpr("sig", "members", "largest.root AS largest")
-    # Written, as are the first lists: of one query of all this, the driver would plan the whole
-    # anew after each of its many stages.
+    # Written, as is what rows carry to a meeting: of one query of all this, the driver would plan the
+    # whole anew after each of its many stages.
     open_rows = materialize(named.join(lists, "sig"), "open-rows")
     rank = F.row_number().over(Window.partitionBy("sig").orderBy("vertex"))
     hubs = materialize(
@@ -683,7 +683,14 @@ def next_pairs(
 def first_lists(rows: DataFrame, sig: str, vertex: str) -> DataFrame:
     """vertex, firsts: the least FIRST_LISTS lists of each."""
     least = F.slice(F.sort_array(F.collect_list(sig)), 1, FIRST_LISTS)
-    return materialize(rows.groupBy(vertex).agg(least.alias("firsts")), "first-lists")
+    return rows.groupBy(vertex).agg(least.alias("firsts"))
+
+
+def carried(known: DataFrame, rows: DataFrame, sig: str, vertex: str, prefix: str) -> DataFrame:
+    """What the rows of a set carry to a meeting: size, sketches and first lists, under a prefix."""
+    both = known.join(first_lists(rows, sig, vertex).withColumnRenamed(vertex, "vertex"), "vertex")
+    own = (F.col(c).alias(f"{prefix}{c}") for c in ("n", "parity", "wide", "firsts"))
+    return materialize(both.select(F.col("vertex").alias(vertex), *own), "carried")
 
 
 def meetings(open_rows: DataFrame, hubs: DataFrame, known: DataFrame, rule: Rule = RULE) -> DataFrame:
@@ -691,13 +698,8 @@ def meetings(open_rows: DataFrame, hubs: DataFrame, known: DataFrame, rule: Rule
     pair is not made in each: a list leaves it to a lesser one that is among the first lists of the
     member and among the first of which the hub is a hub. There it is made, or was in a round before,
     or is left to a still lesser one; the least list that a pair meets in leaves it to none."""
-    own = ("n", "parity", "wide")
-    one = known.select("vertex", *(F.col(c).alias(f"a_{c}") for c in own)).join(
-        first_lists(open_rows, "sig", "vertex").withColumnRenamed("firsts", "a_firsts"), "vertex"
-    )
-    two = known.select(F.col("vertex").alias("hub"), *(F.col(c).alias(f"b_{c}") for c in own)).join(
-        first_lists(hubs, "hub_sig", "hub").withColumnRenamed("firsts", "b_firsts"), "hub"
-    )
+    one = carried(known, open_rows, "sig", "vertex", "a_")
+    two = carried(known, hubs, "hub_sig", "hub", "b_")
     # The hub's columns meet those of the members in the join's own condition, so that pairs
     # which cannot link are not made.
     rows, others = open_rows.join(one, "vertex"), hubs.join(two, "hub")
