@@ -17,6 +17,10 @@ from pyspark.sql import functions as F
 from siltstone.session import materialize
 
 MAX_ROWS_PER_TASK = 20_000_000
+#: Slices of a global order that any budget may ask for; more of them only with so many rows each,
+#: as a task of its own costs more than the rows of a smaller one.
+FEW_PIECES = 200
+LEAST_ROWS_PER_PIECE = 50_000
 
 SEGMENT = "_segment"
 COPY_SALT = "_copy"
@@ -67,6 +71,12 @@ def salted(df: DataFrame) -> DataFrame:
     return materialize(df.withColumn(COPY_SALT, F.rand(7)), "salted")
 
 
+def pieces_of(rows: int, max_rows: int) -> int:
+    """Slices that keep most of them well below `max_rows`. A budget of a few rows does not make a
+    task of each: their number stays in proportion to the rows."""
+    return min(-(-rows // max_rows) * 2, max(FEW_PIECES, rows // LEAST_ROWS_PER_PIECE))
+
+
 def running_history(
     points: DataFrame,
     key: str,
@@ -86,7 +96,7 @@ def running_history(
 
     result = _history_within(ordinary, [key], order, value)
     if crowded is not None:
-        pieces = -(-hot.rows // max_rows_per_task) * 2
+        pieces = pieces_of(hot.rows, max_rows_per_task)
         result = result.unionByName(_history_across(crowded, key, order, value, pieces))
     return result
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siltstone import schemas
-from siltstone.operators import activity, dedupe, health, ranking, rollup, shares, spikes
+from siltstone.operators import activity, dedupe, health, ranking, rollup, segments, shares, spikes
 from siltstone.operators.segments import number_in_order
 from tests.helpers import RUN_TS, at, dicts, points
 
@@ -193,6 +193,25 @@ def test_identical_copies_are_cut_apart(spark):
     assert means == want
 
 
+def test_a_small_budget_does_not_make_a_task_of_every_few_rows(spark, monkeypatch):
+    """4,000 rows of hot keys with a budget of 10: 800 slices were cut."""
+    asked, cut = [], segments.cut_into_segments
+    monkeypatch.setattr(segments, "cut_into_segments", lambda df, order, parts: asked.append(parts) or cut(df, order, 8))
+    rows = spark.range(4_000).select(
+        (F.col("id") % 40).cast("string").alias("k"), F.col("id").alias("at"), (F.col("id") % 97).cast("double").alias("v"))
+    found = segments.running_history(rows, "k", ["at"], "v", max_rows_per_task=10)
+    plain = segments.running_history(rows, "k", ["at"], "v")
+    assert sorted(found.collect()) == sorted(plain.collect())
+    assert asked == [200]
+
+
+def test_slices_follow_the_rows():
+    assert segments.pieces_of(45, 10) == 10
+    assert segments.pieces_of(1_400_000, 10) == 200
+    assert segments.pieces_of(10**12, 10) == 20_000_000
+    assert segments.pieces_of(10**12, segments.MAX_ROWS_PER_TASK) == 100_000
+
+
 def test_hourly_rollup_counts_null_points(spark):
     (row,) = dicts(rollup.hourly_rollup(points(
         spark, ("A", "peakCCU", at(10, 15), 10.0), ("A", "peakCCU", at(10, 45), None))))
