@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltstone import schemas
+from siltstone.session import FREED_SHUFFLES, settings
 from siltstone.storage.versions import POINTER, Folder, VersionLog, live_path
 
 #: Fixed value: the folder name of a partition without a value.
@@ -35,7 +36,8 @@ def write_counted(
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", replace)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    with settings(df.sparkSession, FREED_SHUFFLES):
+        writer.parquet(path)
     return int(observed.get["rows"])
 
 

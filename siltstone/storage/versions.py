@@ -30,6 +30,10 @@ class Folder:
             return []
         return [found.getPath().getName() for found in self.store.listStatus(self._path(self.path))]
 
+    def size(self, name: str) -> int:
+        """Bytes of a file, or of all files of a folder."""
+        return self.store.getContentSummary(self._path(f"{self.path}/{name}")).getLength()
+
     def delete(self, name: str) -> None:
         self.store.delete(self._path(f"{self.path}/{name}"), True)
 

@@ -1,6 +1,8 @@
 """Tables that are replaced as a whole or in part, and what a refresh reads."""
 
 import json
+import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -202,3 +204,59 @@ def test_parsed_bronze_gives_the_same_tables_from_fewer_bytes(spark, folder):
     rows = load_parsed(spark, f"{folder}/parsed", "island_metrics").select("event_id")
     scan = plan_of(rows).split("ReadSchema:")[1]
     assert "event:struct<0:struct<event_id:string" in scan and "value:string" not in scan
+
+
+def _texts(spark, n):
+    rows = [(f'{{"event_id":"{i}","event_type":"shop","event_time":"2026-05-{i % 9 + 1:02d}T0{i % 10}:00:00Z"}}',)
+            for i in range(n)]
+    return decode(spark.createDataFrame(rows, "value string"))
+
+
+def test_bronze_is_stored_in_waves_of_whole_folders(spark, folder, monkeypatch):
+    """Slice by slice: every event once, a replay replaces its batch alone, and no stage is left."""
+    from siltstone.session import shared_dir
+    from siltstone.sinks import events as sinks
+    from siltstone.sources.files import load_parsed, read_bronze
+
+    monkeypatch.setattr(sinks, "WAVE_BYTES", 1)
+    for write, name in ((sinks.write_bronze, "texts"), (sinks.write_parsed_bronze, "parsed")):
+        root = f"{folder}/{name}"
+        write(_texts(spark, 500), root, "2026-05-24", batch="other")
+        write(_texts(spark, 700), root, "2026-05-24", batch="one")
+        write(_texts(spark, 600), root, "2026-05-24", batch="one")
+        found = load_parsed(spark, root, "shop") if name == "parsed" else read_bronze(spark, root, "shop")
+        days = {r.event_date: r["count"] for r in found.groupBy("event_date").count().collect()}
+        assert days == {
+            f"2026-05-{d + 1:02d}": sum(n % 9 == d for n in (*range(500), *range(600))) for d in range(9)}
+    stored = [path for path in Path(folder, "texts").rglob("part-*")]
+    assert stored and all(path.name.endswith(".txt.gz") for path in stored)
+    scratch = Path(shared_dir(spark).removeprefix("file://"), "siltstone")
+    assert not list(scratch.glob("staged-*"))
+
+
+def test_bronze_without_rows(spark, folder):
+    from siltstone.sinks.events import write_bronze
+    from siltstone.sources.files import read_bronze
+
+    write_bronze(_texts(spark, 3).where("false"), folder, "2026-05-24", batch="one")
+    assert read_bronze(spark, folder).count() == 0
+
+
+def test_writes_leave_no_shuffle_files(spark, folder):
+    from siltstone.session import materialize
+
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = manager.getAllFiles()
+        names = {files.apply(i).getName() for i in range(files.size())}
+        return {name for name in names if name.startswith("shuffle_")}
+
+    before, rows = shuffled(), spark.range(5000).select("id", (F.col("id") % 3).alias("p"))
+    assert tables.write_counted(rows, f"{folder}/t", partition_by=("p",)) == 5000
+    assert len(materialize(rows.repartition(3, "p"), "freed").collect()) == 5000
+    until = time.time() + 20
+    while shuffled() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
