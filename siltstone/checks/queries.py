@@ -750,20 +750,20 @@ def _parsed(events: DataFrame, source: str) -> DataFrame:
     """The same events by way of Parquet bronze."""
     spark, root = events.sparkSession, scratch_path(events.sparkSession, "parsed")
     event_sinks.write_parsed_bronze(
-        envelope.decode(spread(events)), root, RUN_DATE, batch="run-1", topic="topic"
+        envelope.decode(events), root, RUN_DATE, batch="run-1", topic="topic"
     )
     return files.load_parsed(spark, root, source)
 
 
 @query
 def parsed_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = samples.offer_events(Tables(spark, sf_dir).raw("lineitem"))
+    events = samples.offer_events(spread(Tables(spark, sf_dir).raw("lineitem")))
     return _offer_rows(flatten.flatten_offers(_parsed(events, "shop"), RUN_TS))
 
 
 @query
 def parsed_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = samples.metric_events(Tables(spark, sf_dir).raw("events"))
+    events = samples.metric_events(spread(Tables(spark, sf_dir).raw("events")))
     return _metric_rows(flatten.flatten_metrics(_parsed(events, "island_metrics"), RUN_TS))
 
 
