@@ -36,6 +36,8 @@ DAY_WITH_DATA = "2024-01-30"
 LATER_DAY = "2024-02-15"
 RUN_TS = dt.datetime(2026, 1, 5, tzinfo=dt.timezone.utc)
 RUN_DATE = "2026-01-05"
+#: With value 2 a task moves its files to their place itself; else the driver moves all, one by one.
+EACH_TASK_COMMITS = "mapreduce.fileoutputcommitter.algorithm.version"
 
 QUERIES: dict[str, Query] = {}
 
@@ -790,12 +792,14 @@ def topics_of_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 def single_event_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One indented event per file, read as whole files and by lines."""
     root = scratch_path(spark, "single")
-    suppliers = Tables(spark, sf_dir).raw("supplier")
+    suppliers = spread(Tables(spark, sf_dir).raw("supplier"))
     body = F.struct(F.col("s_suppkey").alias("event_id"), F.col("s_name").alias("event_type"))
     suppliers.select(
         F.to_json(body, {"pretty": "true"}).alias("value"), F.lit("shop").alias("source"),
         F.concat(F.lit("2026-01-0"), F.col("s_suppkey") % 9 + 1).alias("event_date"),
-    ).write.option("maxRecordsPerFile", 1).partitionBy("source", "event_date").text(root)
+    ).write.option("maxRecordsPerFile", 1).option(EACH_TASK_COMMITS, "2").partitionBy(
+        "source", "event_date"
+    ).text(root)
     whole = files.read_bronze(spark, root, "shop", whole_files=True)
     lines = files.read_bronze(spark, root, "shop")
     readable = envelope.decode(lines).where("event IS NOT NULL").agg(F.count(F.lit(1))).scalar()

@@ -260,3 +260,19 @@ def test_writes_leave_no_shuffle_files(spark, folder):
         time.sleep(0.2)
     assert not shuffled() - before
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_single_event_files_are_written_by_several_tasks(spark, folder):
+    """A table of one row group is one task, which would write every file."""
+    from siltstone.checks.queries import QUERIES
+    from siltstone.session import shared_dir
+
+    spark.range(1, 41).selectExpr("id AS s_suppkey", "concat('n', id) AS s_name").coalesce(1).write.parquet(
+        f"{folder}/supplier.parquet")
+    found = QUERIES["single_event_files"](spark, folder).collect()
+    assert sorted(int(r.event_id) for r in found) == list(range(1, 41))
+    assert {r.event_type for r in found} == {f"n{i}" for i in range(1, 41)}
+    newest = max(Path(shared_dir(spark).removeprefix("file://"), "siltstone").glob("single-*"), key=lambda p: p.stat().st_mtime)
+    files = [path.name for path in newest.rglob("part-*")]
+    assert len(files) == 40
+    assert len({name[:10] for name in files}) > 1
